@@ -32,11 +32,14 @@ PAGE_WORDS = ["Page", "page", "p.", "P.", "pp.", "Seite", "S.", "Página", "pág
 
 SHARE = 2e-6
 PAIR_SHARE = 1e-5
+#: Share of all lines that stand alone from which one is a common heading.
+TITLE_SHARE = 5e-4
 #: Log-odds that a reading other than the word itself must win by.
 MARGIN = 1.0
 SPLIT = re.compile(r"(?<=[^\W\d_])(?:-|\xad|¬|‐|⸗)[ \t]*\n[ \t]*(?=[^\W\d_])")
 PUNCT = ".,;:?…\"“”„«»‘()[]{}<>*_#|`~=+–—•·/\\"
 _PAGE = re.compile(r"(?:" + "|".join(map(re.escape, PAGE_WORDS)) + r")[ \xa0]?\d{1,4}(?:[ \xa0](?:of|de|von|sur|z|из|/|sobre|do)[ \xa0]?\d{1,4}|/\d{1,4})?")
+_ROMAN = re.compile(r"(?:[-–—] ?)?(?=[ivxlc])(?:c{0,3})(?:xc|xl|l?x{0,3})(?:ix|iv|v?i{0,3})(?: ?[-–—])?")
 _DASHED = re.compile(r"[-–—‒―·•*\[(] ?\d{1,4} ?[-–—‒―·•*\])]")
 _NUMBER = re.compile(r"\d{1,4}")
 _BARRED = re.compile(r"\d{1,4} ?\| ?[^\d|]*[^\W\d_][^\d|]*|[^\d|]*[^\W\d_][^\d|]* ?\| ?\d{1,4}")
@@ -45,8 +48,22 @@ _MAYBE_HEAD = re.compile(r"^[^\n]{0,12}\d{1,4}[^\n]{0,90}$|^[^\n]{3,90} \d{1,4}
 _LETTER = re.compile(r"[^\W\d_]")
 
 
-def furniture(lines: list[str]) -> list[int]:
-    """Which lines are running heads, running feet or page numbers. A bare number is one only at the text's edge."""
+def headings(text: str) -> list[str]:
+    """Lines that stand alone like a heading: a capital first, no digit, no full stop."""
+    return [p for p in text.split("\n\n") if p and len(p) <= 60 and "\n" not in p and p[0].isupper() and (p[-1].isalpha() or p[-1] == ")") and not any(c.isdigit() for c in p)]
+
+
+def titled(line: str, titles) -> bool:
+    """Whether a line is a common heading with one more name: a running title without a number."""
+    head, _, name = line.strip().rpartition(" ")
+    return bool(head) and name[:1].isupper() and head in titles and line.strip() not in titles
+
+
+def furniture(lines: list[str], titles=frozenset()) -> list[int]:
+    """Which lines are running heads, running feet or page numbers.
+
+    A bare number, or one of the ``titles`` with a name, is one only at the text's edge.
+    """
     filled = [i for i, x in enumerate(lines) if x.strip()]
     if not filled:
         return []
@@ -54,6 +71,8 @@ def furniture(lines: list[str]) -> list[int]:
     for i in filled:
         s = lines[i].strip()
         if len(s) > 100 or not any(c.isdigit() for c in s):
+            if i in edge and len(filled) > 1 and (len(s) < 12 and _ROMAN.fullmatch(s) or titles and titled(s, titles)):
+                out.append(i)
             continue
         if i in edge and (_NUMBER.fullmatch(s) or _PAGE.fullmatch(s)) or _DASHED.fullmatch(s) and (i in edge or s[0] not in "*(["):
             out.append(i)
@@ -82,8 +101,8 @@ def plain_tokens(text: str) -> list[str]:
 class Channel:
     """Corpus likelihoods and confusion probabilities; corrects words and lines."""
 
-    def __init__(self, words: dict[str, int], pairs: dict[tuple[str, str], int] | None = None, odds: dict[tuple[str, str], float] | None = None, total: int = 1):
-        self.words, self.pairs, self.total = words, pairs or {}, max(1, total)
+    def __init__(self, words: dict[str, int], pairs: dict[tuple[str, str], int] | None = None, odds: dict[tuple[str, str], float] | None = None, total: int = 1, titles=frozenset()):
+        self.words, self.pairs, self.total, self.titles = words, pairs or {}, max(1, total), titles
         self.odds = odds
         self.memo: dict[str, list[tuple[str, float]]] = {}
         self.by_seen: dict[str, list[str]] = defaultdict(list)
@@ -174,7 +193,7 @@ class Channel:
     def repair(self, text: str) -> tuple[str, int, int, int]:
         """(repaired text, furniture lines, joined words, corrected words)."""
         lines = text.split("\n")
-        heads = set(furniture(lines))
+        heads = set(furniture(lines, self.titles))
         kept, n_heads = [x for i, x in enumerate(lines) if i not in heads], len(heads)
         joined, n_split = SPLIT.subn("", "\n".join(kept))
         n_fixed, out = 0, []
@@ -199,7 +218,8 @@ class Channel:
 
 
 def corpus_counts(texts: DataFrame) -> DataFrame:
-    """``a, b, n``: counts of tokens with letters (b is empty) and of pairs of neighbouring words."""
+    """``a, b, n``: counts of tokens with letters (b is empty), of lines that stand alone (b is a line end) and of pairs of
+    neighbouring words."""
 
     def start():
         def work(cols, out: Counter):
@@ -208,6 +228,8 @@ def corpus_counts(texts: DataFrame) -> DataFrame:
                 if text:
                     ws = plain_tokens(text)
                     words.update(ws)
+                    for line in headings(text):
+                        out[line, "\n"] += 1
                     pairs.update(zip(ws, ws[1:]))
             good = {w for w in words if is_word(w)}
             for w, n in words.items():
@@ -228,7 +250,10 @@ def learn(texts: DataFrame, share: float = SHARE, pair_share: float = PAIR_SHARE
     total = counts.where("b = ''").agg(F.sum("n")).first()[0] or 0
     common = counts.where(F.col("n") >= F.greatest(F.lit(least), F.lit(share * total)))
     words = {r.a: r.n for r in common.where("b = ''").select("a", "n").toLocalIterator() if is_word(r.a)}
-    pairs = {(r.a, r.b): r.n for r in common.where((F.col("b") != "") & (F.col("n") >= pair_share * total)).toLocalIterator()}
+    lines = counts.where("b = '\\n'")
+    alone = lines.agg(F.sum("n")).first()[0] or 0
+    titles = frozenset(r.a for r in lines.where(F.col("n") >= max(least, TITLE_SHARE * alone)).collect())
+    pairs = {(r.a, r.b): r.n for r in common.where(~F.col("b").isin("", "\n") & (F.col("n") >= pair_share * total)).toLocalIterator()}
     first = Channel(words, total=total)
     shared = texts.sparkSession.sparkContext.broadcast(first)
 
@@ -251,11 +276,15 @@ def learn(texts: DataFrame, share: float = SHARE, pair_share: float = PAIR_SHARE
         for true in {t for t, _ in CONFUSIONS if t in w}:
             times[true] += n * w.count(true)
     odds = {(r.true, r.seen): min(0.05, max(1e-6, r.n / 1000 / times[r.true])) for r in seen.collect() if times[r.true]}
-    return Channel(words, pairs, odds, total)
+    return Channel(words, pairs, odds, total, titles)
 
 
 def _flag(channel: Channel, text: str) -> bool:
-    if SPLIT.search(text) or _MAYBE_HEAD.search(text) and furniture(text.split("\n")):
+    if SPLIT.search(text) or _MAYBE_HEAD.search(text) and furniture(text.split("\n"), channel.titles):
+        return True
+    stripped = text.strip()
+    first, last = stripped[: max(0, stripped.find("\n"))], stripped[stripped.rfind("\n") + 1 :]
+    if titled(first, channel.titles) or titled(last, channel.titles) or first and (len(first) < 12 and _ROMAN.fullmatch(first) or len(last) < 12 and _ROMAN.fullmatch(last)):
         return True
     return channel.misread(text)
 
