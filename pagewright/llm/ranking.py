@@ -95,3 +95,24 @@ def p4_found(spark, sf_dir):
 def p4_ranking(spark, sf_dir):
     """All places, with the percentiles they come from."""
     return document_ranking(spark, sf_dir).select("doc", "model", "place", *[F.round(f"p_{s}", 6).alias(f"p_{s}") for s in SCORES])
+
+
+_PLACES = """
+with s as (
+  select a.doc, a.model, a.v as correction_rate, b.v as garbage, c.v as bow_f1, d.v as ppl_raw
+  from (select doc, model, avg(v) as v from (select doc, model, page, max(correction_rate) as v from correction_rate where correction_rate is not null group by all) group by all) a
+  join (select doc, model, avg(v) as v from (select doc, model, page, max(score) as v from garbage_fraction where score is not null group by all) group by all) b using (doc, model)
+  join (select doc, model, avg(v) as v from (select doc, model, page, peer, max(bow_f1) as v from peer_agreement where bow_f1 is not null group by all) group by all) c using (doc, model)
+  join (select doc, model, avg(v) as v from (select doc, model, page, max(ppl_raw) as v from pplx where ppl_raw is not null and not isnan(ppl_raw) group by all) group by all) d using (doc, model)),
+n as (select *, count(*) over (partition by doc) as n from s),
+r as (select *,
+  (rank() over (partition by doc order by -correction_rate) - 1 + count(*) over (partition by doc order by -correction_rate range unbounded preceding) - 1) / 2.0 / (n - 1) as p1,
+  (rank() over (partition by doc order by -garbage) - 1 + count(*) over (partition by doc order by -garbage range unbounded preceding) - 1) / 2.0 / (n - 1) as p2,
+  (rank() over (partition by doc order by bow_f1) - 1 + count(*) over (partition by doc order by bow_f1 range unbounded preceding) - 1) / 2.0 / (n - 1) as p3,
+  (rank() over (partition by doc order by -ppl_raw) - 1 + count(*) over (partition by doc order by -ppl_raw range unbounded preceding) - 1) / 2.0 / (n - 1) as p4
+  from n where n >= 3),
+v as (select *, list_sort([round((p1+p2+p3)/3, 9), round((p1+p2+p4)/3, 9), round((p1+p3+p4)/3, 9), round((p2+p3+p4)/3, 9)]) as vec from r),
+o as (select doc, model, row_number() over (partition by doc order by vec desc, model)::int as place, p1, p2, p3, p4 from v)
+"""
+FOUND_SQL = _PLACES + "select doc, model from o where place = 1"
+RANKING_SQL = _PLACES + "select doc, model, place, round(p1, 6)::double as p_correction_rate, round(p2, 6)::double as p_garbage, round(p3, 6)::double as p_bow_f1, round(p4, 6)::double as p_ppl_raw from o"
