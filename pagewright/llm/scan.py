@@ -36,7 +36,7 @@ PAIR_SHARE = 1e-5
 TITLE_SHARE = 5e-4
 #: Log-odds that a reading other than the word itself must win by.
 MARGIN = 1.0
-SPLIT = re.compile(r"(?<=[^\W\d_])(?:-|\xad|¬|‐|⸗)[ \t]*\n[ \t]*(?=[^\W\d_])")
+SPLIT = re.compile(r"[-\xad¬‐⸗](?<=[^\W\d_].)[ \t]*\n[ \t]*(?=[^\W\d_])")
 PUNCT = ".,;:?…\"“”„«»‘()[]{}<>*_#|`~=+–—•·/\\"
 _PAGE = re.compile(r"(?:" + "|".join(map(re.escape, PAGE_WORDS)) + r")[ \xa0]?\d{1,4}(?:[ \xa0](?:of|de|von|sur|z|из|/|sobre|do)[ \xa0]?\d{1,4}|/\d{1,4})?")
 _ROMAN = re.compile(r"(?:[-–—] ?)?(?=[ivxlc])(?:c{0,3})(?:xc|xl|l?x{0,3})(?:ix|iv|v?i{0,3})(?: ?[-–—])?")
@@ -44,7 +44,6 @@ _DASHED = re.compile(r"[-–—‒―·•*\[(] ?\d{1,4} ?[-–—‒―·•*\]
 _NUMBER = re.compile(r"\d{1,4}")
 _BARRED = re.compile(r"\d{1,4} ?\| ?[^\d|]*[^\W\d_][^\d|]*|[^\d|]*[^\W\d_][^\d|]* ?\| ?\d{1,4}")
 _HEAD = re.compile(r"([^\d|\t]*?[^\W\d_])[ .…]{2,}(\d{1,4})|(\d{1,4}) {2,}([^\W\d_][^\d|\t]*)")
-_MAYBE_HEAD = re.compile(r"^[^\n]{0,12}\d{1,4}[^\n]{0,90}$|^[^\n]{3,90} \d{1,4} *$", re.M)
 _LETTER = re.compile(r"[^\W\d_]")
 
 
@@ -105,6 +104,7 @@ class Channel:
         self.words, self.pairs, self.total, self.titles = words, pairs or {}, max(1, total), titles
         self.odds = odds
         self.memo: dict[str, list[tuple[str, float]]] = {}
+        self.clear: set[str] = set()  # tokens, as white space splits them, that can be nothing else
         self.by_seen: dict[str, list[str]] = defaultdict(list)
         for true, seen in CONFUSIONS:
             self.by_seen[seen].append(true)
@@ -177,12 +177,16 @@ class Channel:
     def misread(self, text: str) -> bool:
         """Whether any line decodes to other words."""
         cand = self.candidates
-        for w in set(plain_tokens(text)):
-            if cand(w):
-                break
-        else:
+        rest = set(text.split()) - self.clear
+        if not rest:
             return False
-        for line in SPLIT.sub("", text).split("\n"):
+        if len(self.clear) > 300_000:
+            self.clear.clear()
+        doubtful = {w for w in rest if cand(w.strip(PUNCT))}
+        self.clear |= rest - doubtful
+        if not doubtful:
+            return False
+        for line in text.split("\n"):
             if self.line_is_code(line):
                 continue
             cores = [x.strip(PUNCT) for x in line.split()]
@@ -280,12 +284,18 @@ def learn(texts: DataFrame, share: float = SHARE, pair_share: float = PAIR_SHARE
 
 
 def _flag(channel: Channel, text: str) -> bool:
-    if SPLIT.search(text) or _MAYBE_HEAD.search(text) and furniture(text.split("\n"), channel.titles):
-        return True
-    stripped = text.strip()
-    first, last = stripped[: max(0, stripped.find("\n"))], stripped[stripped.rfind("\n") + 1 :]
-    if titled(first, channel.titles) or titled(last, channel.titles) or first and (len(first) < 12 and _ROMAN.fullmatch(first) or len(last) < 12 and _ROMAN.fullmatch(last)):
+    if SPLIT.search(text):
         return True
+    lines = text.split("\n")
+    if "  " in text or "|" in text:  # a running head may stand anywhere
+        if furniture(lines, channel.titles):
+            return True
+    else:
+        filled = [x for x in lines if x.strip()]
+        if len(filled) > 1 and (len(filled[0]) < 101 or len(filled[-1]) < 101) and furniture([filled[0], filled[-1]], channel.titles):
+            return True
+        if len(filled) == 1 and furniture(filled):
+            return True
     return channel.misread(text)
 
 
