@@ -117,6 +117,7 @@ class Reader:
         self.many, self.one = units()
         self.counts = letters
         self.memo: dict[tuple[str, str], tuple[bool, str, bool]] = {}
+        self.clear: dict[str, set[str]] = defaultdict(set)  # of each source, tokens that are not garbled
 
     def step(self, a: str, b: str) -> float:
         x = self.log.get(a + b)
@@ -344,8 +345,15 @@ def _flag(reader: Reader, source: str, text: str) -> bool:
         return False
     if LOST in text:
         return True
-    read = reader.read
-    return any(not w.isascii() and read(source, w)[0] for w in set(tokens(text)))
+    read, clear = reader.read, reader.clear[source]
+    rest = set(tokens(text)) - clear
+    if len(clear) > 200_000:
+        clear.clear()
+    for w in rest:
+        if not w.isascii() and read(source, w)[0]:
+            return True
+        clear.add(w)
+    return False
 
 
 def restore(reader: Reader, source: str, text: str) -> tuple[str, int, bool]:

@@ -41,7 +41,7 @@ _WORD = re.compile(r"[^\W\d_]+")
 _END = re.compile(r"(?<=[.!?…])[\"”»’)\]*_']*\s+(?=[\"“„«¿¡(\[*_'—-]*[^\W\d_a-zà-öø-ÿа-яёąćęłńóśźż])")
 _FULL = re.compile(r"[.!?][\"”»’“)\]*_'`~}]*$")
 _TAG = re.compile(r"<[^<>\n]{0,200}>|&nbsp;|\\[a-z]+\*?\{|\{\{[^{}]*\}\}")
-_SPLIT = re.compile(r"(?<=\w)[-\xad¬‐]\n(?=\w)")
+_SPLIT = re.compile(r"[-\xad¬‐](?<=\w.)\n(?=\w)")
 
 
 def sentences(text: str) -> list[str]:
