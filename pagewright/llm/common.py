@@ -7,6 +7,7 @@ import tempfile
 import uuid
 from collections import Counter
 from collections.abc import Callable, Iterable, Iterator
+from itertools import chain
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -122,10 +123,7 @@ def word_languages(common: DataFrame) -> dict[str, tuple[str, ...]]:
 
 def guess_language(words: Iterable[str], known: dict[str, tuple[str, ...]]) -> str:
     """The language with most frequent words among ``words``; '' if there are none. Ties go to the first code."""
-    c: Counter = Counter()
-    for w in words:
-        if w in known:
-            c.update(known[w])
+    c = Counter(chain.from_iterable(map(known.__getitem__, filter(known.__contains__, words))))
     return max(sorted(c), key=c.__getitem__) if c else ""
 
 
