@@ -36,6 +36,7 @@ _TAIL = re.compile(
     r"(?:</?[A-Za-z][^<>\n]*>|<ref>[^<>]*</ref>|<!--[^<>]*-->|\{\{[^{}]*\}\}|\[\^[^\]]*\]|\\(?:label|ref|footnote|cite)\{[^{}]*\}|\\end\{\w+\}|!\[[^\]]*\]\([^()]*\)|\$[^$\n]*\\[^$\n]*\$|\\\([^\n]*?\\\))\s*\Z"
 )
 _MARK = re.compile(r"\s*(?:\[\s*(?:…|\.\.\.)\s*\]|…|\.\.\.)\s*\Z")
+_CLOSERS, _MARKS = frozenset(">}])$"), frozenset("*_`~'}")
 _CLOSED = re.compile(r"[.!?][\"”»’“)\]]*\Z")
 _SIGNS = re.compile(r"[*_`~']+\Z|\}+\Z")
 
@@ -43,7 +44,7 @@ _SIGNS = re.compile(r"[*_`~']+\Z|\}+\Z")
 def ending(text: str, titles=frozenset()) -> tuple[str, bool]:
     """(the text up to its own last character, whether a cut mark followed)."""
     lines = text.rstrip().split("\n")
-    while len(lines) > 1:
+    while len(lines) > 1 and len(lines[-1]) <= 100:
         f = furniture(lines[-3:])
         if (not f or f[-1] != len(lines[-3:]) - 1) and not titled(lines[-1], titles):
             break
@@ -52,14 +53,15 @@ def ending(text: str, titles=frozenset()) -> tuple[str, bool]:
             lines.pop()
     body, mark = "\n".join(lines).rstrip(), False
     while True:
-        m = _TAIL.search(body[-400:])
+        last = body[-1:]
+        m = _TAIL.search(body[-400:]) if last in _CLOSERS else None
         if m and m.group(0).strip():
             body = body[: len(body) - len(m.group(0))].rstrip()
             continue
-        if m := _MARK.search(body[-12:]):
+        if last in ("…", ".", "]") and (m := _MARK.search(body[-12:])):
             body, mark = body[: len(body) - len(m.group(0))], True
             continue
-        m = _SIGNS.search(body[-6:])
+        m = _SIGNS.search(body[-6:]) if last in _MARKS else None
         if m and len(m.group(0)) < len(body):
             body = body[: len(body) - len(m.group(0))]
             continue
@@ -183,9 +185,10 @@ def train(responses: DataFrame) -> Ends:
     lines = pairs.where("how = 't'")
     alone = lines.agg(F.sum("n")).first()[0] or 0
     titles = frozenset(r.a for r in lines.where(F.col("n") >= max(4, TITLE_SHARE * alone)).select("a").collect())
-    rows = _contexts(pairs.where("how <> 't'")).toPandas()
-    key, how = rows["key"].to_numpy(), rows["how"].map({"l": 0, "s": 1, "e": 2}).to_numpy()
-    counts[key >> BITS, key & ((1 << BITS) - 1), how.astype(int)] = np.minimum(rows["n"].to_numpy(), 2**31 - 1)
+    rows = _contexts(pairs.where("how <> 't'")).select("key", F.expr("position(how in 'lse') - 1").cast("byte").alias("how"), F.least("n", F.lit(2**31 - 1)).cast("int").alias("n"))
+    got = rows.toArrow()  # numbers only; at most three a bucket
+    key, how = got["key"].to_numpy(), got["how"].to_numpy()
+    counts[key >> BITS, key & ((1 << BITS) - 1), how] = got["n"].to_numpy()
     return Ends(counts, titles)
 
 
