@@ -8,6 +8,7 @@ from collections import Counter
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from .text import normalize_markdown
 
@@ -60,12 +61,12 @@ def edit_distance(a: str, b: str) -> int:
     return score
 
 
-@F.pandas_udf("double")
+@F.pandas_udf(T.DoubleType())
 def _f1(a: pd.Series, b: pd.Series) -> pd.Series:
     return pd.Series([None if x is None or y is None else multiset_f1(x, y) for x, y in zip(a, b)], dtype="float64")
 
 
-@F.pandas_udf("double")
+@F.pandas_udf(T.DoubleType())
 def _similarity(a: pd.Series, b: pd.Series) -> pd.Series:
     out = []
     for x, y in zip(a, b):

@@ -12,6 +12,7 @@ from html.parser import HTMLParser
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from .text import SPACE, strip
 
@@ -212,7 +213,7 @@ def layout_to_markdown(html: str) -> str:
     return re.sub(r"\n{3,}", "\n\n", re.sub(r"[ \t]+\n", "\n", text)).strip()
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(T.StringType())
 def _layout(raw: pd.Series) -> pd.Series:
     return raw.map(layout_to_markdown, na_action="ignore")
 

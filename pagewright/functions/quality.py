@@ -7,6 +7,7 @@ from collections.abc import Iterable
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from .loops import has_ngram_loop, has_tail_loop
 from .text import SPACE, strip
@@ -33,12 +34,12 @@ def expand_disabled(names: Iterable[str]) -> frozenset[str]:
     return frozenset(CHECKS) if ALL in names else names
 
 
-@F.pandas_udf("boolean")
+@F.pandas_udf(T.BooleanType())
 def _ngram_loop(text: pd.Series) -> pd.Series:
     return text.map(has_ngram_loop, na_action="ignore")
 
 
-@F.pandas_udf("boolean")
+@F.pandas_udf(T.BooleanType())
 def _tail_loop(text: pd.Series) -> pd.Series:
     return text.map(has_tail_loop, na_action="ignore")
 

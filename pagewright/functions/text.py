@@ -32,15 +32,14 @@ def words(text: Column) -> Column:
 def is_garbage(token: Column) -> Column:
     """Whether a token looks like recognition garbage: a run of four equal characters, over 40 characters, letters with digits,
     three or more letters without a vowel unless all are capitals, or two changes from lower to upper case."""
+    # What is stripped holds neither letters nor digits: only the length needs the core, and most tokens end at the first test.
     core = F.regexp_replace(token, rf"^[{STRIP}]+|[{STRIP}]+$", "")
-    letters = F.length(F.regexp_replace(core, r"[^\p{L}]", ""))
-    capitals = core.rlike(r"\p{Lu}") & ~core.rlike(r"\p{Ll}")
+    few_vowels = ~token.rlike("[aeiouyAEIOUY]") & token.rlike(r"\p{L}[^\p{L}]*\p{L}[^\p{L}]*\p{L}") & (token.rlike(r"\p{Ll}") | ~token.rlike(r"\p{Lu}"))
     return (
-        token.rlike(r"(?s)(.)\1{3,}")
-        | (F.length(core) > 40)
-        | ((letters > 0) & core.rlike(r"\p{Nd}"))
-        | ((letters > 2) & ~capitals & ~core.rlike("[aeiouyAEIOUY]"))
-        | (F.regexp_count(core, F.lit(r"\p{Ll}\p{Lu}")) >= 2)
+        token.rlike(r"(?s)(.)\1{3,}|\p{Ll}\p{Lu}.*\p{Ll}\p{Lu}")
+        | few_vowels
+        | (token.rlike(r"\p{Nd}") & token.rlike(r"\p{L}"))
+        | ((F.length(token) > 40) & (F.length(core) > 40))
     )
 
 

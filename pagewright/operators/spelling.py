@@ -5,6 +5,7 @@ from __future__ import annotations
 import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 MAX_EDITS = 2
 _TOKEN = "([A-Za-z]+)"
@@ -28,12 +29,12 @@ def osa_distance(a: str, b: str, most: int = MAX_EDITS) -> int:
     return one[-1]
 
 
-@F.pandas_udf("int")
+@F.pandas_udf(T.IntegerType())
 def _distance(a: pd.Series, b: pd.Series) -> pd.Series:
     return pd.Series([osa_distance(x, y) for x, y in zip(a, b)], dtype="int32")
 
 
-@F.pandas_udf("array<string>")
+@F.pandas_udf(T.ArrayType(T.StringType()))
 def _deletes(word: pd.Series) -> pd.Series:
     def of(w):
         out = {w}

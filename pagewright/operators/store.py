@@ -7,7 +7,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from ..schemas import LEDGER, METRICS, RUNS
+from ..schemas import LEDGER, METRICS, RUNS, names
 
 PHASES = {"correction": "correction_rate", "garbage": "garbage_fraction", "peer": "peer_agreement", "textlayer": "textlayer_agreement", "reject": "reject_rate", "pplx": "pplx"}
 
@@ -114,7 +114,7 @@ class MetricStore:
         now = self._pointer()
         for name, df in tables.items():
             to = f"{self.path}/{name}/{uuid.uuid4().hex}"
-            df.select(*self.schemas[name].fieldNames()).write.parquet(to)
+            df.select(*names(self.schemas[name])).write.parquet(to)
             now[name] = to
         jvm, conf = self.spark._jvm, self.spark._jsc.hadoopConfiguration()
         new = jvm.org.apache.hadoop.fs.Path(f"{self.path}/CURRENT.{uuid.uuid4().hex}")

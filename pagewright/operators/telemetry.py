@@ -36,13 +36,17 @@ def parse_exposition(text: Column) -> Column:
     return F.filter(F.transform(lines, sample), ok)
 
 
+def _named(name: str) -> Column:
+    return F.filter("_s", lambda x: x["name"] == name)
+
+
 def snapshots(scrapes: DataFrame, text: str = "text") -> DataFrame:
     """Adds one column a logical metric: summed over engines, fractions averaged, null where no candidate name is there. Null is no zero."""
     s = scrapes.withColumn("_s", parse_exposition(F.col(text)))
     for metric, names in CANDIDATES.items():
         options = []
         for name in names:
-            v = F.filter("_s", lambda x, n=name: x["name"] == n)
+            v = _named(name)
             total = F.aggregate(v, F.lit(0.0), lambda a, x: a + x["value"])
             options.append(F.when(F.size(v) > 0, total / F.size(v) if metric in AVERAGED else total))
         s = s.withColumn(metric, F.coalesce(*options))

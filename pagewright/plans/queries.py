@@ -575,10 +575,10 @@ def worker_states(spark, d):
 
 # --- layout -----------------------------------------------------------------------------------------------------------------------
 
-def _boxes(spark, d) -> DataFrame:
+def _boxes(spark, d, pages: int = 4) -> DataFrame:
     p = table(spark, d, "part")
     x, y = (F.col("p_partkey") * 37 % 900).cast("double"), (F.col("p_partkey") * 91 % 900).cast("double")
-    return p.select((F.col("p_partkey") % 4).alias("page"), F.col("p_partkey").alias("id"), F.concat(F.lit("i"), F.col("p_partkey").cast("string")).alias("name"), x.alias("x0"), y.alias("y0"), (x + F.col("p_size")).alias("x1"), (y + F.col("p_size")).alias("y1"))
+    return p.select((F.col("p_partkey") % pages).alias("page"), F.col("p_partkey").alias("id"), F.concat(F.lit("i"), F.col("p_partkey").cast("string")).alias("name"), x.alias("x0"), y.alias("y0"), (x + F.col("p_size")).alias("x1"), (y + F.col("p_size")).alias("y1"))
 
 
 @query("""with b as (select p_partkey % 4 as page, p_partkey as id, (p_partkey * 37 % 900)::double as x0, (p_partkey * 91 % 900)::double as y0, p_size as z from part)
@@ -595,10 +595,10 @@ def merged_boxes(spark, d):
 @query()
 def page_reports(spark, d):
     """Page reports of boxes and of the documents' texts."""
-    b = _boxes(spark, d).groupBy("page").agg(F.array_sort(F.collect_list(F.struct("name", "x0", "y0", "x1", "y1"))).alias("images"))
+    b = _boxes(spark, d, 400).groupBy("page").agg(F.array_sort(F.collect_list(F.struct("name", "x0", "y0", "x1", "y1"))).alias("images"))
     t = spread(table(spark, d, "documents", "doc_id", "text"))
     lines = F.transform(F.split("text", "\n"), lambda x, i: F.struct(x.alias("text"), F.lit(10.0).alias("x"), (i * 12).cast("double").alias("y")))
-    r = t.select("doc_id", F.lit(600.0).alias("width"), F.lit(800.0).alias("height"), lines.alias("texts"), (F.col("doc_id") % 4).alias("page")).join(b, "page", "left")
+    r = t.select("doc_id", F.lit(600.0).alias("width"), F.lit(800.0).alias("height"), lines.alias("texts"), (F.col("doc_id") % 400).alias("page")).join(b, "page", "left")
     return layout.page_reports(r, 2000).select("doc_id", "report")
 
 

@@ -12,7 +12,6 @@ from collections.abc import Iterator
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StringType, StructField, StructType
 
 from ..functions.text import SPACE
 from ..schemas import DOCUMENT
@@ -102,7 +101,7 @@ def read_documents(spark: SparkSession, paths: list[str], strict: bool = True) -
         return spark.createDataFrame([], DOCUMENT)
     if strict:
         return spark.read.schema(DOCUMENT).option("mode", "FAILFAST").json(paths)
-    d = spark.read.schema(StructType([*DOCUMENT.fields, StructField("_bad", StringType())])).option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", "_bad").json(paths)
+    d = spark.read.schema(f"{DOCUMENT}, _bad string").option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", "_bad").json(paths)
     return d.where("_bad is null and text is not null and metadata.`Source-File` is not null").drop("_bad")
 
 
