@@ -91,8 +91,15 @@ def units() -> tuple[dict[str, frozenset[str]], dict[str, frozenset[str]]]:
     return {k: frozenset(v) for k, v in many.items() if len(k) > 1}, {k: frozenset(v) for k, v in one.items()}
 
 
+#: Longer tokens are read piece by piece.
+PIECE = 256
+
+
 def tokens(text: str) -> list[str]:
-    return [w for w in text.replace("\n", " ").replace("\t", " ").split(" ") if w]
+    out = [w for w in text.replace("\n", " ").replace("\t", " ").split(" ") if w]
+    if any(len(w) > PIECE for w in out):
+        out = [w[i : i + PIECE] for w in out for i in range(0, len(w), PIECE)]
+    return out
 
 
 def _has_unit(word: str, many) -> bool:
@@ -203,6 +210,9 @@ class Reader:
 
     def read(self, source: str, word: str) -> tuple[bool, str, bool]:
         """(garbled, the restored word, whether all letters could be restored), from the likeliest reading."""
+        if len(word) > PIECE:
+            parts = [self.read(source, word[i : i + PIECE]) for i in range(0, len(word), PIECE)]
+            return any(p[0] for p in parts), "".join(p[1] for p in parts), all(p[2] for p in parts)
         key = (source, word)
         if key in self.memo:
             return self.memo[key]

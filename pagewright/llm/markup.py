@@ -29,7 +29,7 @@ TAGS = set(
 _RUN = r"(?:[^{0}\n]|\n(?!\n))+?"
 #: Name, dialect, log-odds of being markup, pattern. The order decides where two patterns begin at one place.
 _PATTERNS = [
-    ("comment", "html", 6.0, r"<!--[\s\S]*?-->"),
+    ("comment", "html", 6.0, r"<!--(?:(?!<!--)[\s\S])*?-->"),
     ("tag", "html", 5.0, r"</?[A-Za-z][A-Za-z0-9]*(?:\s+[\w:-]+\s*=\s*(?:\"[^\"<>]*\"|'[^'<>]*'|[^\s<>\"']+))*\s*/?>"),
     ("entity", "html", 4.0, r"&(?:[A-Za-z][A-Za-z0-9]{1,24}|#[0-9]{1,6}|#[xX][0-9A-Fa-f]{1,5});"),
     ("fence", "md", 5.0, r"^(?:```|~~~)[\w-]*[ \t]*$"),

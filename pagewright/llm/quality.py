@@ -76,7 +76,7 @@ def describe(line: str, before: tuple[str, int], after: tuple[str, int], known,
     signs = n - digits - letters - blanks
     begin = 1 if _BULLET.match(line) else 2 if _ENUM.match(line) else 3 if _REF.match(line) else 0
     numbered = s[-1].isdigit()
-    shape = 1 if numbered and _LEADER.search(s) else 2 if numbered and _INDEX.fullmatch(s) else 3 if _KEY.match(s) else 0
+    shape = 1 if numbered and _LEADER.search(s[-200:]) else 2 if numbered and _INDEX.fullmatch(s) else 3 if _KEY.match(s) else 0
     same = cols[1] >= 3 and (cols == before or cols == after)
     end = 1 if _FULL.search(s[-6:]) else 2 if s[-1].isdigit() or s[-1] == "%" else 3 if s[-1] in "-‐¬" else 0
     tokens = s.split()

@@ -103,6 +103,7 @@ class Channel:
     def __init__(self, words: dict[str, int], pairs: dict[tuple[str, str], int] | None = None, odds: dict[tuple[str, str], float] | None = None, total: int = 1, titles=frozenset()):
         self.words, self.pairs, self.total, self.titles = words, pairs or {}, max(1, total), titles
         self.odds = odds
+        self.longest = max(map(len, words), default=0) + 4  # two confusions add four characters at most
         self.memo: dict[str, list[tuple[str, float]]] = {}
         self.clear: set[str] = set()  # tokens, as white space splits them, that can be nothing else
         self.by_seen: dict[str, list[str]] = defaultdict(list)
@@ -123,6 +124,8 @@ class Channel:
     def sources(self, w: str) -> list[tuple[str, float, list[tuple[str, str]]]]:
         """(true word, probability of becoming ``w``, the confusions) for one confusion, or else two."""
         out = {}
+        if len(w) > self.longest:
+            return []
         for v, a, b in self.variants(w):
             if v in self.words:
                 p = self.chance(a, b)
@@ -145,7 +148,7 @@ class Channel:
                 self.memo.clear()
             n = self.words.get(w, 0)
             got = []
-            if len(w) > 2 and sum(map(str.isalpha, w)) > 1:
+            if 2 < len(w) <= self.longest and sum(map(str.isalpha, w)) > 1:
                 got = [(v, math.log(self.words[v] / self.total) + math.log(p)) for v, p, _ in self.sources(w) if self.words[v] * p > n * 0.05 and self.words[v] > 20 * n]
             self.memo[w] = got
         return got

@@ -136,9 +136,8 @@ def _contexts(pairs: DataFrame) -> DataFrame:
                 at = len(s) - len(b)
                 # An end was counted as an inner pair too: it takes one from the blanks.
                 for j in range(at + 1, len(s) + 1) if how == "w" else [len(s)]:
-                    c = s[:j]
                     for o, order in enumerate(ORDERS):
-                        key = (o << BITS) | _bucket(c[-order:])
+                        key = (o << BITS) | _bucket(s[max(0, j - order) : j])
                         if how == "e":
                             out[key, "e"] += n
                             out[key, "s"] -= n
@@ -265,7 +264,7 @@ def truncated(rows: DataFrame) -> DataFrame:
 
 def _measured(spark, sf_dir):
     r = spread(read(spark, sf_dir, "page_responses", "response_id", "model", "source_path", "page_num", "natural_text", "ingested_at"))
-    r = r.withColumn("seen", F.unix_micros(F.col("ingested_at").cast("timestamp"))).withColumn("doc", F.xxhash64("source_path"))
+    r = r.withColumn("seen", F.unix_micros(F.col("ingested_at").cast("timestamp"))).withColumn("doc", F.when(F.col("source_path").isNotNull(), F.xxhash64("source_path")))
     rows = measure(r, train(r), read(spark, sf_dir, "common_words"))
     return materialise(latest(rows, ["response_id"], "seen"), "p6-rows")
 
