@@ -235,12 +235,14 @@ def thresholds(rows: DataFrame, quantile: float = QUANTILE) -> DataFrame:
 
 
 def field_limits(rows: DataFrame, least: int = 5, times: float = 12.0, reach: int = 25) -> DataFrame:
-    """``model, length``: lengths at which a run has many times as many texts, with different ends, as at the lengths around."""
+    """``model, length``: lengths at which a run has many times as many texts, with different ends, as at the lengths around, and that few
+    texts exceed."""
     n = rows.groupBy("model", "length").agg(F.count("*").alias("n"), F.approx_count_distinct("tail").alias("ends"))
-    near = n.join(n.select("model", F.col("n").alias("m"), F.explode(F.sequence(F.col("length") - reach, F.col("length") + reach)).alias("length")), ["model", "length"])
-    return near.groupBy("model", "length").agg(F.max("n").alias("n"), F.max("ends").alias("ends"), F.sum("m").alias("around")).where(
-        (F.col("ends") > 0.5 * F.col("n")) &
-        (F.col("n") >= least) & (F.col("n") >= times * ((F.col("around") - F.col("n")) / (2 * reach) + 0.05))).select("model", "length", F.lit(True).alias("at_limit"))
+    spread_n = n.select("model", F.col("n").alias("m"), F.explode(F.sequence(F.col("length") - reach, F.col("length") + reach)).alias("length"))
+    near = n.join(spread_n, ["model", "length"]).groupBy("model", "length").agg(F.max("n").alias("n"), F.max("ends").alias("ends"), F.sum("m").alias("around"))
+    piles = near.where((F.col("ends") > 0.5 * F.col("n")) & (F.col("n") >= least) & (F.col("n") >= times * ((F.col("around") - F.col("n")) / (2 * reach) + 0.05)))
+    longer = n.select("model", F.col("length").alias("_l"), F.col("n").alias("_m")).join(piles, "model").where("_l > length").groupBy("model", "length").agg(F.sum("_m").alias("beyond"))
+    return piles.join(longer, ["model", "length"], "left").where(F.coalesce("beyond", F.lit(0)) <= F.col("n")).select("model", "length", F.lit(True).alias("at_limit"))
 
 
 def truncated(rows: DataFrame) -> DataFrame:
