@@ -18,19 +18,20 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import count_map, guess_language, latest, map_rows, materialise, read, spread, word_languages
+from .common import FLUSH, count_map, guess_language, latest, map_rows, materialise, read, spread, word_languages
 from .scan import TITLE_SHARE, furniture, headings, titled
 
-ORDERS = (2, 3, 4, 6, 8)
+ORDERS = (2, 4, 6, 8)
 BITS = 18
 #: Weight of the shorter context in the mixture.
 KAPPA = 2.0
 #: Quantile of complete ends that gives a threshold, and the limits of a threshold.
 QUANTILE, LOWEST, HIGHEST = 0.01, -6.0, -3.0
-_DIGITS = str.maketrans("0123456789", "0" * 10)
+_DIGITS = re.compile(r"\d+")
 _LISTY = re.compile(r"\s*(?:[•*+|!<\\-]|\(?\w{1,3}[.)]\s)|.*(?:\t|   |\|| = )")
 _TAIL = re.compile(
     r"(?:</?[A-Za-z][^<>\n]*>|<ref>[^<>]*</ref>|<!--[^<>]*-->|\{\{[^{}]*\}\}|\[\^[^\]]*\]|\\(?:label|ref|footnote|cite)\{[^{}]*\}|\\end\{\w+\}|!\[[^\]]*\]\([^()]*\)|\$[^$\n]*\\[^$\n]*\$|\\\([^\n]*?\\\))\s*\Z"
@@ -69,8 +70,8 @@ def ending(text: str, titles=frozenset()) -> tuple[str, bool]:
 
 
 def context(before: str) -> str:
-    """The last characters before an end, digits alike, white space as one blank."""
-    ws = before[-60:].translate(_DIGITS).lower().split()
+    """The last characters before an end, numbers alike, white space as one blank."""
+    ws = _DIGITS.sub("0", before[-60:].lower()).split()
     return _pair(ws[-2][-7:] if len(ws) > 1 else "", ws[-1] if ws else "")
 
 
@@ -102,11 +103,13 @@ def corpus_counts(responses: DataFrame) -> DataFrame:
                     continue
                 for line in headings(text):
                     out[line, "", "t"] += 1
-                paras = text.translate(_DIGITS).lower().split("\n\n")
+                paras = _DIGITS.sub("0", text.lower()).split("\n\n")
                 for k, para in enumerate(paras):
-                    units = para.split("\n")
-                    if len(units) > 1 and not all(map(_LISTY.match, units)):
-                        units = [para]
+                    units = (para,)
+                    if "\n" in para:
+                        units = para.split("\n")
+                        if not all(map(_LISTY.match, units)):
+                            units = (para,)
                     for j, unit in enumerate(units):
                         ws = unit.split()
                         if not ws:
@@ -127,26 +130,43 @@ def corpus_counts(responses: DataFrame) -> DataFrame:
 
 
 def _contexts(pairs: DataFrame) -> DataFrame:
-    """``key, how, n``: hashed contexts (key: order and bucket) with the way they go on: l a letter, s a blank, e an end."""
+    """``key, l, s, e``: hashed contexts (key: order and bucket) and how often they go on with a letter, with a blank, or end.
 
-    def start():
-        def work(cols, out: Counter):
-            for a, b, how, n in zip(*cols):
-                s = _pair(a, b)
-                at = len(s) - len(b)
-                # An end was counted as an inner pair too: it takes one from the blanks.
-                for j in range(at + 1, len(s) + 1) if how == "w" else [len(s)]:
-                    for o, order in enumerate(ORDERS):
-                        key = (o << BITS) | _bucket(s[max(0, j - order) : j])
-                        if how == "e":
-                            out[key, "e"] += n
-                            out[key, "s"] -= n
-                        else:
-                            out[key, "s" if j == len(s) else "l"] += n
+    A task gathers contexts as strings and hashes each once; it emits and empties its table when that is large.
+    """
+    target = pa.schema([("key", pa.int32()), ("l", pa.int64()), ("s", pa.int64()), ("e", pa.int64())])
 
-        return work
+    def emit(seen: list[dict[str, list[int]]]) -> pa.RecordBatch:
+        keys = [(o << BITS) | _bucket(c) for o, d in enumerate(seen) for c in d]
+        rows = [r for d in seen for r in d.values()]
+        return pa.RecordBatch.from_arrays([pa.array(keys, pa.int32()), *[pa.array([r[k] for r in rows], pa.int64()) for k in range(3)]], schema=target)
 
-    return count_map(pairs, "key int, how string", ["a", "b", "how", "n"], start)
+    def run(batches):
+        seen: list[dict[str, list[int]]] = [{} for _ in ORDERS]
+        for batch in batches:
+            for a, b, how, n in zip(*[batch.column(batch.schema.get_field_index(c)).to_pylist() for c in ("a", "b", "how", "n")]):
+                s = _pair(a, b)
+                end = len(s)
+                for o, order in enumerate(ORDERS):
+                    d = seen[o]
+                    if how == "w":
+                        for j in range(end - len(b) + 1, end + 1):
+                            c = s[j - order if j > order else 0 : j]
+                            r = d.get(c)
+                            if r is None:
+                                r = d[c] = [0, 0, 0]
+                            r[j == end] += n
+                    else:  # an end was counted as an inner pair too: it takes one from the blanks
+                        r = d.setdefault(s[end - order if end > order else 0 :], [0, 0, 0])
+                        r[2] += n
+                        r[1] -= n
+            if sum(map(len, seen)) > 2 * FLUSH:
+                yield emit(seen)
+                seen = [{} for _ in ORDERS]
+        yield emit(seen)
+
+    rows = pairs.select("a", "b", "how", "n").mapInArrow(run, "key int, l bigint, s bigint, e bigint")
+    return rows.groupBy("key").agg(*[F.sum(c).alias(c) for c in "lse"])
 
 
 class Ends:
@@ -184,10 +204,11 @@ def train(responses: DataFrame) -> Ends:
     lines = pairs.where("how = 't'")
     alone = lines.agg(F.sum("n")).first()[0] or 0
     titles = frozenset(r.a for r in lines.where(F.col("n") >= max(4, TITLE_SHARE * alone)).select("a").collect())
-    rows = _contexts(pairs.where("how <> 't'")).select("key", F.expr("position(how in 'lse') - 1").cast("byte").alias("how"), F.least("n", F.lit(2**31 - 1)).cast("int").alias("n"))
-    got = rows.toArrow()  # numbers only; at most three a bucket
-    key, how = got["key"].to_numpy(), got["how"].to_numpy()
-    counts[key >> BITS, key & ((1 << BITS) - 1), how] = got["n"].to_numpy()
+    rows = _contexts(pairs.where("how <> 't'")).select("key", *[F.greatest(F.least(c, F.lit(2**31 - 1)), F.lit(0)).cast("int").alias(c) for c in "lse"])
+    got = rows.toArrow()  # numbers only, a row a bucket
+    key = got["key"].to_numpy()
+    for k, c in enumerate("lse"):
+        counts[key >> BITS, key & ((1 << BITS) - 1), k] = got[c].to_numpy()
     return Ends(counts, titles)
 
 
