@@ -14,6 +14,7 @@ alphabets and code pages alone, times the number of sources.
 from __future__ import annotations
 
 import math
+import re
 from collections import Counter, defaultdict
 from functools import lru_cache
 from operator import ne
@@ -41,6 +42,7 @@ PAGES = ["cp1252", "latin-1", "cp1250", "iso8859-2", "cp1251", "koi8-r", "cp866"
 TARGET = frozenset("".join(LETTERS.values()) + SIGNS)
 BASE = TARGET | frozenset(chr(i) for i in range(9, 127)) | frozenset(PLAIN)
 ALPHABETIC = frozenset("".join(LETTERS.values()))
+CYRILLIC = frozenset(LETTERS["ru"])
 
 #: Log-probability a cipher unit starts with; of any unit that learning has not met.
 START, FLOOR = math.log(3e-3), math.log(1e-7)
@@ -51,8 +53,6 @@ CLEAR = -9.5
 #: Readings of a word's beginning that lie so far below the best are not followed.
 BEAM = 16.0
 SMOOTH = 0.5
-#: Least total log-odds per word before it goes to learning.
-SUSPECT = -9.0
 
 
 def _decode(data: bytes, page: str) -> str | None:
@@ -102,6 +102,10 @@ def tokens(text: str) -> list[str]:
     return out
 
 
+#: Signs that stand inside a word, before one, or after one, only by accident. Short units of measure may end in one.
+_ODD_SIGN = re.compile(r"[^\W\d_][£€§¿¡ºª×©®™±½¼²³µ«»„“”•…°][^\W\d_]|(?<!\w)[ºª×®™±½¼²³µ·°…][^\W\d_]{2}|[^\W\d_]{3}[£€§¿¡ºª×©±½¼²³µ„](?!\w)")
+
+
 def _has_unit(word: str, many) -> bool:
     return any(word[i : i + k] in many for i, c in enumerate(word) if not c.isascii() for k in (2, 3, 4, 5, 6))
 
@@ -244,7 +248,9 @@ class Reader:
                 i, a = j, b
             path.reverse()
             lost = LOST in word
-            garbled = lost or any(u for _, _, u, _ in path) and likeliest > stands
+            # A swap leaves no Cyrillic letter of a word as it was: a word that is part itself is a fragment or misread.
+            part = any(not u and x in CYRILLIC for _, _, u, x in path) and all(u in ALPHABETIC for _, _, u, _ in path if u)
+            garbled = lost or any(u for _, _, u, _ in path) and likeliest > stands and not part
             single = {ord(u): x for _, _, u, x in path if len(u) == 1}
             same = all(word[i] not in map(chr, single) for i, _, u, _ in path if not u) and len({(u, x) for _, _, u, x in path if len(u) == 1}) == len(single)
             if not garbled:
@@ -284,7 +290,7 @@ def corpus_counts(texts: DataFrame) -> DataFrame:
                 for w, n in words.items():
                     if not w.isascii():
                         out["w", source, w] += n
-                        if not BASE.issuperset(w) or _has_unit(w, many):
+                        if not BASE.issuperset(w) or _ODD_SIGN.search(w) or _has_unit(w, many):
                             continue
                     low = w.lower()
                     if low != w and sum(map(ne, low, w)) > 3:  # a swap inside one script shows as capitals
@@ -312,7 +318,7 @@ def learn(texts: DataFrame, rounds: int = 3, weight: float = 5.0) -> Reader:
 
     def pick():
         def work(cols):
-            keep = [i for i, w in enumerate(cols[1]) if LOST not in w and (not BASE.issuperset(w) or _has_unit(w, base.many) or base.plain(w) / (len(w) + 1) < SUSPECT)]
+            keep = [i for i, w in enumerate(cols[1]) if LOST not in w and (not BASE.issuperset(w) or not base._usual(w) or _has_unit(w, base.many))]
             return {"source": [cols[0][i] for i in keep], "s": [cols[1][i] for i in keep], "n": [cols[2][i] for i in keep]}
 
         return work
