@@ -122,8 +122,8 @@ def word_languages(common: DataFrame) -> dict[str, tuple[str, ...]]:
 
 
 def guess_language(words: Iterable[str], known: dict[str, tuple[str, ...]]) -> str:
-    """The language with most frequent words among ``words``; '' if there are none. Ties go to the first code."""
-    c = Counter(chain.from_iterable(map(known.__getitem__, filter(known.__contains__, words))))
+    """The language that has most of the distinct frequent words among ``words``; '' if there are none. Ties go to the first code."""
+    c = Counter(chain.from_iterable(map(known.__getitem__, known.keys() & set(words))))
     return max(sorted(c), key=c.__getitem__) if c else ""
 
 

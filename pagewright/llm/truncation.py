@@ -19,7 +19,7 @@ from collections import Counter
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import FLUSH, count_map, guess_language, latest, map_rows, materialise, read, spread, word_languages
@@ -177,6 +177,7 @@ class Ends:
         total = counts[0].sum(0).astype(float) + 1
         self.base = (total / total.sum()).tolist()
         self.memo: dict[str, tuple[float, float]] = {}
+        self.flat: list[memoryview] = []
 
     def odds(self, before: str) -> tuple[float, float]:
         """Log-odds that a unit ends after ``before``, and that a word does."""
@@ -185,15 +186,19 @@ class Ends:
         if got is None:
             if len(self.memo) > 200_000:
                 self.memo.clear()
+            if not self.flat:
+                self.flat = [memoryview(np.ascontiguousarray(c).reshape(-1)) for c in self.counts]
             p = self.base
             for o, order in enumerate(ORDERS):
                 if len(s) < order and o:
                     break
-                l, b, e = self.counts[o, _bucket(s[-order:])].tolist()
+                at = 3 * _bucket(s[-order:])
+                l, b, e = self.flat[o][at : at + 3]
                 n = l + b + e
                 if not n:
                     break
-                p = [(x + KAPPA * q) / (n + KAPPA) for x, q in zip((l, max(0, b), e), p)]
+                n += KAPPA
+                p = [(l + KAPPA * p[0]) / n, (b + KAPPA * p[1]) / n, (e + KAPPA * p[2]) / n]
             got = self.memo[s] = (math.log(p[2] + 1e-9) - math.log(p[0] + p[1] + 1e-9), math.log(p[1] + p[2] + 1e-9) - math.log(p[0] + 1e-9))
         return got
 
@@ -270,11 +275,10 @@ def truncated(rows: DataFrame) -> DataFrame:
     """``response_id, model, lang, is_cut`` of each measured response."""
     limit = field_limits(rows)
     page = ["doc", "page"]
-    same = rows.groupBy(*page, "tail").agg(F.countDistinct("model").alias("runs"), F.count("*").alias("texts"), F.max("n_words").alias("longest"))
-    whole = same.groupBy(*page).agg(F.max("runs").alias("most_runs"), F.max("longest").alias("page_words"))
+    at_page, at_tail = Window.partitionBy(*page), Window.partitionBy(*page, "tail")
     nexts = rows.select("doc", (F.col("page") - 1).alias("page"), F.col("head_low").cast("int").alias("low")).groupBy(*page).agg((F.avg("low") >= 0.5).alias("goes_on"))
-    x = (rows.join(thresholds(rows), ["lang", "model"], "left").join(limit, ["model", "length"], "left")
-         .join(same.drop("longest"), [*page, "tail"], "left").join(whole, page, "left").join(nexts, page, "left"))
+    x = rows.repartition(*page).withColumn("runs", F.size(F.collect_set("model").over(at_tail))).withColumn("most_runs", F.max("runs").over(at_page)).withColumn("page_words", F.max("n_words").over(at_page))
+    x = x.join(nexts, page, "left").join(thresholds(rows), ["lang", "model"], "left").join(limit, ["model", "length"], "left")
     low = (F.col("odds") < F.coalesce("threshold", F.lit(HIGHEST))) & ~F.col("closed")
     inside_word = (F.col("word_odds") < -2.0) & ~F.col("closed")
     shared_end = F.coalesce(F.col("runs"), F.lit(0)) >= 2
@@ -285,9 +289,14 @@ def truncated(rows: DataFrame) -> DataFrame:
     return x.select("response_id", "model", "lang", cut.alias("is_cut"), "odds", "threshold", "word_odds", "mark", shared_end.alias("shared_end"), runs_over.alias("runs_over"), at_limit.alias("at_limit"))
 
 
+def page_key(path, response):
+    """A document's number; a response without a path is a document of its own."""
+    return F.coalesce(F.when(path.isNotNull(), F.xxhash64(path)), F.xxhash64(F.lit("no path"), response))
+
+
 def _measured(spark, sf_dir):
     r = spread(read(spark, sf_dir, "page_responses", "response_id", "model", "source_path", "page_num", "natural_text", "ingested_at"))
-    r = r.withColumn("seen", F.unix_micros(F.col("ingested_at").cast("timestamp"))).withColumn("doc", F.when(F.col("source_path").isNotNull(), F.xxhash64("source_path")))
+    r = r.withColumn("seen", F.unix_micros(F.col("ingested_at").cast("timestamp"))).withColumn("doc", page_key(F.col("source_path"), F.col("response_id"))).withColumn("page_num", F.coalesce("page_num", F.lit(-1)))
     rows = measure(r, train(r), read(spark, sf_dir, "common_words"))
     return materialise(latest(rows, ["response_id"], "seen"), "p6-rows")
 
