@@ -2,9 +2,6 @@
 
 from __future__ import annotations
 
-import os
-import tempfile
-import uuid
 from collections import Counter
 from collections.abc import Callable, Iterable, Iterator
 from itertools import chain
@@ -15,39 +12,14 @@ from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import StructType
 
+from ..session import materialise, shared_dir, spread  # noqa: F401
+
 LANGS = ("en", "de", "fr", "es", "pt", "pl", "ru")
 
 #: Entries a worker-side counter or cache may hold before it is emptied.
 FLUSH = 200_000
 
 
-def shared_dir(spark: SparkSession) -> str:
-    """The folder that all executors share: ``spark.checkpoint.dir``; a temporary one only where that is unset (tests)."""
-    where = spark.conf.get("spark.checkpoint.dir", None)
-    if not where:
-        where = "file://" + os.path.join(tempfile.gettempdir(), "pagewright-shared")
-        spark.conf.set("spark.checkpoint.dir", where)
-    return where
-
-
-def materialise(df: DataFrame, name: str) -> DataFrame:
-    """Write ``df`` as a table in the shared folder and read it back: cuts lineage and survives lost executors."""
-    spark = df.sparkSession
-    path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
-
-
-def spread(df: DataFrame) -> DataFrame:
-    """Repartition a table of fewer files than there are cores; a table of many files is left as it is scanned."""
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    try:
-        files = len(df.inputFiles())
-    except Exception:
-        return df
-    return df.repartition(cores * 2) if 0 < files < cores else df
-
-
 def read(spark: SparkSession, sf_dir: str, table: str, *columns: str) -> DataFrame:
     df = spark.read.parquet(f"{sf_dir}/{table}.parquet")
     return df.select(*columns) if columns else df
