@@ -11,11 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 def shared_dir(spark: SparkSession) -> str:
     """The folder that all executors share: ``spark.checkpoint.dir``; a temporary one only where that is unset (tests)."""
-    where = spark.conf.get("spark.checkpoint.dir", None)
-    if not where:
-        where = "file://" + os.path.join(tempfile.gettempdir(), "pagewright-shared")
-        spark.conf.set("spark.checkpoint.dir", where)
-    return where
+    return spark.conf.get("spark.checkpoint.dir", None) or "file://" + os.path.join(tempfile.gettempdir(), "pagewright-shared")
 
 
 def materialise(df: DataFrame, name: str) -> DataFrame:
