@@ -102,20 +102,20 @@ k as (select model, doc, page, min(attempt) filter (v) as va, min(attempt) filte
 c as (select model, doc, page, case when va is not null and (ta is null or va < ta) then va end as attempt, not (va is not null and (ta is null or va < ta)) as is_fallback, n_attempts from k)"""
 
 
-def response_attempts(spark, d) -> DataFrame:
-    r = responses(spark, d, "model", "source_path", "page_num", "attempt", "is_valid", "is_terminal", "natural_text", "input_tokens", "output_tokens", "is_fallback", "primary_language", "is_rotation_valid", "rotation_correction", "is_table", "is_diagram")
+def response_attempts(spark, d, text: bool = False) -> DataFrame:
+    """Evaluated attempts, one a response. Without ``text`` the texts are neither read nor shuffled."""
+    r = responses(spark, d, *["natural_text"] * text, "model", "source_path", "page_num", "attempt", "is_valid", "is_terminal", "input_tokens", "output_tokens", "is_fallback", "primary_language", "is_rotation_valid", "rotation_correction", "is_table", "is_diagram")
     no = lambda c: F.coalesce(F.col(c), F.lit(False)).alias(c)
-    return r.select("response_id", "model", F.col("source_path").alias("doc"), F.col("page_num").alias("page"), "attempt", no("is_valid"), no("is_terminal"), no("is_fallback"), "natural_text", "input_tokens", "output_tokens",
+    return r.select("response_id", "model", F.col("source_path").alias("doc"), F.col("page_num").alias("page"), "attempt", no("is_valid"), no("is_terminal"), no("is_fallback"), F.col("natural_text") if text else F.lit(None).cast("string").alias("natural_text"), "input_tokens", "output_tokens",
                     "primary_language", "is_rotation_valid", "rotation_correction", "is_table", "is_diagram")
 
 
 _KEYS = ["model", "doc", "page"]
 
 
-def selected(spark, d) -> DataFrame:
+def selected(spark, d, text: bool = False) -> DataFrame:
     """The chosen attempt of every page; a response that is itself a fallback keeps that mark."""
-    a = response_attempts(spark, d)
-    chosen = pg.select_attempts(a, _KEYS)
+    a = response_attempts(spark, d, text)
     p = pg.selected_pages(a.drop("is_fallback"), _KEYS)
     own = a.select(*_KEYS, "attempt", F.col("is_fallback").alias("_own"))
     return p.join(own, [*_KEYS, "attempt"], "left").withColumn("is_fallback", F.col("is_fallback") | F.coalesce("_own", F.lit(False))).drop("_own")
@@ -251,7 +251,7 @@ b as (select *, coalesce(sum(length(c)) over (partition by model, doc order by p
 
 
 def assembled(spark, d) -> DataFrame:
-    return pg.assemble(selected(spark, d), ["model", "doc"], "0", F.lit("2025-01-01"), max_rate=0.25)
+    return pg.assemble(selected(spark, d, True), ["model", "doc"], "0", F.lit("2025-01-01"), max_rate=0.25)
 
 
 @query(f"""with {_CONTENT} select model, doc, sha1(string_agg(c, '' order by page)) as id, length(string_agg(c, ''))::bigint as n_chars, count(*) as pages, sum(input_tokens)::bigint as input_tokens, sum(output_tokens)::bigint as output_tokens,
