@@ -141,28 +141,46 @@ def _contexts(pairs: DataFrame) -> DataFrame:
         rows = [r for d in seen for r in d.values()]
         return pa.RecordBatch.from_arrays([pa.array(keys, pa.int32()), *[pa.array([r[k] for r in rows], pa.int64()) for k in range(3)]], schema=target)
 
+    def inside(seen, whole: dict[str, int]) -> None:
+        # Contexts within a word are the same whatever stood before it.
+        for b, n in whole.items():
+            end = len(b)
+            for d, order in zip(seen, ORDERS):
+                for j in range(order, end + 1):
+                    c = b[j - order : j]
+                    r = d.get(c)
+                    if r is None:
+                        r = d[c] = [0, 0, 0]
+                    r[j == end] += n
+        whole.clear()
+
     def run(batches):
         seen: list[dict[str, list[int]]] = [{} for _ in ORDERS]
+        whole: dict[str, int] = {}
         for batch in batches:
             for a, b, how, n in zip(*[batch.column(batch.schema.get_field_index(c)).to_pylist() for c in ("a", "b", "how", "n")]):
                 s = _pair(a, b)
                 end = len(s)
-                for o, order in enumerate(ORDERS):
-                    d = seen[o]
-                    if how == "w":
-                        for j in range(end - len(b) + 1, end + 1):
+                if how == "w":
+                    at = end - len(b)
+                    whole[b] = whole.get(b, 0) + n
+                    for d, order in zip(seen, ORDERS):
+                        for j in range(at + 1, min(end + 1, at + order)):
                             c = s[j - order if j > order else 0 : j]
                             r = d.get(c)
                             if r is None:
                                 r = d[c] = [0, 0, 0]
                             r[j == end] += n
-                    else:  # an end was counted as an inner pair too: it takes one from the blanks
+                else:  # an end was counted as an inner pair too: it takes one from the blanks
+                    for d, order in zip(seen, ORDERS):
                         r = d.setdefault(s[end - order if end > order else 0 :], [0, 0, 0])
                         r[2] += n
                         r[1] -= n
-            if sum(map(len, seen)) > 2 * FLUSH:
+            if sum(map(len, seen)) + len(whole) > 2 * FLUSH:
+                inside(seen, whole)
                 yield emit(seen)
                 seen = [{} for _ in ORDERS]
+        inside(seen, whole)
         yield emit(seen)
 
     rows = pairs.select("a", "b", "how", "n").mapInArrow(run, "key int, l bigint, s bigint, e bigint")
