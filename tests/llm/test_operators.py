@@ -181,6 +181,25 @@ def test_truncation(spark):
     assert len(got & want) >= len(want) - 3 and len(got - want) <= 3 and 902 not in got and not got & {900, 901}
 
 
+def test_context_counts_match_a_plain_count(spark):
+    rng = random.Random(1)
+    word = lambda least, most: "".join(rng.choice("abc") for _ in range(rng.randint(least, most)))
+    rows = [(word(0, 7), word(1, 9), rng.choice("wwe"), rng.randint(1, 5)) for _ in range(300)]
+    want = {}
+    for a, b, how, n in rows:
+        s = truncation._pair(a, b)
+        for o, k in enumerate(truncation.ORDERS):
+            for j in range(len(s) - len(b) + 1, len(s) + 1) if how == "w" else [len(s)]:
+                r = want.setdefault((o << truncation.BITS) | truncation._bucket(s[max(0, j - k) : j]), [0, 0, 0])
+                if how == "e":
+                    r[2] += n
+                    r[1] -= n
+                else:
+                    r[j == len(s)] += n
+    got = truncation._contexts(spark.createDataFrame(rows, "a string, b string, how string, n bigint"))
+    assert {r.key: [r.l, r.s, r.e] for r in got.collect()} == want
+
+
 # --- 7 ---
 
 
