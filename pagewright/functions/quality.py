@@ -83,6 +83,17 @@ def assess(text: Column, disabled: Iterable[str] = ()) -> Column:
     return F.when(t == "", F.array() if "empty_output" in off else F.array(F.lit("empty_output"))).otherwise(rest).cast("array<string>")
 
 
+def verdict(stripped: Column, disabled: Iterable[str] = ()) -> Column:
+    """The first failed check's public name, or 'ok', of a text without white space around it: what ``kind(assess(text))`` gives, but
+    later checks are not made once one has failed. Give it a column of its own, not an expression."""
+    off = expand_disabled(disabled)
+    out = F.when(stripped == "", "ok" if "empty_output" in off else "empty_output")
+    for k, c in checks(stripped).items():
+        if k not in off:
+            out = out.when(c, "refusal" if k == "refusal_boilerplate" else k)
+    return out.otherwise("ok")
+
+
 def kind(issues: Column) -> Column:
     """The first issue by its public name; 'ok' without any."""
     first = F.when(F.size(issues) > 0, F.get(issues, F.lit(0))).otherwise(F.lit("ok"))

@@ -4,9 +4,11 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..session import materialise
+
 PLACES = 6
 
 
@@ -41,8 +43,13 @@ def win_rates(means: DataFrame, higher: bool, name: str = "mean") -> DataFrame:
 
 
 def metric_columns(metric: DataFrame, value: Column, label: str, higher: bool | None) -> DataFrame:
-    """``model, <label>[, <label>_win]``; without ``higher`` there is no win rate."""
+    """``model, <label>[, <label>_win]``; without ``higher`` there is no win rate.
+
+    The means of documents are written once: what they are made of, perhaps texts, is not gone through again for each comparison.
+    """
     means = document_means(metric, value)
+    if higher is not None:
+        means = materialise(means, "document-means")
     out = run_means(means).withColumnRenamed("mean", label)
     if higher is not None:
         out = out.join(win_rates(means, higher).withColumnRenamed("win", f"{label}_win"), "model", "left")

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import parsers, quality
+from ..functions.text import strip
 
 #: The temperature of each attempt, the last for all further ones; how many attempts a page has.
 TEMPERATURES, MAX_ATTEMPTS = (0.1, 0.1, 0.2, 0.3, 0.5, 0.8, 0.9, 1.0), 8
@@ -23,7 +24,8 @@ def evaluate_attempts(attempts: DataFrame, adapter: str = "markdown", disabled=(
     """
     a = attempts.withColumn("_p", parsers.parser(adapter)(F.col("raw")))
     failed = (F.col("status") != 200) | F.col("raw").isNull() | F.col("_p.error").isNotNull()
-    a = a.withColumn("kind", F.when(failed, F.lit("failed")).otherwise(quality.kind(quality.assess(F.col("_p.natural_text"), disabled))))
+    a = a.withColumn("_t", strip(F.coalesce(F.col("_p.natural_text"), F.lit(""))))
+    a = a.withColumn("kind", F.when(failed, F.lit("failed")).otherwise(quality.verdict(F.col("_t"), disabled)))
     a = a.withColumn("is_blank", quality.is_blank_page(F.col("kind"), F.col("ink")))
     fields = [F.col(f"_p.{c}").alias(c) for c in ("primary_language", "is_rotation_valid", "rotation_correction", "is_table", "is_diagram")]
     return a.select(*[c for c in attempts.columns if c != "raw"], *fields, F.when(~F.col("is_blank"), F.col("_p.natural_text")).alias("natural_text"), "kind", "is_blank",

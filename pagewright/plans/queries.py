@@ -187,7 +187,8 @@ kk as (select response_id, is_valid, case when t = '' then 'empty_output'
 def gate_kinds(spark, d, off=_OFF) -> DataFrame:
     r = responses(spark, d, "natural_text", "is_valid")
     r = spread(r)
-    return r.select("response_id", "is_valid", quality.kind(quality.assess(F.col("natural_text"), off)).alias("kind"))
+    t = r.select("response_id", "is_valid", tx.strip(F.coalesce("natural_text", F.lit(""))).alias("t"))
+    return t.select("response_id", "is_valid", quality.verdict(F.col("t"), off).alias("kind"))
 
 
 @query(f"with {_GATE} select kind, case when kind = 'ok' then 'none' when kind = 'refusal' then 'terminal' else 'retryable' end as retry_class, count(*) as n from kk group by 1, 2")

@@ -16,6 +16,8 @@ def test_kinds(spark):
     df = spark.createDataFrame([(i, t) for i, (t, _) in enumerate(CASES)], "i int, t string")
     got = {r.i: r.k for r in df.select("i", q.kind(q.assess(F.col("t"))).alias("k")).collect()}
     assert {i: got[i] for i in got} == {i: k for i, (_, k) in enumerate(CASES)}
+    t = df.select("i", q.strip(F.coalesce("t", F.lit(""))).alias("t"))
+    assert {r.i: r.k for r in t.select("i", q.verdict(F.col("t")).alias("k")).collect()} == got
 
 
 def test_checks_can_be_switched_off(spark):
