@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.text import garbage_fraction
+from ..functions.garbage import garbage_fraction
 from ..operators import agreement, leaderboard, pages as pg, spelling, store as st
 from ..session import materialise
 from ..sources.inputs import load_runs

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions import loops, parsers, quality, text as tx
+from ..functions.garbage import garbage_fraction
 from ..functions.agreement import _f1, _similarity
 from ..operators import agreement, corpus, layout, leaderboard as lb, pages as pg, perplexity as pp, spelling, store as st, telemetry as tl
 from ..session import materialise, spread
@@ -86,7 +87,7 @@ def _board(name: str, source: str, value: str, higher: bool | None) -> str:
 
 
 def garbage_pages(spark, d) -> DataFrame:
-    s = page_texts(spark, d).select("text_id", "model", "doc", "page", tx.garbage_fraction(F.col("text")).alias("score")).where("score is not null")
+    s = page_texts(spark, d).select("text_id", "model", "doc", "page", garbage_fraction(F.col("text")).alias("score")).where("score is not null")
     return once(s, ["text_id", "model", "doc", "page"], "score")
 
 

@@ -5,6 +5,7 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from pagewright.functions import text as tx
+from pagewright.functions.garbage import garbage_fraction, token_is_garbage
 from pagewright.functions.agreement import bow_f1, edit_distance, multiset_f1, one_minus_ned
 from pagewright.functions.loops import has_ngram_loop, has_tail_loop, trailing_repeats
 
@@ -17,6 +18,7 @@ def values(spark, texts, column, schema="t string"):
 def test_garbage_tokens(spark):
     tokens = ["brwn", "PDF", "cat", "aaaa", "----", "a1b", "été", "x" * 41, "(" + "ab" * 20 + ")", "aBcDe", "fooBar", "12", "b2", "rhythm", "", "ÀÉ", "bcd.", "BcDf"]
     got = values(spark, tokens, tx.is_garbage(F.col("t")))
+    assert got == [token_is_garbage(t) for t in tokens]
     assert got == [True, False, False, True, True, True, True, True, False, True, False, False, True, False, False, False, True, True]
 
 
