@@ -539,6 +539,19 @@ def attributed_tokens(spark, d):
     return a.where("n_tokens > 0").select("model", "doc", "page", "n_tokens", F.round("sum_logprob", 6).alias("sum_logprob"))
 
 
+@query()
+def attributed_tokens_full(spark, d):
+    """The same over all pages, in the chunks of ``token_chunks``: a token of four characters may reach into the next page, and each chunk has a
+    first token without a score."""
+    keys = ["model", "doc"]
+    p = _pages_once(spark, d)
+    chunks = materialise(pp.token_chunks(p, keys, 1000), "chunks")
+    lengths = chunks.join(p, [*keys, "page"]).groupBy(*keys, "chunk").agg((F.sum(F.length("text").cast("bigint") + 1) - 1).alias("n")).where("n > 0")
+    t = lengths.select("*", F.posexplode(F.sequence(F.lit(0).cast("bigint"), F.col("n") - 1, F.lit(4).cast("bigint"))).alias("pos", "k"))
+    t = t.select(*keys, "chunk", "pos", F.when(F.col("k") > 0, F.expr("repeat('x', int(least(4, n - k)))")).alias("decoded"), F.when(F.col("k") > 0, F.lit(-0.1) * (1 + F.col("k") % 7)).alias("logprob"))
+    return pp.attribute_tokens(t, chunks, p, keys).select(*keys, "page", "n_tokens", F.round("sum_logprob", 6).alias("sum_logprob"))
+
+
 # --- telemetry --------------------------------------------------------------------------------------------------------------------
 
 @query("select event_id, round(sum(value) over (partition by event_type order by ts range between interval 300 seconds preceding and current row), 4) as window_sum from events")
