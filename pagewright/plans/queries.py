@@ -414,6 +414,12 @@ def peer_ned_ascii(spark, d):
     return x.select("a.model", F.col("b.model").alias("peer"), "a.doc", "a.page", F.round(_similarity("a.s", "b.s"), 6).alias("one_minus_ned"))
 
 
+@query()
+def peer_agreement_full(spark, d):
+    """Both agreements of all pairs of runs, on the whole texts in any script."""
+    return agreement.peer_agreement(_pages_once(spark, d)).select("model", "peer", "doc", "page", F.round("bow_f1", 6).alias("bow_f1"), F.round("one_minus_ned", 6).alias("one_minus_ned"))
+
+
 @query(f"""with {_BAG}, v as (select * from u), lay as (select * from p where model = 'legacy-ocr'), tx as (select text_id, length(regexp_replace(text, '[^\\p{{L}}\\p{{N}}]', '', 'g')) as an from {PAGES}),
 x as (select a.text_id as a, b.text_id as b, a.model, a.doc, a.page, len(a.w) as na, len(b.w) as nb from p a join lay b on a.doc = b.doc and a.page = b.page join tx on tx.text_id = b.text_id where a.model <> 'legacy-ocr' and tx.an >= 25){_F1}
 select model, doc, page, round(case when na = 0 and nb = 0 then 1.0 when na = 0 or nb = 0 then 0.0 else 2.0::double * coalesce(s, 0) / (na + nb) end, 6)::double as bow_f1 from x left join sh using (a, b)""")

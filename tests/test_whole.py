@@ -34,3 +34,19 @@ def test_tokens_are_put_back_to_all_pages(spark, tmp_path):
                 want[*key, owner[k]][1] -= 0.1 * (1 + k % 7)
     got = {(r.model, r.doc, r.page): (r.n_tokens, r.sum_logprob) for r in q.QUERIES["attributed_tokens_full"](spark, path).collect()}
     assert n_chunks > 3 and {k: (n, round(s, 5)) for k, (n, s) in want.items()} == {k: (n, round(s, 5)) for k, (n, s) in got.items()}
+
+
+def test_peers_are_compared_on_whole_texts(spark, tmp_path):
+    def distance(a, b):
+        row = list(range(len(b) + 1))
+        for i, x in enumerate(a):
+            row, old = [i + 1], row
+            for j, y in enumerate(b):
+                row.append(min(old[j] + (x != y), old[j + 1] + 1, row[j] + 1))
+        return row[-1]
+
+    texts = {"a": "Школьный совет округа", "b": "Школьная смета округа", "c": "Muller résumé Łódź", "d": "Müller resume Łodz", "e": "", "f": "12"}
+    path = page_table(spark, tmp_path, [(i, m, "d", 1, t) for i, (m, t) in enumerate(texts.items())] * 2 + [(90, "a", "d", 2, "x"), (91, "b", "d", 2, None)])
+    got = {(r.model, r.peer): r.one_minus_ned for r in q.QUERIES["peer_agreement_full"](spark, path).collect()}
+    want = {(m, n): round(1 - distance(a, b) / max(len(a), len(b)), 6) for m, a in texts.items() for n, b in texts.items() if m != n}
+    assert got == want and 0 < got["a", "b"] < 1 and got["c", "d"] < 1
