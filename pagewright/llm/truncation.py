@@ -7,7 +7,8 @@ text's language and run: a low quantile of the log-odds at ends that are surely
 length at which a run's texts pile up is a field limit; and a page that other runs end with the same words, or whose
 sentence goes on at the head of the next page, is complete.
 
-Context counts go into a fixed number of buckets per order, so the broadcast model has a bounded size on any corpus.
+Contexts are told apart by fingerprints, so one that never occurred backs off to a shorter one. Of each order the commonest contexts are kept,
+``KEPT`` at most, so the broadcast model has a bounded size on any corpus; a rarer one backs off as an unseen one does.
 """
 
 from __future__ import annotations
@@ -15,6 +16,7 @@ from __future__ import annotations
 import math
 import re
 import zlib
+from bisect import bisect_left
 from collections import Counter
 
 import numpy as np
@@ -26,7 +28,9 @@ from .common import FLUSH, count_map, guess_language, latest, map_rows, material
 from .scan import TITLE_SHARE, furniture, headings, titled
 
 ORDERS = (2, 4, 6, 8)
-BITS = 18
+#: Bits of a fingerprint; the greatest number of contexts of an order.
+BITS = 60
+KEPT = 1 << 20
 #: Weight of the shorter context in the mixture.
 KAPPA = 2.0
 #: Quantile of complete ends that gives a threshold, and the limits of a threshold.
@@ -84,8 +88,26 @@ def closed(body: str) -> bool:
     return bool(_CLOSED.search(body[-6:]))
 
 
+_MIX, _ALL = 0x9E3779B97F4A7C15, (1 << 64) - 1
+
+
 def _bucket(s: str) -> int:
-    return zlib.crc32(s.encode()) & ((1 << BITS) - 1)
+    """The fingerprint of a context."""
+    h = 0
+    for c in s.ljust(ORDERS[-1], "\0"):
+        h = (h ^ ord(c)) * _MIX & _ALL
+        h ^= h >> 31
+    return h >> (64 - BITS)
+
+
+def _buckets(contexts: list[str]) -> np.ndarray:
+    """The fingerprints of many contexts at once."""
+    units = np.array(contexts, f"<U{ORDERS[-1]}").view(np.uint32).reshape(-1, ORDERS[-1]).astype(np.uint64)
+    h = np.zeros(len(units), np.uint64)
+    for c in units.T:
+        h = (h ^ c) * np.uint64(_MIX)
+        h ^= h >> np.uint64(31)
+    return (h >> np.uint64(64 - BITS)).astype(np.int64)
 
 
 def corpus_counts(responses: DataFrame) -> DataFrame:
@@ -130,16 +152,16 @@ def corpus_counts(responses: DataFrame) -> DataFrame:
 
 
 def _contexts(pairs: DataFrame) -> DataFrame:
-    """``key, l, s, e``: hashed contexts (key: order and bucket) and how often they go on with a letter, with a blank, or end.
+    """``key, l, s, e``: contexts (key: order and fingerprint) and how often they go on with a letter, with a blank, or end.
 
     A task gathers contexts as strings and hashes each once; it emits and empties its table when that is large.
     """
-    target = pa.schema([("key", pa.int32()), ("l", pa.int64()), ("s", pa.int64()), ("e", pa.int64())])
+    target = pa.schema([("key", pa.int64()), ("l", pa.int64()), ("s", pa.int64()), ("e", pa.int64())])
 
     def emit(seen: list[dict[str, list[int]]]) -> pa.RecordBatch:
-        keys = [(o << BITS) | _bucket(c) for o, d in enumerate(seen) for c in d]
+        keys = np.concatenate([(o << BITS) | _buckets(list(d)) for o, d in enumerate(seen)])
         rows = [r for d in seen for r in d.values()]
-        return pa.RecordBatch.from_arrays([pa.array(keys, pa.int32()), *[pa.array([r[k] for r in rows], pa.int64()) for k in range(3)]], schema=target)
+        return pa.RecordBatch.from_arrays([pa.array(keys, pa.int64()), *[pa.array([r[k] for r in rows], pa.int64()) for k in range(3)]], schema=target)
 
     def inside(seen, whole: dict[str, int]) -> None:
         # Contexts within a word are the same whatever stood before it.
@@ -183,19 +205,32 @@ def _contexts(pairs: DataFrame) -> DataFrame:
         inside(seen, whole)
         yield emit(seen)
 
-    rows = pairs.select("a", "b", "how", "n").mapInArrow(run, "key int, l bigint, s bigint, e bigint")
+    rows = pairs.select("a", "b", "how", "n").mapInArrow(run, "key bigint, l bigint, s bigint, e bigint")
     return rows.groupBy("key").agg(*[F.sum(c).alias(c) for c in "lse"])
 
 
+def commonest(counts: DataFrame, kept: int | None = None) -> DataFrame:
+    """Of each order the contexts with the most counts, ``kept`` at most: all whose number reaches a level, of four levels a doubling."""
+    kept = kept or KEPT
+    x = counts.withColumn("o", F.shiftright("key", BITS)).withColumn("level", F.floor(4 * F.log2(F.greatest(F.col("l") + F.col("s") + F.col("e"), F.lit(1)).cast("double"))))
+    least = dict.fromkeys(range(len(ORDERS)), 1 << 20)
+    room = dict.fromkeys(least, kept)
+    for r in sorted(x.groupBy("o", "level").count().collect(), key=lambda r: -r.level):
+        room[r.o] = room[r.o] - r["count"]
+        if room[r.o] >= 0:
+            least[r.o] = r.level
+    return x.where(F.array(*[F.lit(least[o]) for o in range(len(ORDERS))])[F.col("o").cast("int")] <= F.col("level")).drop("o", "level")
+
+
 class Ends:
     """How often contexts end a unit, a word, or neither; the headings that running feet are made of."""
 
-    def __init__(self, counts: np.ndarray, titles=frozenset()):
-        self.counts, self.titles = counts, titles  # orders x buckets x (letter, blank, end)
-        total = counts[0].sum(0).astype(float) + 1
+    def __init__(self, keys: np.ndarray, counts: np.ndarray, titles=frozenset()):
+        self.keys, self.counts, self.titles = keys, counts, titles  # sorted keys; a row a key (letter, blank, end)
+        total = counts[: np.searchsorted(keys, 1 << BITS)].sum(0).astype(float) + 1
         self.base = (total / total.sum()).tolist()
         self.memo: dict[str, tuple[float, float]] = {}
-        self.flat: list[memoryview] = []
+        self.flat: tuple[memoryview, memoryview] | None = None
 
     def odds(self, before: str) -> tuple[float, float]:
         """Log-odds that a unit ends after ``before``, and that a word does."""
@@ -204,35 +239,37 @@ class Ends:
         if got is None:
             if len(self.memo) > 200_000:
                 self.memo.clear()
-            if not self.flat:
-                self.flat = [memoryview(np.ascontiguousarray(c).reshape(-1)) for c in self.counts]
-            p = self.base
+            if self.flat is None:
+                self.flat = memoryview(self.keys), memoryview(self.counts.reshape(-1))
+            keys, flat = self.flat
+            p, at = self.base, 0
             for o, order in enumerate(ORDERS):
                 if len(s) < order and o:
                     break
-                at = 3 * _bucket(s[-order:])
-                l, b, e = self.flat[o][at : at + 3]
-                n = l + b + e
-                if not n:
+                key = (o << BITS) | _bucket(s[-order:])
+                at = bisect_left(keys, key, at)
+                if at == len(keys) or keys[at] != key:
                     break
-                n += KAPPA
+                l, b, e = flat[3 * at : 3 * at + 3]
+                n = l + b + e + KAPPA
                 p = [(l + KAPPA * p[0]) / n, (b + KAPPA * p[1]) / n, (e + KAPPA * p[2]) / n]
             got = self.memo[s] = (math.log(p[2] + 1e-9) - math.log(p[0] + p[1] + 1e-9), math.log(p[1] + p[2] + 1e-9) - math.log(p[0] + 1e-9))
         return got
 
 
 def train(responses: DataFrame) -> Ends:
-    counts = np.zeros((len(ORDERS), 1 << BITS, 3), np.int32)
     pairs = materialise(corpus_counts(responses), "p6-counts")
     lines = pairs.where("how = 't'")
     alone = lines.agg(F.sum("n")).first()[0] or 0
     titles = frozenset(r.a for r in lines.where(F.col("n") >= max(4, TITLE_SHARE * alone)).select("a").collect())
-    rows = _contexts(pairs.where("how <> 't'")).select("key", *[F.greatest(F.least(c, F.lit(2**31 - 1)), F.lit(0)).cast("int").alias(c) for c in "lse"])
-    got = rows.toArrow()  # numbers only, a row a bucket
+    rows = commonest(materialise(_contexts(pairs.where("how <> 't'")), "p6-contexts"))
+    got = rows.select("key", *[F.greatest(F.least(c, F.lit(2**31 - 1)), F.lit(0)).cast("int").alias(c) for c in "lse"]).toArrow()  # numbers only, a row a context
     key = got["key"].to_numpy()
+    order = np.argsort(key)
+    counts = np.empty((len(key), 3), np.int32)
     for k, c in enumerate("lse"):
-        counts[key >> BITS, key & ((1 << BITS) - 1), k] = got[c].to_numpy()
-    return Ends(counts, titles)
+        counts[:, k] = got[c].to_numpy()[order]
+    return Ends(key[order], counts, titles)
 
 
 def measure(responses: DataFrame, ends: Ends, common: DataFrame) -> DataFrame:
