@@ -210,6 +210,12 @@ def top_rejects(spark, d):
     return corpus.top_rejects(gate_kinds(spark, d).where(~F.coalesce("is_valid", F.lit(False))))
 
 
+@query()
+def top_rejects_full(spark, d):
+    """The commonest rejects by all checks."""
+    return corpus.top_rejects(gate_kinds(spark, d, ()).where(~F.coalesce("is_valid", F.lit(False))))
+
+
 _TOK = r"regexp_extract_all(lower(natural_text), '[\p{L}\p{N}_]+|[^\p{L}\p{N}_\s\x{0085}\x{00A0}\x{2028}\x{2029}\x{202F}\x{3000}]')"
 
 

@@ -50,3 +50,12 @@ def test_peers_are_compared_on_whole_texts(spark, tmp_path):
     got = {(r.model, r.peer): r.one_minus_ned for r in q.QUERIES["peer_agreement_full"](spark, path).collect()}
     want = {(m, n): round(1 - distance(a, b) / max(len(a), len(b)), 6) for m, a in texts.items() for n, b in texts.items() if m != n}
     assert got == want and 0 < got["a", "b"] < 1 and got["c", "d"] < 1
+
+
+def test_top_rejects_know_loops(spark, tmp_path):
+    good = "A plain text of some length with nothing wrong in it."
+    texts = ["a phrase again " * 60] * 3 + ["x" * 60 + " end of it"] * 2 + ["", "ends here...", good]
+    rows = [(i, "m", t, False, i) for i, t in enumerate(texts)] + [(50, "m", "a phrase again " * 60, True, 1)]
+    spark.createDataFrame(rows, "response_id bigint, model string, natural_text string, is_valid boolean, ingested_at bigint").coalesce(1).write.parquet(str(tmp_path / "page_responses.parquet"))
+    got = [(r.kind, r.n) for r in q.QUERIES["top_rejects_full"](spark, str(tmp_path)).collect()]
+    assert got == [("repeated_ngram", 3), ("repeated_character", 2), ("empty_output", 1), ("+more", 2)]
