@@ -110,6 +110,21 @@ def _buckets(contexts: list[str]) -> np.ndarray:
     return (h >> np.uint64(64 - BITS)).astype(np.int64)
 
 
+def units_of(para: str) -> tuple[str, ...] | list[str]:
+    """The units of a paragraph: its lines if it is a list or a table, else the whole."""
+    if "\n" in para:
+        units = para.split("\n")
+        if all(map(_LISTY.match, units)):
+            return units
+    return (para,)
+
+
+def inner_ends(text: str) -> list[str]:
+    """All complete units of a text, without a full stop at their end: each but the last, which may be cut."""
+    units = [u for p in text.split("\n\n") for u in units_of(p) if u.strip()]
+    return [u for u in units[:-1] if not closed(u.rstrip())]
+
+
 def corpus_counts(responses: DataFrame) -> DataFrame:
     """``a, b, how, n``: pairs of neighbouring words within a unit (how w), the pairs at the ends of units (how e), and
     lines that stand alone (how t).
@@ -127,11 +142,7 @@ def corpus_counts(responses: DataFrame) -> DataFrame:
                     out[line, "", "t"] += 1
                 paras = _DIGITS.sub("0", text.lower()).split("\n\n")
                 for k, para in enumerate(paras):
-                    units = (para,)
-                    if "\n" in para:
-                        units = para.split("\n")
-                        if not all(map(_LISTY.match, units)):
-                            units = (para,)
+                    units = units_of(para)
                     for j, unit in enumerate(units):
                         ws = unit.split()
                         if not ws:
@@ -273,7 +284,7 @@ def train(responses: DataFrame) -> Ends:
 
 
 def measure(responses: DataFrame, ends: Ends, common: DataFrame) -> DataFrame:
-    """One small row a response: log-odds at its end and at a complete end inside (one without a full stop, as the end in
+    """One small row a response: log-odds at its end and at all complete ends inside (those without a full stop, as the end in
     question is), and what the exact checks compare."""
     known = word_languages(common)
     shared = responses.sparkSession.sparkContext.broadcast(ends)
@@ -290,8 +301,7 @@ def measure(responses: DataFrame, ends: Ends, common: DataFrame) -> DataFrame:
                 words = text.lower().split()
                 body, mark = ending(text, ends.titles)
                 odds, word_odds = ends.odds(body)
-                whole = next((p for p in text.split("\n\n")[:-1] if p.strip() and not closed(p)), None)
-                inner = None if whole is None else ends.odds(whole)[0]
+                inner = [ends.odds(u)[0] for u in inner_ends(text)]
                 lines = text.split("\n", 4)[:4]
                 skip = set(furniture(lines))
                 head = next((x.strip() for i, x in enumerate(lines) if i not in skip and x.strip()), "")
@@ -304,13 +314,13 @@ def measure(responses: DataFrame, ends: Ends, common: DataFrame) -> DataFrame:
 
         return work
 
-    schema = "response_id bigint, seen bigint, model string, doc bigint, page int, lang string, length int, odds double, word_odds double, inner double, mark boolean, closed boolean, tail bigint, head_low boolean, n_words int"
+    schema = "response_id bigint, seen bigint, model string, doc bigint, page int, lang string, length int, odds double, word_odds double, inner array<float>, mark boolean, closed boolean, tail bigint, head_low boolean, n_words int"
     return map_rows(responses, schema, ["response_id", "seen", "model", "doc", "page_num", "natural_text"], start)
 
 
 def thresholds(rows: DataFrame, quantile: float = QUANTILE) -> DataFrame:
-    """Of each language and run: the low quantile of log-odds at complete ends."""
-    sketch = rows.where("inner is not null").groupBy("lang", "model").agg(F.kll_sketch_agg_double("inner").alias("k"))
+    """Of each language and run: the low quantile of log-odds at all complete ends inside its texts."""
+    sketch = rows.select("lang", "model", F.explode(F.col("inner").cast("array<double>")).alias("inner")).groupBy("lang", "model").agg(F.kll_sketch_agg_double("inner").alias("k"))
     q = F.kll_sketch_get_quantile_double("k", F.lit(quantile))
     return sketch.select("lang", "model", F.greatest(F.lit(LOWEST), F.least(F.lit(HIGHEST), q)).alias("threshold"))
 

@@ -29,3 +29,15 @@ def test_commonest_contexts_are_kept(spark):
     df = spark.createDataFrame(rows, "key bigint, l bigint, s bigint, e bigint")
     kept = lambda n: sorted(r["count"] for r in truncation.commonest(df, n).groupBy(F.shiftright("key", truncation.BITS)).count().collect())
     assert kept(75) == [75] * 4 and kept(74) == [25] * 4 and kept(25) == [25] * 4 and kept(24) == [5] * 4 and kept(4) == []
+
+
+def test_thresholds_see_all_inner_ends(spark):
+    text = "Heading\n\nA sentence.\n\n• oak planks\n• lamp oil\n\nWater levels\n\na | b\nc | d"
+    assert truncation.inner_ends(text) == ["Heading", "• oak planks", "• lamp oil", "Water levels", "a | b"]
+    ends = model([("", w, how, n) for w, n in (("heading", 50), ("planks", 1), ("oil", 1), ("levels", 1)) for how in "we"] + [("", w, "w", 200) for w in ("planks", "oil", "levels")], spark)
+    r = spark.createDataFrame([(i, 0, "m", i, 1, text) for i in range(40)], "response_id bigint, seen bigint, model string, doc bigint, page_num int, natural_text string")
+    common = spark.createDataFrame([("en", "a", 1)], "lang string, word string, pos int")
+    rows = truncation.measure(r, ends, common)
+    head, low = ends.odds("Heading")[0], min(ends.odds(u)[0] for u in truncation.inner_ends(text))
+    got = truncation.thresholds(rows, 0.1).first().threshold
+    assert head > truncation.HIGHEST and low < truncation.HIGHEST and abs(got - max(low, truncation.LOWEST)) < 1e-4
