@@ -43,6 +43,9 @@ _TAIL = re.compile(
 _MARK = re.compile(r"\s*(?:\[\s*(?:…|\.\.\.)\s*\]|…|\.\.\.)\s*\Z")
 _CLOSERS, _MARKS = frozenset(">}])$"), frozenset("*_`~'}")
 _CLOSED = re.compile(r"[.!?][\"”»’“)\]]*\Z")
+#: Words that are compared at a full stop; how many more another run has to hold after them.
+LAST, BEYOND = 6, 15
+_STOPS = re.compile(r"\w+|[.!?]+(?!\w)")
 _SIGNS = re.compile(r"[*_`~']+\Z|\}+\Z")
 
 
@@ -125,6 +128,28 @@ def inner_ends(text: str) -> list[str]:
     return [u for u in units[:-1] if not closed(u.rstrip())]
 
 
+def _words_key(words: list[str]) -> int:
+    return zlib.crc32(" ".join(words[-LAST:]).encode())
+
+
+def stops(text: str) -> list[int]:
+    """Keys of the last words before each full stop that the text holds once and goes on well past."""
+    words, at = [], []
+    for t in _STOPS.findall(text.lower()):
+        if t[0] in ".!?":
+            at.append(len(words))
+        else:
+            words.append(t)
+    n = Counter(_words_key(words[max(0, k - LAST) : k]) for k in dict.fromkeys(at) if k >= LAST)
+    return [x for k in dict.fromkeys(at) if LAST <= k <= len(words) - BEYOND and n[x := _words_key(words[k - LAST : k])] == 1]
+
+
+def last_words(body: str) -> int | None:
+    """The key of a text's last words; None if there are fewer."""
+    words = re.findall(r"\w+", body[-300:].lower())
+    return _words_key(words) if len(words) >= LAST else None
+
+
 def corpus_counts(responses: DataFrame) -> DataFrame:
     """``a, b, how, n``: pairs of neighbouring words within a unit (how w), the pairs at the ends of units (how e), and
     lines that stand alone (how t).
@@ -293,7 +318,7 @@ def measure(responses: DataFrame, ends: Ends, common: DataFrame) -> DataFrame:
         ends = shared.value
 
         def work(cols):
-            names = ("response_id", "seen", "model", "doc", "page", "lang", "length", "odds", "word_odds", "inner", "mark", "closed", "tail", "head_low", "n_words")
+            names = ("response_id", "seen", "model", "doc", "page", "lang", "length", "odds", "word_odds", "inner", "mark", "closed", "tail", "head_low", "n_words", "last", "stops")
             out = {k: [] for k in names}
             for rid, seen, model, doc, page, text in zip(*cols):
                 if text is None or not text.strip():
@@ -307,14 +332,14 @@ def measure(responses: DataFrame, ends: Ends, common: DataFrame) -> DataFrame:
                 head = next((x.strip() for i, x in enumerate(lines) if i not in skip and x.strip()), "")
                 head = re.sub(r"^(?:<[^<>]*>|\{\{[^{}]*\}\}|\\\w+\{|[>*_'`\[“„«\s])+", "", head)
                 tail = " ".join(re.findall(r"\w+", body[-60:].lower())[-3:])
-                row = (rid, seen, model or "", doc, page, guess_language(words, known), len(text), odds, word_odds, inner, mark, closed(body), zlib.crc32(tail.encode()), head[:1].islower(), len(words))
+                row = (rid, seen, model or "", doc, page, guess_language(words, known), len(text), odds, word_odds, inner, mark, closed(body), zlib.crc32(tail.encode()), head[:1].islower(), len(words), last_words(body), stops(text))
                 for k, v in zip(names, row):
                     out[k].append(v)
             return out
 
         return work
 
-    schema = "response_id bigint, seen bigint, model string, doc bigint, page int, lang string, length int, odds double, word_odds double, inner array<float>, mark boolean, closed boolean, tail bigint, head_low boolean, n_words int"
+    schema = "response_id bigint, seen bigint, model string, doc bigint, page int, lang string, length int, odds double, word_odds double, inner array<float>, mark boolean, closed boolean, tail bigint, head_low boolean, n_words int, last bigint, stops array<bigint>"
     return map_rows(responses, schema, ["response_id", "seen", "model", "doc", "page_num", "natural_text"], start)
 
 
@@ -336,6 +361,15 @@ def field_limits(rows: DataFrame, least: int = 5, times: float = 12.0, reach: in
     return piles.join(longer, ["model", "length"], "left").where(F.coalesce("beyond", F.lit(0)) <= F.col("n")).select("model", "length", F.lit(True).alias("at_limit"))
 
 
+def passed_by(rows: DataFrame) -> DataFrame:
+    """``response_id, others``: texts that end with a full stop, and how many other runs hold the same last words on that page once and go on well
+    past them in a longer text."""
+    page = ["doc", "page"]
+    more = rows.select(*page, F.col("model").alias("_m"), F.col("n_words").alias("_n"), F.explode("stops").alias("last"))
+    own = rows.where("closed and last is not null").select("response_id", *page, "model", "n_words", "last")
+    return own.join(more, [*page, "last"]).where((F.col("_m") != F.col("model")) & (F.col("_n") >= F.col("n_words") + BEYOND)).groupBy("response_id").agg(F.countDistinct("_m").alias("others"))
+
+
 def truncated(rows: DataFrame) -> DataFrame:
     """``response_id, model, lang, is_cut`` of each measured response."""
     limit = field_limits(rows)
@@ -344,14 +378,16 @@ def truncated(rows: DataFrame) -> DataFrame:
     nexts = rows.select("doc", (F.col("page") - 1).alias("page"), F.col("head_low").cast("int").alias("low")).groupBy(*page).agg((F.avg("low") >= 0.5).alias("goes_on"))
     x = rows.repartition(*page).withColumn("runs", F.size(F.collect_set("model").over(at_tail))).withColumn("most_runs", F.max("runs").over(at_page)).withColumn("page_words", F.max("n_words").over(at_page))
     x = x.join(nexts, page, "left").join(thresholds(rows), ["lang", "model"], "left").join(limit, ["model", "length"], "left")
-    low = (F.col("odds") < F.coalesce("threshold", F.lit(HIGHEST))) & ~F.col("closed")
-    inside_word = (F.col("word_odds") < -2.0) & ~F.col("closed")
+    x = x.join(passed_by(rows), "response_id", "left")
+    low = F.col("odds") < F.coalesce("threshold", F.lit(HIGHEST))
+    inside_word = F.col("word_odds") < -2.0
+    passed = (F.coalesce("others", F.lit(0)) >= 2) & (F.col("others") > F.coalesce("runs", F.lit(0)))
     shared_end = F.coalesce(F.col("runs"), F.lit(0)) >= 2
     only = ~(F.coalesce("most_runs", F.lit(0)) >= 2) & (F.col("n_words") >= F.col("page_words"))
     runs_over = F.coalesce("goes_on", F.lit(False)) & only & ~inside_word
     at_limit = F.coalesce("at_limit", F.lit(False))
-    cut = at_limit | F.col("mark") & (low | inside_word | ~shared_end) | low & ~shared_end & ~runs_over
-    return x.select("response_id", "model", "lang", cut.alias("is_cut"), "odds", "threshold", "word_odds", "mark", shared_end.alias("shared_end"), runs_over.alias("runs_over"), at_limit.alias("at_limit"))
+    cut = at_limit | F.col("mark") & (low | inside_word | ~shared_end) | low & ~shared_end & ~runs_over | F.coalesce(passed, F.lit(False))
+    return x.select("response_id", "model", "lang", cut.alias("is_cut"), "odds", "threshold", "word_odds", "mark", shared_end.alias("shared_end"), runs_over.alias("runs_over"), at_limit.alias("at_limit"), "closed", "others")
 
 
 def page_key(path, response):

@@ -41,3 +41,18 @@ def test_thresholds_see_all_inner_ends(spark):
     head, low = ends.odds("Heading")[0], min(ends.odds(u)[0] for u in truncation.inner_ends(text))
     got = truncation.thresholds(rows, 0.1).first().threshold
     assert head > truncation.HIGHEST and low < truncation.HIGHEST and abs(got - max(low, truncation.LOWEST)) < 1e-4
+
+
+def test_a_full_stop_that_other_runs_pass_is_a_cut(spark):
+    start = "The treasurer returned the draft budget without any further comment. "
+    more = "The survey office then measured the boundary stones near the old quay and replaced the index cards of the paper mill."
+    assert len(truncation.stops(start + more)) == 1 and truncation.stops(start + start + more) == [] and truncation.stops(start) == []
+    texts = {1: [("a", start), ("b", start + more), ("c", start + more)], 2: [("a", start), ("b", start), ("c", start + more)], 3: [("a", more + " " + start), ("b", start + more), ("c", start + more)]}
+    rows = [(10 * p + i, 0, m, 7, p * 2, t) for p, ts in texts.items() for i, (m, t) in enumerate(ts)]
+    r = spark.createDataFrame(rows, "response_id bigint, seen bigint, model string, doc bigint, page_num int, natural_text string")
+    common = spark.createDataFrame([("en", "the", 1)], "lang string, word string, pos int")
+    m = common.sparkSession.createDataFrame(truncation.measure(r, truncation.train(r), common).collect(), truncation.measure(r, model([("", "a", "w", 1)], spark), common).schema)
+    assert {x.response_id: x.others for x in truncation.passed_by(m).collect()} == {10: 2, 20: 1, 21: 1}
+    m = m.withColumn("odds", F.lit(1.0))
+    assert {x.response_id for x in truncation.truncated(m).where("is_cut").collect()} == {10}
+    assert {x.response_id for x in truncation.truncated(m.withColumn("odds", F.when(F.col("response_id") == 20, -9.0).otherwise(1.0)).withColumn("tail", F.col("response_id"))).where("is_cut").collect()} == {10, 20}
