@@ -44,6 +44,8 @@ _DASHED = re.compile(r"[-–—‒―·•*\[(] ?\d{1,4} ?[-–—‒―·•*\]
 _NUMBER = re.compile(r"\d{1,4}")
 _BARRED = re.compile(r"\d{1,4} ?\| ?[^\d|]*[^\W\d_][^\d|]*|[^\d|]*[^\W\d_][^\d|]* ?\| ?\d{1,4}")
 _HEAD = re.compile(r"([^\d|\t]*?[^\W\d_])[ .…]{2,}(\d{1,4})|(\d{1,4}) {2,}([^\W\d_][^\d|\t]*)")
+#: A line without double blanks or bars that may be furniture inside a text: a dashed number, or a title, a full stop and a number.
+_INSIDE = re.compile(rf"(?m)^[^\S\n]*{_DASHED.pattern}[^\S\n]*$|[ .…]{{2}}\d{{1,4}}[^\S\n]*$")
 _LETTER = re.compile(r"[^\W\d_]")
 
 
@@ -299,6 +301,8 @@ def _flag(channel: Channel, text: str) -> bool:
             return True
         if len(filled) == 1 and furniture(filled):
             return True
+        if _INSIDE.search(text) and furniture(lines, channel.titles):
+            return True
     return channel.misread(text)
 
 
