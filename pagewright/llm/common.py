@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from collections import Counter
 from collections.abc import Callable, Iterable, Iterator
-from itertools import chain
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -94,8 +93,11 @@ def word_languages(common: DataFrame) -> dict[str, tuple[str, ...]]:
 
 
 def guess_language(words: Iterable[str], known: dict[str, tuple[str, ...]]) -> str:
-    """The language that has most of the distinct frequent words among ``words``; '' if there are none. Ties go to the first code."""
-    c = Counter(chain.from_iterable(map(known.__getitem__, known.keys() & set(words))))
+    """The language that has most of the frequent words among ``words``; '' if there are none. Ties go to the first code."""
+    c: Counter = Counter()
+    for word, n in Counter(filter(known.__contains__, words)).items():
+        for lang in known[word]:
+            c[lang] += n
     return max(sorted(c), key=c.__getitem__) if c else ""
 
 

@@ -46,12 +46,17 @@ _BARRED = re.compile(r"\d{1,4} ?\| ?[^\d|]*[^\W\d_][^\d|]*|[^\d|]*[^\W\d_][^\d|]
 _HEAD = re.compile(r"([^\d|\t]*?[^\W\d_])[ .…]{2,}(\d{1,4})|(\d{1,4}) {2,}([^\W\d_][^\d|\t]*)")
 #: A line without double blanks or bars that may be furniture inside a text: a dashed number, or a title, a full stop and a number.
 _INSIDE = re.compile(rf"(?m)^[^\S\n]*{_DASHED.pattern}[^\S\n]*$|[ .…]{{2}}\d{{1,4}}[^\S\n]*$")
-_LETTER = re.compile(r"[^\W\d_]")
+_LETTER, _DIGIT = re.compile(r"[^\W\d_]"), re.compile(r"\d")
+
+
+def stands_alone(p: str) -> bool:
+    """Whether a paragraph is one line like a heading: a capital first, no digit, no full stop."""
+    return 0 < len(p) <= 60 and p[0].isupper() and "\n" not in p and (p[-1].isalpha() or p[-1] == ")") and not _DIGIT.search(p)
 
 
 def headings(text: str) -> list[str]:
-    """Lines that stand alone like a heading: a capital first, no digit, no full stop."""
-    return [p for p in text.split("\n\n") if p and len(p) <= 60 and "\n" not in p and p[0].isupper() and (p[-1].isalpha() or p[-1] == ")") and not any(c.isdigit() for c in p)]
+    """The paragraphs that stand alone like a heading."""
+    return [p for p in text.split("\n\n") if stands_alone(p)]
 
 
 def titled(line: str, titles) -> bool:

@@ -16,18 +16,21 @@ from __future__ import annotations
 import math
 import re
 import zlib
-from bisect import bisect_left
 from collections import Counter
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_schema
+from pyspark.sql.types import StructType
 
-from .common import FLUSH, count_map, guess_language, latest, map_rows, materialise, read, spread, word_languages
-from .scan import TITLE_SHARE, furniture, headings, titled
+from .common import FLUSH, guess_language, latest, materialise, read, spread, word_languages
+from .scan import TITLE_SHARE, furniture, stands_alone, titled
 
-ORDERS = (2, 4, 6, 8)
+ORDERS = (2, 3, 4, 6, 8)
 #: Bits of a fingerprint; the greatest number of contexts of an order.
 BITS = 60
 KEPT = 1 << 20
@@ -40,46 +43,75 @@ _LISTY = re.compile(r"\s*(?:[•*+|!<\\-]|\(?\w{1,3}[.)]\s)|.*(?:\t|   |\|| = )"
 _TAIL = re.compile(
     r"(?:</?[A-Za-z][^<>\n]*>|<ref>[^<>]*</ref>|<!--[^<>]*-->|\{\{[^{}]*\}\}|\[\^[^\]]*\]|\\(?:label|ref|footnote|cite)\{[^{}]*\}|\\end\{\w+\}|!\[[^\]]*\]\([^()]*\)|\$[^$\n]*\\[^$\n]*\$|\\\([^\n]*?\\\))\s*\Z"
 )
-_MARK = re.compile(r"\s*(?:\[\s*(?:…|\.\.\.)\s*\]|…|\.\.\.)\s*\Z")
-_CLOSERS, _MARKS = frozenset(">}])$"), frozenset("*_`~'}")
-_CLOSED = re.compile(r"[.!?][\"”»’“)\]]*\Z")
-#: Words that are compared at a full stop; how many more another run has to hold after them.
-LAST, BEYOND = 6, 15
-_STOPS = re.compile(r"\w+|[.!?]+(?!\w)")
-_SIGNS = re.compile(r"[*_`~']+\Z|\}+\Z")
-
-
-def ending(text: str, titles=frozenset()) -> tuple[str, bool]:
-    """(the text up to its own last character, whether a cut mark followed)."""
-    lines = text.rstrip().split("\n")
-    while len(lines) > 1 and len(lines[-1]) <= 100:
-        f = furniture(lines[-3:])
-        if (not f or f[-1] != len(lines[-3:]) - 1) and not titled(lines[-1], titles):
+_MARKS = ("…", "...", "]")
+_MARK = re.compile(r"\[\s*(?:…|\.\.\.)\s*\]\Z|…\Z|\.\.\.\Z")
+_CLOSERS = frozenset(">}])$")
+_SIGNS = "*_`~'"
+_STOP, _QUOTES = frozenset(".!?"), "\"”»’“)]"
+#: Last characters of words that may end a sentence.
+_ENDERS = _STOP | frozenset(_QUOTES)
+#: Characters that are compared at a full stop; how many more words another run has to hold after them.
+LAST, BEYOND = 32, 15
+_STOPS = re.compile(r"[.!?]+(?=[\"”»’“)\]]*(?:\s|\Z))")
+_WORDS = re.compile(r"\w+")
+
+
+def _without_feet(body: str) -> str:
+    """A text without the running feet and page numbers at its end."""
+    while (at := body.rfind("\n")) >= 0:
+        last = body[at + 1 :]
+        if not (_DIGITS.search(last) or len(last) < 12):
             break
-        lines.pop()
-        while lines and not lines[-1].strip():
-            lines.pop()
-    body, mark = "\n".join(lines).rstrip(), False
+        two = body[:at].rsplit("\n", 2)[-2:]
+        f = furniture([*two, last])
+        if not f or f[-1] != len(two):
+            break
+        body = body[:at].rstrip()
+    return body
+
+
+def _without_signs(body: str) -> tuple[str, bool]:
+    """(a text without closing markup and cut marks at its end, whether there was a cut mark)."""
+    mark = False
     while True:
         last = body[-1:]
-        m = _TAIL.search(body[-400:]) if last in _CLOSERS else None
-        if m and m.group(0).strip():
-            body = body[: len(body) - len(m.group(0))].rstrip()
-            continue
-        if last in ("…", ".", "]") and (m := _MARK.search(body[-12:])):
-            body, mark = body[: len(body) - len(m.group(0))], True
-            continue
-        m = _SIGNS.search(body[-6:]) if last in _MARKS else None
-        if m and len(m.group(0)) < len(body):
-            body = body[: len(body) - len(m.group(0))]
-            continue
-        return body, mark
+        if last in _CLOSERS and (m := _TAIL.search(body)) and m.group(0).strip():
+            body = body[: m.start()].rstrip()
+        elif body.endswith(_MARKS) and (m := _MARK.search(body)):
+            body, mark = body[: m.start()].rstrip(), True
+        elif last in _SIGNS and last and (less := body.rstrip(_SIGNS)):
+            body = less
+        elif last == "}" and (less := body.rstrip("}")):
+            body = less
+        else:
+            return body, mark
+
+
+def endings(text: str) -> list[tuple[str | None, str, bool]]:
+    """(last line, the text up to its own last character, whether a cut mark followed): first of the whole text, then, as long as the last line
+    may be a running title without a number, of the text without it. The last of the list has no such line."""
+    body, out = text.rstrip(), []
+    while True:
+        body = _without_feet(body)
+        at = body.rfind("\n")
+        line = body[at + 1 :].strip()
+        name = line.rpartition(" ")[2] if at >= 0 else ""
+        foot = line if name[:1].isupper() and name != line and stands_alone(line[: -len(name) - 1]) else None
+        out.append((foot, *_without_signs(body)))
+        if foot is None:
+            return out
+        body = body[:at].rstrip()
 
 
 def context(before: str) -> str:
     """The last characters before an end, numbers alike, white space as one blank."""
-    ws = _DIGITS.sub("0", before[-60:].lower()).split()
-    return _pair(ws[-2][-7:] if len(ws) > 1 else "", ws[-1] if ws else "")
+    ws = before.rsplit(None, 2)[-2:]
+    a, b = ("", *ws)[-2:] if ws else ("", "")
+    return _pair(_plain(a)[-7:], _plain(b))
+
+
+def _plain(word: str) -> str:
+    return _DIGITS.sub("0", word.lower())
 
 
 def _pair(a: str, b: str) -> str:
@@ -88,26 +120,16 @@ def _pair(a: str, b: str) -> str:
 
 def closed(body: str) -> bool:
     """Whether a text ends with a full stop, a question or an exclamation."""
-    return bool(_CLOSED.search(body[-6:]))
+    return body[-1:] in _ENDERS and body.rstrip(_QUOTES)[-1:] in _STOP
 
 
-_MIX, _ALL = 0x9E3779B97F4A7C15, (1 << 64) - 1
+_MIX = 0x9E3779B97F4A7C15
 
 
-def _bucket(s: str) -> int:
-    """The fingerprint of a context."""
-    h = 0
-    for c in s.ljust(ORDERS[-1], "\0"):
-        h = (h ^ ord(c)) * _MIX & _ALL
-        h ^= h >> 31
-    return h >> (64 - BITS)
-
-
-def _buckets(contexts: list[str]) -> np.ndarray:
-    """The fingerprints of many contexts at once."""
-    units = np.array(contexts, f"<U{ORDERS[-1]}").view(np.uint32).reshape(-1, ORDERS[-1]).astype(np.uint64)
-    h = np.zeros(len(units), np.uint64)
-    for c in units.T:
+def _buckets(columns: list[np.ndarray], size: int) -> np.ndarray:
+    """The fingerprints of many contexts at once: ``columns`` hold the codes of each place, the last of a context in the last, 0 where it is short."""
+    h = np.zeros(size, np.uint64)
+    for c in [np.uint64(0)] * (ORDERS[-1] - len(columns)) + columns:
         h = (h ^ c) * np.uint64(_MIX)
         h ^= h >> np.uint64(31)
     return (h >> np.uint64(64 - BITS)).astype(np.int64)
@@ -122,124 +144,207 @@ def units_of(para: str) -> tuple[str, ...] | list[str]:
     return (para,)
 
 
-def inner_ends(text: str) -> list[str]:
-    """All complete units of a text, without a full stop at their end: each but the last, which may be cut."""
-    units = [u for p in text.split("\n\n") for u in units_of(p) if u.strip()]
-    return [u for u in units[:-1] if not closed(u.rstrip())]
+def _key(words: str) -> int:
+    return zlib.crc32(words.encode()) - (1 << 31)
+
 
+def stops(words: list[str]) -> list[int]:
+    """Keys of the last characters before each full stop that the text, given as words in lower case, holds once and goes on well past."""
+    if len(words) <= BEYOND:
+        return []
+    text = " ".join(words)
+    keys = [(m.start(), _key(text[m.start() - LAST : m.start()])) for m in _STOPS.finditer(text) if m.start() >= LAST]
+    n = Counter(k for _, k in keys)
+    most = len(text) - len(" ".join(words[-BEYOND:]))
+    return [k for at, k in keys if at < most and n[k] == 1]
 
-def _words_key(words: list[str]) -> int:
-    return zlib.crc32(" ".join(words[-LAST:]).encode())
 
+def last_key(body: str) -> int | None:
+    """The key of a text's last characters before its full stop; None if there are fewer, or no full stop."""
+    if not closed(body):
+        return None
+    ws = " ".join(body.lower().rsplit(None, LAST)[-LAST:]).rstrip(_QUOTES).rstrip(".!?")
+    return _key(ws[-LAST:]) if len(ws) >= LAST else None
 
-def stops(text: str) -> list[int]:
-    """Keys of the last words before each full stop that the text holds once and goes on well past."""
-    words, at = [], []
-    for t in _STOPS.findall(text.lower()):
-        if t[0] in ".!?":
-            at.append(len(words))
+
+#: Numbers of the beginning and of the end of a unit among the words of a task; of the end of what may be cut.
+_START, _END, _CUT = 0, 1, 2
+
+
+class _Numbers(dict):
+    """Words in lower case, numbered as they come."""
+
+    def __init__(self):
+        super().__init__()
+        self.words: list[str] = ["", "", ""]
+
+    def __missing__(self, word: str) -> int:
+        plain = _DIGITS.sub("0", word)
+        if plain != word:
+            n = self[word] = self[plain]
         else:
-            words.append(t)
-    n = Counter(_words_key(words[max(0, k - LAST) : k]) for k in dict.fromkeys(at) if k >= LAST)
-    return [x for k in dict.fromkeys(at) if LAST <= k <= len(words) - BEYOND and n[x := _words_key(words[k - LAST : k])] == 1]
+            n = self[word] = len(self.words)
+            self.words.append(word)
+        return n
 
 
-def last_words(body: str) -> int | None:
-    """The key of a text's last words; None if there are fewer."""
-    words = re.findall(r"\w+", body[-300:].lower())
-    return _words_key(words) if len(words) >= LAST else None
+FEATURES = (
+    "response_id bigint, seen bigint, model string, doc bigint, page int, lang string, length int, n_words int, head_low boolean, "
+    "ends array<struct<foot:string,context:string,mark:boolean,closed:boolean,tail:bigint,last:int>>, inner array<string>, stops array<int>"
+)
+COUNTS = "a string, b string, how string, n bigint"
 
 
-def corpus_counts(responses: DataFrame) -> DataFrame:
-    """``a, b, how, n``: pairs of neighbouring words within a unit (how w), the pairs at the ends of units (how e), and
-    lines that stand alone (how t).
+def read_texts(responses: DataFrame, common: DataFrame) -> DataFrame:
+    """One pass over all texts: a row of features (``FEATURES``) for each response with text, and rows of counts (``COUNTS``, how not null).
 
-    The last unit of a text may be cut: its final word is not counted.
+    The counts are of pairs of neighbouring words within a unit (how w), of the pairs at the ends of units (how e), and of lines that stand
+    alone (how t). The last unit of a text may be cut: its final word is not counted. A task numbers its words and counts pairs of numbers; it
+    emits and empties its tables when they are large. Null and blank texts have no row.
     """
+    known = word_languages(common)
+    target = to_arrow_schema(StructType.fromDDL(f"{FEATURES}, {COUNTS}"))
+    names = StructType.fromDDL(FEATURES).fieldNames()
+
+    def emit(numbers: _Numbers, flat: list[int], alone: Counter) -> pa.RecordBatch:
+        x = np.array(flat, np.int64)
+        a, b = x[:-1], x[1:]
+        # An end goes with the two words before it; a cut text's end and its last word go with nothing.
+        ends = np.flatnonzero(b == _END)
+        pair = (b > _CUT) & ((a > _CUT) | (a == _START)) & (np.append(b[1:], 0) != _CUT)
+        out = {"a": list(alone), "b": [""] * len(alone), "how": ["t"] * len(alone), "n": list(alone.values())}
+        words, tails = np.array(numbers.words, object), np.array([w[-7:] for w in numbers.words], object)
+        for how, p, q in (("w", a[pair], b[pair]), ("e", x[np.maximum(ends - 1, 0)], x[ends])):
+            keys, n = np.unique(p << 32 | q, return_counts=True)
+            out["a"] += tails[keys >> 32].tolist()
+            out["b"] += words[keys & 0xFFFFFFFF].tolist()
+            out["how"] += [how] * len(keys)
+            out["n"] += n.tolist()
+        size = len(out["n"])
+        return pa.RecordBatch.from_arrays([pa.array(out[f.name], f.type) if f.name in out else pa.nulls(size, f.type) for f in target], schema=target)
 
-    def start():
-        def work(cols, out: Counter):
-            inner, last = Counter(), Counter()
-            for text in cols[0]:
-                if not text:
+    def run(batches):
+        numbers, flat, alone = _Numbers(), [_CUT], Counter()
+        for batch in batches:
+            out = {k: [] for k in names}
+            for rid, seen, model, doc, page, text in zip(*[c.to_pylist() for c in batch.columns]):
+                if text is None or not text.strip():
                     continue
-                for line in headings(text):
-                    out[line, "", "t"] += 1
-                paras = _DIGITS.sub("0", text.lower()).split("\n\n")
-                for k, para in enumerate(paras):
-                    units = units_of(para)
-                    for j, unit in enumerate(units):
-                        ws = unit.split()
-                        if not ws:
-                            continue
-                        if k == len(paras) - 1 and j == len(units) - 1:
-                            ws.pop()
-                        else:
-                            last["" if len(ws) < 2 else ws[-2], ws[-1]] += 1
-                        inner.update(zip(["", *ws], ws))
-            for (a, b), n in inner.items():
-                out[a[-7:], b, "w"] += n
-            for (a, b), n in last.items():
-                out[a[-7:], b, "e"] += n
-
-        return work
-
-    return count_map(responses.where("natural_text is not null"), "a string, b string, how string", ["natural_text"], start)
+                words, ends, new = [], [], False
+                get, at = numbers.__getitem__, numbers.words
+                for para in text.split("\n\n"):
+                    if stands_alone(para):
+                        alone[para] += 1
+                    for unit in units_of(para):
+                        ws = unit.lower().split()
+                        if ws:
+                            ids = list(map(get, ws))
+                            flat.append(_START)
+                            flat += ids
+                            flat.append(_END)
+                            words += ws
+                            new = not closed(ws[-1])  # of the last unit, which may be cut, the end does not count
+                            if new:
+                                ends.append(_pair(at[ids[-2]][-7:] if len(ids) > 1 else "", at[ids[-1]])[-ORDERS[-1] :])
+                flat[-1] = _CUT
+                if new:
+                    ends.pop()
+                last = [
+                    {"foot": foot, "context": context(body)[-ORDERS[-1] :], "mark": mark, "closed": closed(body), "last": last_key(body),
+                     "tail": zlib.crc32(" ".join(_WORDS.findall(" ".join(body.rsplit(None, 3)[-3:]).lower())[-3:]).encode())}
+                    for foot, body, mark in endings(text)
+                ]
+                row = (rid, seen, model or "", doc, page, guess_language(words, known), len(text), len(words), _head(text)[:1].islower(), last, ends, stops(words))
+                for k, v in zip(names, row):
+                    out[k].append(v)
+                if len(flat) > 20 * FLUSH or len(numbers) > FLUSH:
+                    yield emit(numbers, flat, alone)
+                    numbers, flat, alone = _Numbers(), [_CUT], Counter()
+            size = len(out["seen"])
+            yield pa.RecordBatch.from_arrays([pa.array(out[f.name], f.type) if f.name in out else pa.nulls(size, f.type) for f in target], schema=target)
+        yield emit(numbers, flat, alone)
+
+    columns = ["response_id", "seen", "model", "doc", "page_num", "natural_text"]
+    return responses.where("natural_text is not null").select(*columns).mapInArrow(run, f"{FEATURES}, {COUNTS}")
+
+
+def _codes(strings: list[str], width: int) -> np.ndarray:
+    """The codes of strings of at most ``width`` characters, a row a string."""
+    return np.array(strings, f"<U{width}").view(np.uint32).reshape(-1, width).astype(np.uint64)
+
+
+def _spans(order: int, left: np.ndarray, right: np.ndarray, n: np.ndarray):
+    """Contexts that reach back over the beginning of a word: (columns of codes, counts, whether the word ends after it)."""
+    reach, long = left.shape[1], np.minimum((right > 0).sum(1), ORDERS[-1])
+    for j in range(1, order):
+        rows = np.flatnonzero(long >= j)
+        at = [left[rows, reach - k] for k in range(order - j, 0, -1)] + [right[rows, k] for k in range(j)]
+        yield at, n[rows], long[rows] == j
+
+
+def _insides(order: int, words: list[str], n: np.ndarray):
+    """Contexts within words: (columns of codes, counts, whether the word ends after it)."""
+    long = np.array([len(w) for w in words], np.int64)
+    codes = np.frombuffer("".join(words).encode("utf-32-le"), np.uint32).astype(np.uint64)
+    first = np.repeat(np.cumsum(long) - long, long)
+    place = np.arange(len(codes)) - first + 1
+    ends = np.flatnonzero(place >= order)
+    yield [codes[ends - k] for k in range(order - 1, -1, -1)], np.repeat(n, long)[ends], place[ends] == np.repeat(long, long)[ends]
 
 
 def _contexts(pairs: DataFrame) -> DataFrame:
     """``key, l, s, e``: contexts (key: order and fingerprint) and how often they go on with a letter, with a blank, or end.
 
-    A task gathers contexts as strings and hashes each once; it emits and empties its table when that is large.
+    A batch's contexts are added up as arrays before they are emitted.
     """
     target = pa.schema([("key", pa.int64()), ("l", pa.int64()), ("s", pa.int64()), ("e", pa.int64())])
 
-    def emit(seen: list[dict[str, list[int]]]) -> pa.RecordBatch:
-        keys = np.concatenate([(o << BITS) | _buckets(list(d)) for o, d in enumerate(seen)])
-        rows = [r for d in seen for r in d.values()]
-        return pa.RecordBatch.from_arrays([pa.array(keys, pa.int64()), *[pa.array([r[k] for r in rows], pa.int64()) for k in range(3)]], schema=target)
-
-    def inside(seen, whole: dict[str, int]) -> None:
-        # Contexts within a word are the same whatever stood before it.
-        for b, n in whole.items():
-            end = len(b)
-            for d, order in zip(seen, ORDERS):
-                for j in range(order, end + 1):
-                    c = b[j - order : j]
-                    r = d.get(c)
-                    if r is None:
-                        r = d[c] = [0, 0, 0]
-                    r[j == end] += n
-        whole.clear()
+    def batch_contexts(a, b, how, n) -> pa.RecordBatch:
+        keys, counts = [np.zeros(0, np.int64)], [np.zeros((0, 3), np.int64)]
+
+        def add(o: int, columns: list[np.ndarray], k: np.ndarray, kinds: np.ndarray) -> None:
+            if len(k):
+                keys.append((o << BITS) | _buckets(columns, len(k)))
+                c = np.zeros((len(k), 3), np.int64)
+                c[np.arange(len(k)), kinds] = k
+                if kinds[0] == 2:  # an end was counted as an inner pair too: it takes one from the blanks
+                    c[:, 1] = -k
+                counts.append(c)
+
+        w = how == "w"
+        whole = Counter()
+        for word, k in zip(b[w].tolist(), n[w].tolist()):
+            whole[word] += k
+        words, times = list(whole), np.array(list(whole.values()), np.int64)
+        e, most = ~w, ORDERS[-1]
+        left = _codes([(f" {x} " if x else " ").rjust(most + 1, "\0") for x in a[w]], most + 1)
+        right = _codes([x[:most] for x in b[w]], most)
+        last = _codes([_pair(x, y)[-most:].rjust(most, "\0") for x, y in zip(a[e], b[e])], most)
+        for o, order in enumerate(ORDERS):
+            if len(words):
+                for columns, k, ended in _spans(order, left, right, n[w]):
+                    add(o, columns, k, ended.astype(np.int64))
+                for columns, k, ended in _insides(order, words, times):
+                    add(o, columns, k, ended.astype(np.int64))
+            add(o, [last[:, c] for c in range(most - order, most)], n[e], np.full(len(last), 2))
+        key, c = np.concatenate(keys), np.concatenate(counts)
+        order_ = np.argsort(key, kind="stable")
+        key, c = key[order_], c[order_]
+        at = np.flatnonzero(np.append(True, key[1:] != key[:-1])) if len(key) else np.zeros(0, np.int64)
+        sums = np.add.reduceat(c, at, axis=0) if len(at) else c
+        return pa.RecordBatch.from_arrays([pa.array(key[at]), *[pa.array(np.ascontiguousarray(sums[:, k])) for k in range(3)]], schema=target)
 
     def run(batches):
-        seen: list[dict[str, list[int]]] = [{} for _ in ORDERS]
-        whole: dict[str, int] = {}
-        for batch in batches:
-            for a, b, how, n in zip(*[batch.column(batch.schema.get_field_index(c)).to_pylist() for c in ("a", "b", "how", "n")]):
-                s = _pair(a, b)
-                end = len(s)
-                if how == "w":
-                    at = end - len(b)
-                    whole[b] = whole.get(b, 0) + n
-                    for d, order in zip(seen, ORDERS):
-                        for j in range(at + 1, min(end + 1, at + order)):
-                            c = s[j - order if j > order else 0 : j]
-                            r = d.get(c)
-                            if r is None:
-                                r = d[c] = [0, 0, 0]
-                            r[j == end] += n
-                else:  # an end was counted as an inner pair too: it takes one from the blanks
-                    for d, order in zip(seen, ORDERS):
-                        r = d.setdefault(s[end - order if end > order else 0 :], [0, 0, 0])
-                        r[2] += n
-                        r[1] -= n
-            if sum(map(len, seen)) + len(whole) > 2 * FLUSH:
-                inside(seen, whole)
-                yield emit(seen)
-                seen = [{} for _ in ORDERS]
-        inside(seen, whole)
-        yield emit(seen)
+        held, rows = [], 0
+        for batch in chain(batches, [None]):
+            if batch is not None:
+                held.append(batch)
+                rows += batch.num_rows
+            if held and (batch is None or rows > FLUSH):
+                t = pa.Table.from_batches(held)
+                col = lambda c: np.array(t[c].to_pylist(), object)
+                yield batch_contexts(col("a"), col("b"), col("how"), t["n"].to_numpy())
+                held, rows = [], 0
 
     rows = pairs.select("a", "b", "how", "n").mapInArrow(run, "key bigint, l bigint, s bigint, e bigint")
     return rows.groupBy("key").agg(*[F.sum(c).alias(c) for c in "lse"])
@@ -265,36 +370,30 @@ class Ends:
         self.keys, self.counts, self.titles = keys, counts, titles  # sorted keys; a row a key (letter, blank, end)
         total = counts[: np.searchsorted(keys, 1 << BITS)].sum(0).astype(float) + 1
         self.base = (total / total.sum()).tolist()
-        self.memo: dict[str, tuple[float, float]] = {}
-        self.flat: tuple[memoryview, memoryview] | None = None
-
-    def odds(self, before: str) -> tuple[float, float]:
-        """Log-odds that a unit ends after ``before``, and that a word does."""
-        s = context(before)
-        got = self.memo.get(s)
-        if got is None:
-            if len(self.memo) > 200_000:
-                self.memo.clear()
-            if self.flat is None:
-                self.flat = memoryview(self.keys), memoryview(self.counts.reshape(-1))
-            keys, flat = self.flat
-            p, at = self.base, 0
-            for o, order in enumerate(ORDERS):
-                if len(s) < order and o:
-                    break
-                key = (o << BITS) | _bucket(s[-order:])
-                at = bisect_left(keys, key, at)
-                if at == len(keys) or keys[at] != key:
-                    break
-                l, b, e = flat[3 * at : 3 * at + 3]
-                n = l + b + e + KAPPA
-                p = [(l + KAPPA * p[0]) / n, (b + KAPPA * p[1]) / n, (e + KAPPA * p[2]) / n]
-            got = self.memo[s] = (math.log(p[2] + 1e-9) - math.log(p[0] + p[1] + 1e-9), math.log(p[1] + p[2] + 1e-9) - math.log(p[0] + 1e-9))
-        return got
-
-
-def train(responses: DataFrame) -> Ends:
-    pairs = materialise(corpus_counts(responses), "p6-counts")
+
+    def final(self, ends: list[dict]) -> dict:
+        """Of the endings of a text the first whose last line is no running title."""
+        return next(e for e in ends if e["foot"] is None or not titled(e["foot"], self.titles))
+
+    def odds(self, contexts: list[str]) -> np.ndarray:
+        """Log-odds that a unit ends after each context, and that a word does: a row of two a context."""
+        most, n = ORDERS[-1], len(contexts)
+        codes = _codes([c[-most:].rjust(most, "\0") for c in contexts], most)
+        long = np.array([len(c) for c in contexts], np.int64)
+        p, on = np.tile(np.array(self.base), (n, 1)), np.ones(n, bool)
+        for o, order in enumerate(ORDERS):
+            key = (o << BITS) | _buckets([codes[:, c] for c in range(most - order, most)], n)
+            at = np.minimum(np.searchsorted(self.keys, key), len(self.keys) - 1)
+            on &= ((long >= order) | (o == 0)) & (self.keys[at] == key if len(self.keys) else False)
+            c = self.counts[at] if len(self.keys) else np.zeros((n, 3))
+            p = np.where(on[:, None], (c + KAPPA * p) / (c.sum(1, keepdims=True) + KAPPA), p)
+        p = np.log(p + 1e-9), np.log(p[:, :2].sum(1) + 1e-9), np.log(p[:, 1:].sum(1) + 1e-9)
+        return np.stack([p[0][:, 2] - p[1], p[2] - p[0][:, 0]], 1)
+
+
+def train(passed: DataFrame) -> Ends:
+    """The model from the counts of ``read_texts``."""
+    pairs = materialise(passed.where("how is not null").groupBy("a", "b", "how").agg(F.sum("n").alias("n")), "p6-counts")
     lines = pairs.where("how = 't'")
     alone = lines.agg(F.sum("n")).first()[0] or 0
     titles = frozenset(r.a for r in lines.where(F.col("n") >= max(4, TITLE_SHARE * alone)).select("a").collect())
@@ -308,39 +407,44 @@ def train(responses: DataFrame) -> Ends:
     return Ends(key[order], counts, titles)
 
 
-def measure(responses: DataFrame, ends: Ends, common: DataFrame) -> DataFrame:
+_FRONT = re.compile(r"(?:<[^<>]*>|\{\{[^{}]*\}\}|\\\w+\{|[>*_'`\[“„«\s])+")
+
+
+def _head(text: str) -> str:
+    """The first line that is not a running head, without markup before it."""
+    at = 0
+    while True:
+        end = text.find("\n", at)
+        line = text[at : end if end >= 0 else len(text)]
+        if line.strip() and not ((_DIGITS.search(line) or len(line) < 12) and 0 in furniture(text[at:].split("\n", 4)[:4])):
+            m = _FRONT.match(line)
+            return line[m.end() :] if m else line
+        if end < 0:
+            return ""
+        at = end + 1
+
+
+def measure(passed: DataFrame, ends: Ends) -> DataFrame:
     """One small row a response: log-odds at its end and at all complete ends inside (those without a full stop, as the end in
     question is), and what the exact checks compare."""
-    known = word_languages(common)
-    shared = responses.sparkSession.sparkContext.broadcast(ends)
+    shared = passed.sparkSession.sparkContext.broadcast(ends)
+    same = ["response_id", "seen", "model", "doc", "page", "lang", "length", "n_words", "head_low", "stops"]
+    schema = "response_id bigint, seen bigint, model string, doc bigint, page int, lang string, length int, n_words int, head_low boolean, stops array<int>, odds double, word_odds double, inner array<float>, mark boolean, closed boolean, tail bigint, last int"
+    target = to_arrow_schema(StructType.fromDDL(schema))
 
-    def start():
+    def run(batches):
         ends = shared.value
+        for batch in batches:
+            last = [ends.final(x) for x in batch.column(len(same)).to_pylist()]
+            inner = batch.column(len(same) + 1)
+            size, n = batch.num_rows, len(inner.flatten())
+            got = ends.odds([x["context"] for x in last] + inner.flatten().to_pylist())
+            yield pa.RecordBatch.from_arrays([
+                *[pa.array(batch.column(k), target[k].type) for k in range(len(same))], pa.array(got[:size, 0]), pa.array(got[:size, 1]),
+                pa.ListArray.from_arrays(pc.cast(pc.subtract(inner.offsets, inner.offsets[0]), pa.int32()), pa.array(got[size : size + n, 0].astype(np.float32))),
+                *[pa.array([x[f.name] for x in last], f.type) for f in list(target)[len(same) + 3 :]]], schema=target)
 
-        def work(cols):
-            names = ("response_id", "seen", "model", "doc", "page", "lang", "length", "odds", "word_odds", "inner", "mark", "closed", "tail", "head_low", "n_words", "last", "stops")
-            out = {k: [] for k in names}
-            for rid, seen, model, doc, page, text in zip(*cols):
-                if text is None or not text.strip():
-                    continue
-                words = text.lower().split()
-                body, mark = ending(text, ends.titles)
-                odds, word_odds = ends.odds(body)
-                inner = [ends.odds(u)[0] for u in inner_ends(text)]
-                lines = text.split("\n", 4)[:4]
-                skip = set(furniture(lines))
-                head = next((x.strip() for i, x in enumerate(lines) if i not in skip and x.strip()), "")
-                head = re.sub(r"^(?:<[^<>]*>|\{\{[^{}]*\}\}|\\\w+\{|[>*_'`\[“„«\s])+", "", head)
-                tail = " ".join(re.findall(r"\w+", body[-60:].lower())[-3:])
-                row = (rid, seen, model or "", doc, page, guess_language(words, known), len(text), odds, word_odds, inner, mark, closed(body), zlib.crc32(tail.encode()), head[:1].islower(), len(words), last_words(body), stops(text))
-                for k, v in zip(names, row):
-                    out[k].append(v)
-            return out
-
-        return work
-
-    schema = "response_id bigint, seen bigint, model string, doc bigint, page int, lang string, length int, odds double, word_odds double, inner array<float>, mark boolean, closed boolean, tail bigint, head_low boolean, n_words int, last bigint, stops array<bigint>"
-    return map_rows(responses, schema, ["response_id", "seen", "model", "doc", "page_num", "natural_text"], start)
+    return passed.where("how is null").select(*same, "ends", "inner").mapInArrow(run, schema)
 
 
 def thresholds(rows: DataFrame, quantile: float = QUANTILE) -> DataFrame:
@@ -366,7 +470,7 @@ def passed_by(rows: DataFrame) -> DataFrame:
     past them in a longer text."""
     page = ["doc", "page"]
     more = rows.select(*page, F.col("model").alias("_m"), F.col("n_words").alias("_n"), F.explode("stops").alias("last"))
-    own = rows.where("closed and last is not null").select("response_id", *page, "model", "n_words", "last")
+    own = rows.where("last is not null").select("response_id", *page, "model", "n_words", "last")
     return own.join(more, [*page, "last"]).where((F.col("_m") != F.col("model")) & (F.col("_n") >= F.col("n_words") + BEYOND)).groupBy("response_id").agg(F.countDistinct("_m").alias("others"))
 
 
@@ -398,8 +502,8 @@ def page_key(path, response):
 def _measured(spark, sf_dir):
     r = spread(read(spark, sf_dir, "page_responses", "response_id", "model", "source_path", "page_num", "natural_text", "ingested_at"))
     r = r.withColumn("seen", F.unix_micros(F.col("ingested_at").cast("timestamp"))).withColumn("doc", page_key(F.col("source_path"), F.col("response_id"))).withColumn("page_num", F.coalesce("page_num", F.lit(-1)))
-    rows = measure(r, train(r), read(spark, sf_dir, "common_words"))
-    return materialise(latest(rows, ["response_id"], "seen"), "p6-rows")
+    passed = materialise(read_texts(r, read(spark, sf_dir, "common_words")), "p6-texts")
+    return materialise(latest(measure(passed, train(passed)), ["response_id"], "seen"), "p6-rows")
 
 
 def p6_found(spark, sf_dir):
