@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import StructType
 
-from ..session import materialise, shared_dir, spread  # noqa: F401
+from ..session import materialise, settled, shared_dir, spread  # noqa: F401
 
 LANGS = ("en", "de", "fr", "es", "pt", "pl", "ru")
 
@@ -25,23 +25,29 @@ def read(spark: SparkSession, sf_dir: str, table: str, *columns: str) -> DataFra
 
 
 def all_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """``tbl, record_id, model, seen, text`` of both page tables; ``seen`` orders deliveries of one record."""
-    r = spread(read(spark, sf_dir, "page_responses", "response_id", "model", "natural_text", "ingested_at")).select(
-        F.lit("page_responses").alias("tbl"), F.col("response_id").alias("record_id"), "model",
-        F.unix_micros(F.col("ingested_at").cast("timestamp")).alias("seen"), F.col("natural_text").alias("text"))
-    t = spread(read(spark, sf_dir, "page_texts", "text_id", "model", "text")).select(
-        F.lit("page_texts").alias("tbl"), F.col("text_id").alias("record_id"), "model", F.lit(0).cast("bigint").alias("seen"), "text")
+    """``tbl, record_id, model, text`` of both page tables, each record once: of re-delivered ones the latest."""
+    r = settled(read(spark, sf_dir, "page_responses", "response_id", "model", "natural_text", "ingested_at"), ["response_id"], "ingested_at")
+    r = spread(r).select(F.lit("page_responses").alias("tbl"), F.col("response_id").alias("record_id"), "model", F.col("natural_text").alias("text"))
+    t = spread(settled(read(spark, sf_dir, "page_texts", "text_id", "model", "text"), ["text_id"])).select(F.lit("page_texts").alias("tbl"), F.col("text_id").alias("record_id"), "model", "text")
     return r.unionByName(t)
 
 
-def latest(df: DataFrame, keys: list[str], order: str) -> DataFrame:
-    """One row per key: the delivery with the greatest ``order``, ties broken by the row's own values.
+#: Rows up to which a table of groups is broadcast; pieces into which a group's rows are cut where it has more.
+SMALL, SALT = 50_000, 16
 
-    Aggregates instead of windowing, so a key delivered very often is combined before the shuffle.
+
+def with_group(rows: DataFrame, groups: DataFrame, keys: list[str], small: int = SMALL) -> DataFrame:
+    """``rows`` with the columns of ``groups``, which has one row a key; null where there is none.
+
+    A group may hold any share of the rows: ``groups`` is counted and broadcast if it has ``small`` rows at most, else its rows are repeated
+    and a key's rows are cut into pieces.
     """
-    rest = [c for c in df.columns if c not in keys and c != order]
-    packed = F.max(F.struct(F.col(order), *[F.col(c) for c in rest])).alias("_row")
-    return df.groupBy(*keys).agg(packed).select(*keys, *[F.col(f"_row.{c}").alias(c) for c in [order, *rest]])
+    groups = materialise(groups, "groups")
+    if groups.count() <= small:
+        return rows.join(F.broadcast(groups), keys, "left")
+    cut = rows.withColumn("_salt", F.pmod(F.xxhash64(*[c for c, kind in rows.dtypes if not kind.startswith("map")]), F.lit(SALT)))
+    many = groups.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALT - 1))).cast("bigint"))
+    return cut.join(many, [*keys, "_salt"], "left").drop("_salt")
 
 
 def map_rows(df: DataFrame, schema: str, columns: list[str], start: Callable[[], Callable[[list[list]], dict[str, list]]]) -> DataFrame:
@@ -101,11 +107,6 @@ def guess_language(words: Iterable[str], known: dict[str, tuple[str, ...]]) -> s
     return max(sorted(c), key=c.__getitem__) if c else ""
 
 
-def found(df: DataFrame, flag: str) -> DataFrame:
-    """Record ids whose latest delivery has ``flag``."""
-    return latest(df.select("tbl", "record_id", "seen", flag), ["tbl", "record_id"], "seen").where(F.col(flag)).select("tbl", "record_id")
-
-
 def label_language(label: str | None, names: dict[str, Iterable[str]]) -> str | None:
     """The two-letter code that a spelled label names, or None."""
     s = (label or "").strip().lower().replace("_", "-")

@@ -22,7 +22,7 @@ from operator import ne
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import all_texts, count_map, found, latest, map_rows, materialise
+from .common import all_texts, count_map, map_rows, materialise
 
 #: The letters beyond ASCII of the languages at hand, and signs that running text uses.
 LETTERS = {
@@ -392,39 +392,37 @@ def restore(reader: Reader, source: str, text: str) -> tuple[str, int, bool]:
 
 
 def encoding_flags(texts: DataFrame, reader: Reader) -> DataFrame:
-    """``tbl, record_id, seen, is_case`` of each non-null text."""
+    """``tbl, record_id, is_case`` of each non-null text."""
 
     def start():
         def work(cols):
-            keep = [i for i, t in enumerate(cols[4]) if t is not None]
-            return {"tbl": [cols[0][i] for i in keep], "record_id": [cols[1][i] for i in keep], "seen": [cols[2][i] for i in keep],
-                    "is_case": [_flag(reader, cols[3][i] or "", cols[4][i]) for i in keep]}
+            keep = [i for i, t in enumerate(cols[3]) if t is not None]
+            return {"tbl": [cols[0][i] for i in keep], "record_id": [cols[1][i] for i in keep], "is_case": [_flag(reader, cols[2][i] or "", cols[3][i]) for i in keep]}
 
         return work
 
-    return map_rows(texts, "tbl string, record_id bigint, seen bigint, is_case boolean", ["tbl", "record_id", "seen", "model", "text"], start)
+    return map_rows(texts, "tbl string, record_id bigint, is_case boolean", ["tbl", "record_id", "model", "text"], start)
 
 
 def restored_texts(texts: DataFrame, reader: Reader) -> DataFrame:
-    """``tbl, record_id, seen, restored, n_words, complete``; a null text stays null."""
+    """``tbl, record_id, restored, n_words, complete``; a null text stays null."""
 
     def start():
         def work(cols):
-            done = [(None, 0, True) if t is None else restore(reader, m or "", t) for m, t in zip(cols[3], cols[4])]
-            return {"tbl": cols[0], "record_id": cols[1], "seen": cols[2], "restored": [d[0] for d in done], "n_words": [d[1] for d in done], "complete": [d[2] for d in done]}
+            done = [(None, 0, True) if t is None else restore(reader, m or "", t) for m, t in zip(cols[2], cols[3])]
+            return {"tbl": cols[0], "record_id": cols[1], "restored": [d[0] for d in done], "n_words": [d[1] for d in done], "complete": [d[2] for d in done]}
 
         return work
 
-    return map_rows(texts, "tbl string, record_id bigint, seen bigint, restored string, n_words int, complete boolean", ["tbl", "record_id", "seen", "model", "text"], start)
+    return map_rows(texts, "tbl string, record_id bigint, restored string, n_words int, complete boolean", ["tbl", "record_id", "model", "text"], start)
 
 
 def p1_found(spark, sf_dir):
     texts = all_texts(spark, sf_dir)
-    return found(encoding_flags(texts, learn(texts)), "is_case")
+    return encoding_flags(texts, learn(texts)).where("is_case").select("tbl", "record_id")
 
 
 def p1_restored(spark, sf_dir):
     """The garbled records with their restored text."""
     texts = all_texts(spark, sf_dir)
-    r = latest(restored_texts(texts, learn(texts)), ["tbl", "record_id"], "seen")
-    return r.where("n_words > 0").select("tbl", "record_id", "restored", "n_words", "complete")
+    return restored_texts(texts, learn(texts)).where("n_words > 0").select("tbl", "record_id", "restored", "n_words", "complete")

@@ -17,7 +17,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import LANGS, label_language, latest, map_rows, read, spread
+from .common import LANGS, label_language, map_rows, read, settled, spread
 
 #: Documents of each language in the training sample, and sentences of each.
 PER_LANGUAGE, SENTENCES = 300, 6
@@ -243,7 +243,7 @@ def train(documents: DataFrame, per_language: int = PER_LANGUAGE, per_document:
 
 
 def languages(responses: DataFrame, machines: Machines) -> DataFrame:
-    """``response_id, seen, label, lang, confidence, stretches`` of each response.
+    """``response_id, label, lang, confidence, stretches`` of each response.
 
     ``stretches``: runs of sentences of one language with confidence, number of sentences and of characters. A null text or one without sentences
     has no language (null, confidence 0) and no stretches.
@@ -254,10 +254,10 @@ def languages(responses: DataFrame, machines: Machines) -> DataFrame:
         scorer = shared.value.start()
 
         def work(cols):
-            rid, seen, label, texts = cols
+            rid, label, texts = cols
             per = [sentences(t) if t else [] for t in texts]
             got = iter(scorer.languages([s for ss in per for s in ss]))
-            out = {"response_id": rid, "seen": seen, "label": [label_language(re.sub(r"[\s(].*", "", x.strip()) if x else x, NAMES) for x in label], "lang": [], "confidence": [], "stretches": []}
+            out = {"response_id": rid, "label": [label_language(re.sub(r"[\s(].*", "", x.strip()) if x else x, NAMES) for x in label], "lang": [], "confidence": [], "stretches": []}
             for ss in per:
                 runs, mass = [], {}
                 for s in ss:
@@ -282,24 +282,21 @@ def languages(responses: DataFrame, machines: Machines) -> DataFrame:
 
         return work
 
-    schema = "response_id bigint, seen bigint, label string, lang string, confidence double, stretches array<struct<lang:string,confidence:double,sentences:int,chars:int,full:boolean>>"
-    return map_rows(responses, schema, ["response_id", "seen", "primary_language", "natural_text"], start)
+    schema = "response_id bigint, label string, lang string, confidence double, stretches array<struct<lang:string,confidence:double,sentences:int,chars:int,full:boolean>>"
+    return map_rows(responses, schema, ["response_id", "primary_language", "natural_text"], start)
 
 
 def _languages(spark, sf_dir):
-    r = spread(read(spark, sf_dir, "page_responses", "response_id", "ingested_at", "primary_language", "natural_text"))
-    r = r.withColumn("seen", F.unix_micros(F.col("ingested_at").cast("timestamp")))
-    return languages(r, train(read(spark, sf_dir, "documents", "doc_id", "lang", "text")))
+    r = settled(read(spark, sf_dir, "page_responses", "response_id", "ingested_at", "primary_language", "natural_text"), ["response_id"], "ingested_at")
+    return languages(spread(r), train(read(spark, sf_dir, "documents", "doc_id", "lang", "text")))
 
 
 def p3_found(spark, sf_dir):
-    # The languages of full sentences that the label does not name; small rows are all that is shuffled.
-    each = _languages(spark, sf_dir).select("response_id", "seen", "label", F.array_distinct(F.transform(F.filter("stretches", lambda x: x["full"]), lambda x: x["lang"])).alias("langs"))
-    one = latest(each, ["response_id"], "seen")
+    # The languages of full sentences that the label does not name.
+    one = _languages(spark, sf_dir).select("response_id", "label", F.array_distinct(F.transform(F.filter("stretches", lambda x: x["full"]), lambda x: x["lang"])).alias("langs"))
     return one.select("response_id", "label", F.explode("langs").alias("lang")).where("label is null or label <> lang").select("response_id", "lang")
 
 
 def p3_languages(spark, sf_dir):
     """Every response's language and confidence, and its stretches."""
-    one = latest(_languages(spark, sf_dir), ["response_id"], "seen")
-    return one.select("response_id", "label", "lang", F.round("confidence", 6).alias("confidence"), F.to_json("stretches").alias("stretches"))
+    return _languages(spark, sf_dir).select("response_id", "label", "lang", F.round("confidence", 6).alias("confidence"), F.to_json("stretches").alias("stretches"))

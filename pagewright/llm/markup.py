@@ -1,22 +1,27 @@
 """Problem 2: markup residue.
 
-A text is cut into pieces: constructs of HTML, Markdown, wiki and LaTeX, and the runs of text between them. Each piece's
-log-odds of being markup (``WEIGHTS``) is a terminal capacity; neighbours, pieces of one dialect and the two ends of an
-element are joined by smoothness edges. The minimum cut labels the pieces; those on the markup side are taken out or
-turned into structure, the rest is content. A sign used as itself (a lone ``*``, ``<``, ``$``) matches no strong pattern and
-stays on the content side unless certain markup of its dialect stands around it.
+A text is cut into pieces: constructs of HTML, Markdown, wiki and LaTeX, and the runs of text between them. A classifier gives each piece its
+log-odds of being markup, which become a terminal capacity; neighbours, pieces of one dialect and the two ends of an element are joined by
+smoothness edges. The minimum cut labels the pieces; those on the markup side are taken out or turned into structure, the rest is content.
+
+The classifier is fitted without labels by expectation-maximization on all texts (``learn``). What can be nothing but markup, and what by the
+statement of the problem is none (plain bullets, rules), is labelled; all other kinds of construct are told by the company they keep. A kind
+that mostly stands in texts with sure markup of its dialect is markup where it stands alone, too; one that mostly stands in plain texts is
+content unless sure markup stands around it.
 """
 
 from __future__ import annotations
 
 import html
+import math
 import re
-from collections import defaultdict, deque
+from collections import Counter, defaultdict, deque
+from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import all_texts, found, latest, map_rows
+from .common import all_texts, count_map, map_rows
 
 #: Tags of HTML and of wiki dialects.
 TAGS = set(
@@ -27,7 +32,7 @@ TAGS = set(
 )
 
 _RUN = r"(?:[^{0}\n]|\n(?!\n))+?"
-#: Name, dialect, log-odds of being markup, pattern. The order decides where two patterns begin at one place.
+#: Name, dialect, prior log-odds of being markup, pattern. The order decides where two patterns begin at one place.
 _PATTERNS = [
     ("comment", "html", 6.0, r"<!--(?:(?!<!--)[\s\S])*?-->"),
     ("tag", "html", 5.0, r"</?[A-Za-z][A-Za-z0-9]*(?:\s+[\w:-]+\s*=\s*(?:\"[^\"<>]*\"|'[^'<>]*'|[^\s<>\"']+))*\s*/?>"),
@@ -75,9 +80,26 @@ _CONSTRUCT = re.compile(r"(?=[<&`~#=|:!>\[{*_'\\$+-])(?:" + "|".join(f"(?P<{n}>{
 _MAYBE = re.compile(r"(?=[<&`~#=|:!>\[{*_'\\$-])(?:[`\\{*\[$]|<[A-Za-z/!]|&[#A-Za-z]|~~|''|(?<!\w)_\w|__\w|^(?:#|==|[|>!]|---|:-))", re.M)
 #: A run of text is content; the longer, the surer.
 TEXT_COST = -3.0
-#: Weights of the smoothness edges.
-NEAR, KIN, PAIR = 0.5, 0.6, 1.0
+#: From these odds on a kind is labelled; a kind with odds between them is learned, from its prior odds, which weigh so much
+#: against the texts that have it, at any size.
+SURE, PLAIN, WEIGHT = 4.0, -1.0, 1.0
 NEAR_CHARS = 40
+#: Edge between a construct and the run of text beside it; the least learned edge; the most that one sign of company may say.
+BESIDE, LEAST, SIGN = 0.2, 0.1, 1.0
+KINDS = {**WEIGHTS, "othertag": 1.0, "baretag": -0.5, "noentity": -1.0}
+
+
+@dataclass(frozen=True)
+class Odds:
+    """What the classifier learned: the log-odds of each kind, and the edges to a neighbour, to one's kin and to the other end of an element."""
+
+    kinds: dict[str, float] = field(default_factory=lambda: dict(KINDS))
+    near: float = 0.5
+    kin: float = 0.6
+    pair: float = 1.0
+
+
+PRIOR = Odds()
 
 
 def pieces(text: str) -> list[tuple[str, int, int]]:
@@ -93,15 +115,74 @@ def pieces(text: str) -> list[tuple[str, int, int]]:
     return out
 
 
-def _odds(name: str, s: str) -> float:
-    if name == "text":
-        return TEXT_COST - min(3.0, len(s) / 100)
-    if name == "tag":
-        known = re.match(r"</?([A-Za-z0-9]+)", s)[1].lower() in TAGS
-        return WEIGHTS[name] if known else 1.0 if "=" in s or s.startswith("</") else -0.5
-    if name == "entity":
-        return WEIGHTS[name] if html.unescape(s) != s else -1.0
-    return WEIGHTS[name]
+def kind_of(name: str, s: str) -> str:
+    """The kind of a construct: its pattern's name, of tags and entities finer."""
+    if name == "tag" and re.match(r"</?([A-Za-z0-9]+)", s)[1].lower() not in TAGS:
+        return "othertag" if "=" in s or s.startswith("</") else "baretag"
+    if name == "entity" and html.unescape(s) == s:
+        return "noentity"
+    return name
+
+
+def company(text: str) -> dict[str, tuple[bool, bool]]:
+    """Of each kind in a text whether sure markup of its dialect, of another kind, is there too, and whether sure markup stands next to it."""
+    at = [(kind_of(n, text[a:b]), DIALECT[n], a, b) for n, a, b in pieces(text) if n != "text"]
+    sure = {(d, k) for k, d, _, _ in at if KINDS[k] >= SURE}
+    near = {
+        x[0] for i, x in enumerate(at) for j in (i - 1, i + 1)
+        if 0 <= j < len(at) and KINDS[at[j][0]] >= SURE and (x[2] - at[j][3] if j < i else at[j][2] - x[3]) <= NEAR_CHARS
+    }
+    return {k: (any(e == d and s != k for e, s in sure), k in near) for k, d, _, _ in at}
+
+
+def fit(counts: dict[tuple[str, bool, bool], int], rounds: int = 100) -> Odds:
+    """Expectation-maximization over (kind, kin, near) counts of texts; a table of some two hundred entries."""
+    odds = dict(KINDS)
+    n = {k: sum(v for (x, _, _), v in counts.items() if x == k) for k in KINDS}
+    signs = [0.0, 0.0], [0.0, 0.0]  # log-odds of kin and near where absent, present
+    for _ in range(rounds):
+        share = {}
+        for (k, kin, near), v in counts.items():
+            sure = KINDS[k] >= SURE
+            x = 1.0 if sure else 0.0 if KINDS[k] <= PLAIN else 1 / (1 + math.exp(-(odds[k] + signs[0][kin] + signs[1][near])))
+            share[k, kin, near] = v * x
+        before = [*odds.values(), *signs[0], *signs[1]]
+        for k, prior in KINDS.items():
+            if PLAIN < prior < SURE:
+                m = sum(v for (x, _, _), v in share.items() if x == k)
+                p = 1 / (1 + math.exp(-prior))
+                w = WEIGHT * (n[k] + 1)
+                odds[k] = math.log((m + w * p) / (n[k] - m + w * (1 - p)))
+        signs = tuple(
+            [math.log(m / c) for m, c in zip(*(
+                [sum(w(key) for key in counts if KINDS[key[0]] > PLAIN and key[place] is bool(on)) + a for on, a in ((0, pseudo[0]), (1, pseudo[1]))]
+                for w, pseudo in ((lambda key: share[key], (0.5, 0.5)), (lambda key: counts[key] - share[key], (0.95, 0.05)))
+            ))] for place in (1, 2)
+        )
+        whole = [sum(share[k] for k in counts if KINDS[k[0]] > PLAIN) + 1, sum(counts[k] - share[k] for k in counts if KINDS[k[0]] > PLAIN) + 1]
+        signs = tuple([max(-SIGN, min(SIGN, x - math.log(whole[0] / whole[1]))) for x in s] for s in signs)
+        if max(abs(x - y) for x, y in zip([*odds.values(), *signs[0], *signs[1]], before)) < 1e-6:
+            break
+    absent = signs[0][0] + signs[1][0]
+    kinds = {k: v + absent if PLAIN < KINDS[k] < SURE and n[k] else v for k, v in odds.items()}
+    edge = lambda s: max(LEAST, s[1] - s[0])
+    return Odds(kinds, edge(signs[1]), edge(signs[0]), edge(signs[0])) if sum(counts.values()) else PRIOR
+
+
+def learn(texts: DataFrame) -> Odds:
+    """The classifier from all texts: counts of kinds by their company are made map-side."""
+
+    def start():
+        def work(cols, out: Counter):
+            for text in cols[0]:
+                if text and _MAYBE.search(text):
+                    for kind, (kin, near) in company(text).items():
+                        out[kind, kin, near] += 1
+
+        return work
+
+    rows = count_map(texts.where("text is not null"), "kind string, kin boolean, near boolean", ["text"], start).collect()  # kinds times four
+    return fit({(r.kind, r.kin, r.near): r.n for r in rows})
 
 
 def minimum_cut(odds: list[float], edges: dict[tuple[int, int], float]) -> list[bool]:
@@ -162,23 +243,27 @@ def minimum_cut(odds: list[float], edges: dict[tuple[int, int], float]) -> list[
     return [bool(x) for x in label]
 
 
-def label_pieces(text: str) -> tuple[list[tuple[str, int, int]], list[bool]]:
+def label_pieces(text: str, odds: Odds = PRIOR) -> tuple[list[tuple[str, int, int]], list[bool]]:
     """The pieces of a text and whether each is on the markup side of the minimum cut."""
     ps = pieces(text)
-    odds = [_odds(n, text[a:b]) for n, a, b in ps]
+    costs = [TEXT_COST - min(3.0, (b - a) / 100) if n == "text" else odds.kinds[kind_of(n, text[a:b])] for n, a, b in ps]
     edges: dict[tuple[int, int], float] = {}
     last: dict[str, int] = {}
     before, opened = None, []
+
+    def join(i: int, j: int, w: float) -> None:
+        edges[(i, j)] = edges.get((i, j), 0.0) + w
+
     for i, (name, a, b) in enumerate(ps):
         if i:  # the run of text beside a construct pulls it a little to its own side
-            edges[(i - 1, i)] = edges.get((i - 1, i), 0.0) + 0.2
+            join(i - 1, i, BESIDE)
         if name == "text":
             continue
         if before is not None and a - ps[before][2] <= NEAR_CHARS:
-            edges[(before, i)] = edges.get((before, i), 0.0) + NEAR
+            join(before, i, odds.near)
         d = DIALECT[name]
         if d in last:
-            edges[(last[d], i)] = edges.get((last[d], i), 0.0) + KIN
+            join(last[d], i, odds.kin)
         if name == "tag":
             tag = re.match(r"</?([A-Za-z0-9]+)", text[a:b])[1].lower()
             if text[a + 1] != "/":
@@ -186,21 +271,18 @@ def label_pieces(text: str) -> tuple[list[tuple[str, int, int]], list[bool]]:
             else:
                 for k in range(len(opened) - 1, -1, -1):
                     if opened[k][0] == tag:
-                        edges[(opened[k][1], i)] = edges.get((opened[k][1], i), 0.0) + PAIR
+                        join(opened[k][1], i, odds.pair)
                         del opened[k:]
                         break
         last[d], before = i, i
-    return ps, minimum_cut(odds, edges)
+    return ps, minimum_cut(costs, edges)
 
 
-def has_markup(text: str | None) -> bool:
+def has_markup(text: str | None, odds: Odds = PRIOR) -> bool:
     """Whether any construct lies on the markup side. Null and empty texts have none."""
     if not text or not _MAYBE.search(text):
         return False
-    ps = pieces(text)
-    if len(ps) == 1 and ps[0][0] == "text":
-        return False
-    ps, labels = label_pieces(text)
+    ps, labels = label_pieces(text, odds)
     return any(x and n != "text" for (n, _, _), x in zip(ps, labels))
 
 
@@ -224,8 +306,8 @@ def _arguments(text: str, at: int) -> int:
     return at
 
 
-def _structured(text: str) -> str:
-    ps, labels = label_pieces(text)
+def _structured(text: str, odds: Odds) -> str:
+    ps, labels = label_pieces(text, odds)
     out, skip_to, table = [], 0, False
     for (name, a, b), markup in zip(ps, labels):
         if b <= skip_to:
@@ -309,7 +391,7 @@ def _plain(s: str) -> str:
     return re.sub(r"\\[A-Za-z]+\*?\{([^{}]*)\}", r"\1", s)
 
 
-def clean_blocks(text: str | None) -> list[tuple[str, str]] | None:
+def clean_blocks(text: str | None, odds: Odds = PRIOR) -> list[tuple[str, str]] | None:
     """The clean text as (kind, text) blocks: heading, paragraph, list, table, code or formula.
 
     A list or table row is one block, cells are parted by tabs. Null stays null, an empty text has no blocks.
@@ -325,7 +407,7 @@ def clean_blocks(text: str | None) -> list[tuple[str, str]] | None:
             out.append(("paragraph", re.sub(r"[ \t]+", " ", "\n".join(para)).strip()))
             para.clear()
 
-    for line in (_structured(text) if _MAYBE.search(text) else text).split("\n"):
+    for line in (_structured(text, odds) if _MAYBE.search(text) else text).split("\n"):
         if "\ue007" in line:
             flush()
             code = not code
@@ -368,41 +450,43 @@ def clean_blocks(text: str | None) -> list[tuple[str, str]] | None:
 # --- operators ----------------------------------------------------------------------------------------------------
 
 
-def markup_flags(texts: DataFrame) -> DataFrame:
-    """``tbl, record_id, seen, is_case`` of each non-null text."""
+def markup_flags(texts: DataFrame, odds: Odds = PRIOR) -> DataFrame:
+    """``tbl, record_id, is_case`` of each non-null text."""
 
     def start():
         def work(cols):
-            keep = [i for i, t in enumerate(cols[3]) if t is not None]
-            return {"tbl": [cols[0][i] for i in keep], "record_id": [cols[1][i] for i in keep], "seen": [cols[2][i] for i in keep], "is_case": [has_markup(cols[3][i]) for i in keep]}
+            keep = [i for i, t in enumerate(cols[2]) if t is not None]
+            return {"tbl": [cols[0][i] for i in keep], "record_id": [cols[1][i] for i in keep], "is_case": [has_markup(cols[2][i], odds) for i in keep]}
 
         return work
 
-    return map_rows(texts, "tbl string, record_id bigint, seen bigint, is_case boolean", ["tbl", "record_id", "seen", "text"], start)
+    return map_rows(texts, "tbl string, record_id bigint, is_case boolean", ["tbl", "record_id", "text"], start)
 
 
-def clean_texts(texts: DataFrame) -> DataFrame:
-    """``tbl, record_id, seen, clean_text, blocks`` of each text; ``blocks`` tells headings, lists, tables, code and formulas apart."""
+def clean_texts(texts: DataFrame, odds: Odds = PRIOR) -> DataFrame:
+    """``tbl, record_id, clean_text, blocks`` of each text; ``blocks`` tells headings, lists, tables, code and formulas apart."""
 
     def start():
         def work(cols):
-            blocks = [clean_blocks(t) for t in cols[3]]
-            return {"tbl": cols[0], "record_id": cols[1], "seen": cols[2],
+            blocks = [clean_blocks(t, odds) for t in cols[2]]
+            return {"tbl": cols[0], "record_id": cols[1],
                     "clean_text": [None if b is None else "\n".join(t for _, t in b) for b in blocks],
                     "blocks": [None if b is None else [{"kind": k, "text": t} for k, t in b] for b in blocks]}
 
         return work
 
-    schema = "tbl string, record_id bigint, seen bigint, clean_text string, blocks array<struct<kind:string,text:string>>"
-    return map_rows(texts, schema, ["tbl", "record_id", "seen", "text"], start)
+    schema = "tbl string, record_id bigint, clean_text string, blocks array<struct<kind:string,text:string>>"
+    return map_rows(texts, schema, ["tbl", "record_id", "text"], start)
 
 
 def p2_found(spark, sf_dir):
-    return found(markup_flags(all_texts(spark, sf_dir)), "is_case")
+    texts = all_texts(spark, sf_dir)
+    return markup_flags(texts, learn(texts)).where("is_case").select("tbl", "record_id")
 
 
 def p2_clean(spark, sf_dir):
     """Clean text and number of blocks of each kind, for every record."""
-    c = latest(clean_texts(all_texts(spark, sf_dir)), ["tbl", "record_id"], "seen")
+    texts = all_texts(spark, sf_dir)
+    c = clean_texts(texts, learn(texts))
     n = lambda k: F.size(F.filter("blocks", lambda b: b["kind"] == k)).alias(f"n_{k}")
     return c.select("tbl", "record_id", "clean_text", *[n(k) for k in ("heading", "paragraph", "list", "table", "code", "formula")])

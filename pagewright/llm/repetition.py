@@ -12,7 +12,7 @@ from collections import Counter
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import all_texts, guess_language, latest, map_rows, materialise, read, word_languages
+from .common import all_texts, guess_language, map_rows, materialise, read, with_group, word_languages
 
 SPAN = 5
 #: The share from which a text counts as repetitive, whatever its group's threshold.
@@ -50,60 +50,63 @@ def normal_words(text: str) -> list[str]:
 
 
 def repetition_shares(texts: DataFrame, common: DataFrame, span: int = SPAN) -> DataFrame:
-    """``tbl, record_id, seen, model, lang, n_words, share, line_share, paragraph_share`` of each non-null text.
+    """``tbl, record_id, model, lang, n_words, share, line_share, paragraph_share`` of each non-null text.
 
-    Null texts give no row, a text without words has share 0. Repeated deliveries are still there: see ``latest``.
+    Null texts give no row, a text without words has share 0.
     """
     known = word_languages(common)
 
     def start():
         def work(cols):
-            out = {k: [] for k in ("tbl", "record_id", "seen", "model", "lang", "n_words", "share", "line_share", "paragraph_share")}
-            for tbl, rid, seen, model, text in zip(*cols):
+            out = {k: [] for k in ("tbl", "record_id", "model", "lang", "n_words", "share", "line_share", "paragraph_share")}
+            for tbl, rid, model, text in zip(*cols):
                 if text is None:
                     continue
                 words = normal_words(text)
                 lines = [x for x in map(str.strip, text.split("\n")) if x]
                 paras = [x for x in map(str.strip, text.split("\n\n")) if x] if "\n\n" in text else []
-                row = (tbl, rid, seen, model or "", guess_language(words, known), len(words), repeated_share(words, span), duplicate_share(lines), duplicate_share(paras))
+                row = (tbl, rid, model or "", guess_language(words, known), len(words), repeated_share(words, span), duplicate_share(lines), duplicate_share(paras))
                 for k, v in zip(out, row):
                     out[k].append(v)
             return out
 
         return work
 
-    schema = "tbl string, record_id bigint, seen bigint, model string, lang string, n_words int, share double, line_share double, paragraph_share double"
-    return map_rows(texts, schema, ["tbl", "record_id", "seen", "model", "text"], start)
+    schema = "tbl string, record_id bigint, model string, lang string, n_words int, share double, line_share double, paragraph_share double"
+    return map_rows(texts, schema, ["tbl", "record_id", "model", "text"], start)
 
 
-def thresholds(shares: DataFrame, quantile: float = 0.9, floor: float = 0.02, cap: float = CASE) -> DataFrame:
+def thresholds(shares: DataFrame, quantile: float = 0.9, floor: float = 0.02, cap: float | None = None) -> DataFrame:
     """Each language's and source's own threshold: an upper quantile of its shares, from sketches merged over tasks.
 
-    ``cap`` keeps a group that repeats throughout from hiding its own cases.
+    ``floor`` keeps a group without repetition from naming every text; ``cap`` a group that repeats throughout from hiding its own cases.
     """
     sketch = shares.groupBy("lang", "model").agg(F.kll_sketch_agg_double("share").alias("sketch"), F.count("*").alias("n_texts"))
-    q = F.kll_sketch_get_quantile_double("sketch", F.lit(quantile))
-    return sketch.select("lang", "model", "n_texts", F.least(F.lit(cap), F.greatest(F.lit(floor), q)).alias("threshold"))
+    q = F.greatest(F.lit(floor), F.kll_sketch_get_quantile_double("sketch", F.lit(quantile)))
+    return sketch.select("lang", "model", "n_texts", (q if cap is None else F.least(F.lit(cap), q)).alias("threshold"))
 
 
-def repetitive(shares: DataFrame, case: float = CASE) -> DataFrame:
-    """Rows above their group's threshold, with ``threshold`` and ``is_case`` (the exact check against ``case``)."""
-    return (shares.join(thresholds(shares, cap=case).select("lang", "model", "threshold"), ["lang", "model"])
-            .where(F.col("share") >= F.col("threshold")).withColumn("is_case", F.col("share") >= F.lit(case)))
+def repetitive(shares: DataFrame, case: float | None = None, quantile: float = 0.9) -> DataFrame:
+    """Rows that reach their group's ``threshold``.
+
+    With ``case`` no group's threshold is above it, and ``is_case`` tells the rows that reach ``case`` too: where one share is asked for in all
+    groups, the sketches can leave texts out beforehand but not decide.
+    """
+    own = thresholds(shares, quantile, cap=case).drop("n_texts")
+    return with_group(shares, own, ["lang", "model"]).where(F.col("share") >= F.col("threshold")).withColumn("is_case", F.col("share") >= F.lit(case or 0.0))
 
 
 def _shares(spark, sf_dir):
-    s = repetition_shares(all_texts(spark, sf_dir), read(spark, sf_dir, "common_words"))
-    return materialise(latest(s, ["tbl", "record_id"], "seen"), "p5-shares")
+    return materialise(repetition_shares(all_texts(spark, sf_dir), read(spark, sf_dir, "common_words")), "p5-shares")
 
 
 def p5_found(spark, sf_dir):
-    return repetitive(_shares(spark, sf_dir)).where("is_case").select("tbl", "record_id")
+    return repetitive(_shares(spark, sf_dir), CASE).where("is_case").select("tbl", "record_id")
 
 
 def p5_shares(spark, sf_dir):
-    """Every text's shares beside its group's threshold."""
+    """Every text's shares beside its group's threshold, and whether the group's own threshold names it."""
     s = _shares(spark, sf_dir)
     r = lambda c: F.round(c, 6).alias(c)
-    return s.join(thresholds(s).select("lang", "model", "threshold"), ["lang", "model"]).select(
-        "tbl", "record_id", "model", "lang", "n_words", r("share"), r("line_share"), r("paragraph_share"), r("threshold"))
+    return with_group(s, thresholds(s).drop("n_texts"), ["lang", "model"]).select(
+        "tbl", "record_id", "model", "lang", "n_words", r("share"), r("line_share"), r("paragraph_share"), r("threshold"), (F.col("share") >= F.col("threshold")).alias("is_repetitive"))

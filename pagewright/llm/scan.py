@@ -18,7 +18,7 @@ from collections import Counter, defaultdict
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import all_texts, count_map, found, latest, map_rows, materialise
+from .common import all_texts, count_map, map_rows, materialise
 
 #: What a recognizer makes (second) of a true character or pair (first).
 CONFUSIONS = [
@@ -41,6 +41,7 @@ PUNCT = ".,;:?…\"“”„«»‘()[]{}<>*_#|`~=+–—•·/\\"
 _PAGE = re.compile(r"(?:" + "|".join(map(re.escape, PAGE_WORDS)) + r")[ \xa0]?\d{1,4}(?:[ \xa0](?:of|de|von|sur|z|из|/|sobre|do)[ \xa0]?\d{1,4}|/\d{1,4})?")
 _ROMAN = re.compile(r"(?:[-–—] ?)?(?=[ivxlc])(?:c{0,3})(?:xc|xl|l?x{0,3})(?:ix|iv|v?i{0,3})(?: ?[-–—])?")
 _DASHED = re.compile(r"[-–—‒―·•*\[(] ?\d{1,4} ?[-–—‒―·•*\])]")
+_DASHES = "-–—‒―·•*[("
 _NUMBER = re.compile(r"\d{1,4}")
 _BARRED = re.compile(r"\d{1,4} ?\| ?[^\d|]*[^\W\d_][^\d|]*|[^\d|]*[^\W\d_][^\d|]* ?\| ?\d{1,4}")
 _HEAD = re.compile(r"([^\d|\t]*?[^\W\d_])[ .…]{2,}(\d{1,4})|(\d{1,4}) {2,}([^\W\d_][^\d|\t]*)")
@@ -70,21 +71,21 @@ def furniture(lines: list[str], titles=frozenset()) -> list[int]:
 
     A bare number, or one of the ``titles`` with a name, is one only at the text's edge.
     """
-    filled = [i for i, x in enumerate(lines) if x.strip()]
+    filled = [i for i, x in enumerate(lines) if x and not x.isspace()]
     if not filled:
         return []
-    edge, out = {filled[0], filled[-1]}, []
+    first, last, out = filled[0], filled[-1], []
     for i in filled:
-        s = lines[i].strip()
-        if len(s) > 100 or not any(c.isdigit() for c in s):
-            if i in edge and len(filled) > 1 and (len(s) < 12 and _ROMAN.fullmatch(s) or titles and titled(s, titles)):
+        s, edge = lines[i].strip(), i == first or i == last
+        if not _DIGIT.search(s):
+            if edge and first != last and (len(s) < 12 and _ROMAN.fullmatch(s) or titles and titled(s, titles)):
                 out.append(i)
-            continue
-        if i in edge and (_NUMBER.fullmatch(s) or _PAGE.fullmatch(s)) or _DASHED.fullmatch(s) and (i in edge or s[0] not in "*(["):
+        elif edge and (_NUMBER.fullmatch(s) or _PAGE.fullmatch(s)) or s[0] in _DASHES and _DASHED.fullmatch(s) and (edge or s[0] not in "*(["):
             out.append(i)
-        elif _BARRED.fullmatch(s) and not ("|" in s[s.index("|") + 1 :]) and (i in edge or not _rows_beside(lines, i, "|")):
-            out.append(i)
-        elif m := _HEAD.fullmatch(s):
+        elif "|" in s:
+            if s.count("|") == 1 and _BARRED.fullmatch(s) and (edge or not _rows_beside(lines, i, "|")):
+                out.append(i)
+        elif ("  " in s or ".." in s or "…" in s or " ." in s or ". " in s) and (m := _HEAD.fullmatch(s)):
             title = m[1] or m[4]
             if title == title.upper() and sum(map(str.isalpha, title)) > 2 and ".." not in s:
                 out.append(i)
@@ -312,43 +313,43 @@ def _flag(channel: Channel, text: str) -> bool:
 
 
 def scan_flags(texts: DataFrame, channel: Channel) -> DataFrame:
-    """``tbl, record_id, seen, is_case`` of each non-null text."""
+    """``tbl, record_id, is_case`` of each non-null text."""
     shared = texts.sparkSession.sparkContext.broadcast(channel)
 
     def start():
         channel = shared.value
 
         def work(cols):
-            keep = [i for i, t in enumerate(cols[3]) if t is not None]
-            return {"tbl": [cols[0][i] for i in keep], "record_id": [cols[1][i] for i in keep], "seen": [cols[2][i] for i in keep], "is_case": [_flag(channel, cols[3][i]) for i in keep]}
+            keep = [i for i, t in enumerate(cols[2]) if t is not None]
+            return {"tbl": [cols[0][i] for i in keep], "record_id": [cols[1][i] for i in keep], "is_case": [_flag(channel, cols[2][i]) for i in keep]}
 
         return work
 
-    return map_rows(texts, "tbl string, record_id bigint, seen bigint, is_case boolean", ["tbl", "record_id", "seen", "text"], start)
+    return map_rows(texts, "tbl string, record_id bigint, is_case boolean", ["tbl", "record_id", "text"], start)
 
 
 def repaired_texts(texts: DataFrame, channel: Channel) -> DataFrame:
-    """``tbl, record_id, seen, repaired, n_heads, n_joined, n_corrected``; a null text stays null."""
+    """``tbl, record_id, repaired, n_heads, n_joined, n_corrected``; a null text stays null."""
     shared = texts.sparkSession.sparkContext.broadcast(channel)
 
     def start():
         channel = shared.value
 
         def work(cols):
-            done = [(None, 0, 0, 0) if t is None else channel.repair(t) for t in cols[3]]
-            return {"tbl": cols[0], "record_id": cols[1], "seen": cols[2], "repaired": [d[0] for d in done], "n_heads": [d[1] for d in done], "n_joined": [d[2] for d in done], "n_corrected": [d[3] for d in done]}
+            done = [(None, 0, 0, 0) if t is None else channel.repair(t) for t in cols[2]]
+            return {"tbl": cols[0], "record_id": cols[1], "repaired": [d[0] for d in done], "n_heads": [d[1] for d in done], "n_joined": [d[2] for d in done], "n_corrected": [d[3] for d in done]}
 
         return work
 
-    return map_rows(texts, "tbl string, record_id bigint, seen bigint, repaired string, n_heads int, n_joined int, n_corrected int", ["tbl", "record_id", "seen", "text"], start)
+    return map_rows(texts, "tbl string, record_id bigint, repaired string, n_heads int, n_joined int, n_corrected int", ["tbl", "record_id", "text"], start)
 
 
 def p7_found(spark, sf_dir):
     texts = all_texts(spark, sf_dir)
-    return found(scan_flags(texts, learn(texts)), "is_case")
+    return scan_flags(texts, learn(texts)).where("is_case").select("tbl", "record_id")
 
 
 def p7_repaired(spark, sf_dir):
     """Every record's text as continuous paragraphs, with the number of repairs."""
     texts = all_texts(spark, sf_dir)
-    return latest(repaired_texts(texts, learn(texts)), ["tbl", "record_id"], "seen").drop("seen")
+    return repaired_texts(texts, learn(texts))

@@ -16,7 +16,9 @@ from __future__ import annotations
 import math
 import re
 import zlib
+from bisect import bisect_left
 from collections import Counter
+from collections.abc import Iterable
 from itertools import chain
 
 import numpy as np
@@ -27,7 +29,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import StructType
 
-from .common import FLUSH, guess_language, latest, materialise, read, spread, word_languages
+from .common import FLUSH, guess_language, materialise, read, settled, spread, with_group, word_languages
 from .scan import TITLE_SHARE, furniture, stands_alone, titled
 
 ORDERS = (2, 3, 4, 6, 8)
@@ -153,10 +155,13 @@ def stops(words: list[str]) -> list[int]:
     if len(words) <= BEYOND:
         return []
     text = " ".join(words)
-    keys = [(m.start(), _key(text[m.start() - LAST : m.start()])) for m in _STOPS.finditer(text) if m.start() >= LAST]
-    n = Counter(k for _, k in keys)
+    at = [k for k in [m.start() for m in _STOPS.finditer(text)] if k >= LAST]
+    keys = [_key(text[k - LAST : k]) for k in at]
     most = len(text) - len(" ".join(words[-BEYOND:]))
-    return [k for at, k in keys if at < most and n[k] == 1]
+    if len(set(keys)) == len(keys):
+        return keys[: bisect_left(at, most)]
+    n = Counter(keys)
+    return [x for k, x in zip(at, keys) if k < most and n[x] == 1]
 
 
 def last_key(body: str) -> int | None:
@@ -174,9 +179,11 @@ _START, _END, _CUT = 0, 1, 2
 class _Numbers(dict):
     """Words in lower case, numbered as they come."""
 
-    def __init__(self):
+    def __init__(self, known: Iterable[str] = ()):
         super().__init__()
-        self.words: list[str] = ["", "", ""]
+        self.words: list[str] = ["", "", "", *known]
+        self.update((w, i) for i, w in enumerate(self.words) if i > _CUT)
+        self.known = len(self.words)
 
     def __missing__(self, word: str) -> int:
         plain = _DIGITS.sub("0", word)
@@ -189,7 +196,7 @@ class _Numbers(dict):
 
 
 FEATURES = (
-    "response_id bigint, seen bigint, model string, doc bigint, page int, lang string, length int, n_words int, head_low boolean, "
+    "response_id bigint, model string, doc bigint, page int, lang string, length int, n_words int, head_low boolean, "
     "ends array<struct<foot:string,context:string,mark:boolean,closed:boolean,tail:bigint,last:int>>, inner array<string>, stops array<int>"
 )
 COUNTS = "a string, b string, how string, n bigint"
@@ -224,28 +231,27 @@ def read_texts(responses: DataFrame, common: DataFrame) -> DataFrame:
         return pa.RecordBatch.from_arrays([pa.array(out[f.name], f.type) if f.name in out else pa.nulls(size, f.type) for f in target], schema=target)
 
     def run(batches):
-        numbers, flat, alone = _Numbers(), [_CUT], Counter()
+        numbers, flat, alone = _Numbers(known), [_CUT], Counter()
         for batch in batches:
             out = {k: [] for k in names}
-            for rid, seen, model, doc, page, text in zip(*[c.to_pylist() for c in batch.columns]):
+            for rid, model, doc, page, text in zip(*[c.to_pylist() for c in batch.columns]):
                 if text is None or not text.strip():
                     continue
-                words, ends, new = [], [], False
-                get, at = numbers.__getitem__, numbers.words
+                words, ends, new, began = [], [], False, len(flat)
+                get, at, most = numbers.__getitem__, numbers.words, numbers.known
                 for para in text.split("\n\n"):
                     if stands_alone(para):
                         alone[para] += 1
                     for unit in units_of(para):
                         ws = unit.lower().split()
                         if ws:
-                            ids = list(map(get, ws))
                             flat.append(_START)
-                            flat += ids
-                            flat.append(_END)
+                            flat.extend(map(get, ws))
                             words += ws
                             new = not closed(ws[-1])  # of the last unit, which may be cut, the end does not count
                             if new:
-                                ends.append(_pair(at[ids[-2]][-7:] if len(ids) > 1 else "", at[ids[-1]])[-ORDERS[-1] :])
+                                ends.append(_pair(at[flat[-2]][-7:], at[flat[-1]])[-ORDERS[-1] :])
+                            flat.append(_END)
                 flat[-1] = _CUT
                 if new:
                     ends.pop()
@@ -254,17 +260,17 @@ def read_texts(responses: DataFrame, common: DataFrame) -> DataFrame:
                      "tail": zlib.crc32(" ".join(_WORDS.findall(" ".join(body.rsplit(None, 3)[-3:]).lower())[-3:]).encode())}
                     for foot, body, mark in endings(text)
                 ]
-                row = (rid, seen, model or "", doc, page, guess_language(words, known), len(text), len(words), _head(text)[:1].islower(), last, ends, stops(words))
+                row = (rid, model or "", doc, page, guess_language([at[i] for i in flat[began:] if _CUT < i < most], known), len(text), len(words), _head(text)[:1].islower(), last, ends, stops(words))
                 for k, v in zip(names, row):
                     out[k].append(v)
                 if len(flat) > 20 * FLUSH or len(numbers) > FLUSH:
                     yield emit(numbers, flat, alone)
-                    numbers, flat, alone = _Numbers(), [_CUT], Counter()
-            size = len(out["seen"])
+                    numbers, flat, alone = _Numbers(known), [_CUT], Counter()
+            size = len(out["model"])
             yield pa.RecordBatch.from_arrays([pa.array(out[f.name], f.type) if f.name in out else pa.nulls(size, f.type) for f in target], schema=target)
         yield emit(numbers, flat, alone)
 
-    columns = ["response_id", "seen", "model", "doc", "page_num", "natural_text"]
+    columns = ["response_id", "model", "doc", "page_num", "natural_text"]
     return responses.where("natural_text is not null").select(*columns).mapInArrow(run, f"{FEATURES}, {COUNTS}")
 
 
@@ -428,8 +434,8 @@ def measure(passed: DataFrame, ends: Ends) -> DataFrame:
     """One small row a response: log-odds at its end and at all complete ends inside (those without a full stop, as the end in
     question is), and what the exact checks compare."""
     shared = passed.sparkSession.sparkContext.broadcast(ends)
-    same = ["response_id", "seen", "model", "doc", "page", "lang", "length", "n_words", "head_low", "stops"]
-    schema = "response_id bigint, seen bigint, model string, doc bigint, page int, lang string, length int, n_words int, head_low boolean, stops array<int>, odds double, word_odds double, inner array<float>, mark boolean, closed boolean, tail bigint, last int"
+    same = ["response_id", "model", "doc", "page", "lang", "length", "n_words", "head_low", "stops"]
+    schema = "response_id bigint, model string, doc bigint, page int, lang string, length int, n_words int, head_low boolean, stops array<int>, odds double, word_odds double, inner array<float>, mark boolean, closed boolean, tail bigint, last int"
     target = to_arrow_schema(StructType.fromDDL(schema))
 
     def run(batches):
@@ -465,45 +471,41 @@ def field_limits(rows: DataFrame, least: int = 5, times: float = 12.0, reach: in
     return piles.join(longer, ["model", "length"], "left").where(F.coalesce("beyond", F.lit(0)) <= F.col("n")).select("model", "length", F.lit(True).alias("at_limit"))
 
 
-def passed_by(rows: DataFrame) -> DataFrame:
-    """``response_id, others``: texts that end with a full stop, and how many other runs hold the same last words on that page once and go on well
-    past them in a longer text."""
-    page = ["doc", "page"]
-    more = rows.select(*page, F.col("model").alias("_m"), F.col("n_words").alias("_n"), F.explode("stops").alias("last"))
-    own = rows.where("last is not null").select("response_id", *page, "model", "n_words", "last")
-    return own.join(more, [*page, "last"]).where((F.col("_m") != F.col("model")) & (F.col("_n") >= F.col("n_words") + BEYOND)).groupBy("response_id").agg(F.countDistinct("_m").alias("others"))
-
-
 def truncated(rows: DataFrame) -> DataFrame:
-    """``response_id, model, lang, is_cut`` of each measured response."""
-    limit = field_limits(rows)
+    """``response_id, model, lang, is_cut`` of each measured response.
+
+    ``others``: how many other runs hold a text's last words, if it ends with a full stop, once on that page and go on well past them in a
+    longer text. A page has as many rows as runs and attempts.
+    """
     page = ["doc", "page"]
     at_page, at_tail = Window.partitionBy(*page), Window.partitionBy(*page, "tail")
-    nexts = rows.select("doc", (F.col("page") - 1).alias("page"), F.col("head_low").cast("int").alias("low")).groupBy(*page).agg((F.avg("low") >= 0.5).alias("goes_on"))
     x = rows.repartition(*page).withColumn("runs", F.size(F.collect_set("model").over(at_tail))).withColumn("most_runs", F.max("runs").over(at_page)).withColumn("page_words", F.max("n_words").over(at_page))
-    x = x.join(nexts, page, "left").join(thresholds(rows), ["lang", "model"], "left").join(limit, ["model", "length"], "left")
-    x = x.join(passed_by(rows), "response_id", "left")
+    x = x.withColumn("beside", F.collect_list(F.struct("model", "n_words", "stops")).over(at_page))
+    beyond = F.filter("beside", lambda o: (o["model"] != F.col("model")) & (o["n_words"] >= F.col("n_words") + BEYOND) & F.array_contains(o["stops"], F.col("last")))
+    x = x.withColumn("others", F.when(F.col("last").isNotNull(), F.size(F.array_distinct(F.transform(beyond, lambda o: o["model"])))).otherwise(0)).drop("beside", "stops", "inner")
+    nexts = rows.select("doc", (F.col("page") - 1).alias("page"), F.col("head_low").cast("int").alias("low")).groupBy(*page).agg((F.avg("low") >= 0.5).alias("goes_on"))
+    x = with_group(with_group(x.join(nexts, page, "left"), thresholds(rows), ["lang", "model"]), field_limits(rows), ["model", "length"])
     low = F.col("odds") < F.coalesce("threshold", F.lit(HIGHEST))
     inside_word = F.col("word_odds") < -2.0
-    passed = (F.coalesce("others", F.lit(0)) >= 2) & (F.col("others") > F.coalesce("runs", F.lit(0)))
-    shared_end = F.coalesce(F.col("runs"), F.lit(0)) >= 2
-    only = ~(F.coalesce("most_runs", F.lit(0)) >= 2) & (F.col("n_words") >= F.col("page_words"))
+    passed = (F.col("others") >= 2) & (F.col("others") > F.col("runs"))
+    shared_end = F.col("runs") >= 2
+    only = ~(F.col("most_runs") >= 2) & (F.col("n_words") >= F.col("page_words"))
     runs_over = F.coalesce("goes_on", F.lit(False)) & only & ~inside_word
     at_limit = F.coalesce("at_limit", F.lit(False))
-    cut = at_limit | F.col("mark") & (low | inside_word | ~shared_end) | low & ~shared_end & ~runs_over | F.coalesce(passed, F.lit(False))
+    cut = at_limit | F.col("mark") & (low | inside_word | ~shared_end) | low & ~shared_end & ~runs_over | passed
     return x.select("response_id", "model", "lang", cut.alias("is_cut"), "odds", "threshold", "word_odds", "mark", shared_end.alias("shared_end"), runs_over.alias("runs_over"), at_limit.alias("at_limit"), "closed", "others")
 
 
-def page_key(path, response):
-    """A document's number; a response without a path is a document of its own."""
-    return F.coalesce(F.when(path.isNotNull(), F.xxhash64(path)), F.xxhash64(F.lit("no path"), response))
+def page_key(path, page, response):
+    """A document's number; a response without a path or a page is a document of its own."""
+    return F.when(path.isNotNull() & page.isNotNull(), F.xxhash64(path)).otherwise(F.xxhash64(F.lit("no page"), response))
 
 
 def _measured(spark, sf_dir):
-    r = spread(read(spark, sf_dir, "page_responses", "response_id", "model", "source_path", "page_num", "natural_text", "ingested_at"))
-    r = r.withColumn("seen", F.unix_micros(F.col("ingested_at").cast("timestamp"))).withColumn("doc", page_key(F.col("source_path"), F.col("response_id"))).withColumn("page_num", F.coalesce("page_num", F.lit(-1)))
+    r = settled(read(spark, sf_dir, "page_responses", "response_id", "model", "source_path", "page_num", "natural_text", "ingested_at"), ["response_id"], "ingested_at")
+    r = spread(r).withColumn("doc", page_key(F.col("source_path"), F.col("page_num"), F.col("response_id"))).withColumn("page_num", F.coalesce("page_num", F.lit(-1)))
     passed = materialise(read_texts(r, read(spark, sf_dir, "common_words")), "p6-texts")
-    return materialise(latest(measure(passed, train(passed)), ["response_id"], "seen"), "p6-rows")
+    return materialise(measure(passed, train(passed)), "p6-rows")
 
 
 def p6_found(spark, sf_dir):

@@ -15,8 +15,8 @@ EN = "The harbour committee of the northern district measured the boundary stone
 
 
 def pages(spark, texts, model="m"):
-    rows = [("t", i, model, 0, t) for i, t in enumerate(texts)]
-    return spark.createDataFrame(rows, "tbl string, record_id bigint, model string, seen bigint, text string")
+    rows = [("t", i, model, t) for i, t in enumerate(texts)]
+    return spark.createDataFrame(rows, "tbl string, record_id bigint, model string, text string")
 
 
 # --- 1 ---
@@ -75,6 +75,23 @@ def test_minimum_cut_is_minimal():
         assert abs(cost(markup.minimum_cut(odds, edges)) - min(cost(ls) for ls in itertools.product([False, True], repeat=n))) < 1e-9
 
 
+def test_company_decides_what_a_kind_is(spark):
+    plain = [f"The file form\\_{i} of the old archive." for i in range(400)]
+    latex = ["A \\emph{b} of c\\_d stood there, \\(x^2\\) high."] * 40 + ["A \\emph{b} c is \\(y\\)."] * 200
+    odds = markup.learn(pages(spark, plain + latex + ["", None]))
+    assert odds.kinds["escape"] < 0 < markup.PRIOR.kinds["escape"]
+    assert not any(markup.has_markup(t, odds) for t in plain) and all(markup.has_markup(t, odds) for t in latex)
+    ps, labels = markup.label_pieces(latex[0], odds)  # by the sign of its own odds the second construct were content
+    assert [(n, x) for (n, _, _), x in zip(ps, labels) if n != "text"] == [("command", True), ("escape", True), ("display", True)]
+    assert markup.clean_blocks(latex[0], odds)[0][1].startswith("A b of c_d stood there,") and markup.clean_blocks(plain[0], odds) == [("paragraph", plain[0])]
+
+
+def test_the_classifier_starts_from_its_prior():
+    assert markup.fit({}) == markup.PRIOR
+    few = markup.fit({("strong", False, False): 3, ("tag", False, False): 3})
+    assert few.kinds["strong"] > 0 and few.kinds["item"] == markup.KINDS["item"]
+
+
 def test_clean_blocks_keep_structure():
     text = "<h2>Head</h2>\n<p>Some <b>bold</b>&nbsp;text.</p>\n<ul><li>one</li><li>two</li></ul>\n<table><tr><td>a</td><td>b</td></tr></table>\n<math>x = 1</math>\n```python\ny = load(1)\n```"
     assert [k for k, _ in markup.clean_blocks(text)] == ["heading", "paragraph", "list", "list", "table", "formula", "code"]
@@ -151,8 +168,25 @@ def test_repeated_share_matches_brute_force(words):
 
 def test_thresholds_hide_no_case(spark):
     s = spark.createDataFrame([("en", "m", 0.9)] * 50 + [("de", "m", 0.0)] * 50 + [("de", "m", 0.5)], "lang string, model string, share double")
-    r = repetition.repetitive(s.withColumn("record_id", F.monotonically_increasing_id()))
-    assert r.where("is_case").count() == 51 and {x.lang: x.threshold for x in repetition.thresholds(s).collect()} == {"en": 0.4, "de": 0.02}
+    s = s.withColumn("record_id", F.monotonically_increasing_id())
+    r = repetition.repetitive(s, 0.4)
+    assert r.where("is_case").count() == 51 and {x.lang: x.threshold for x in repetition.thresholds(s, cap=0.4).collect()} == {"en": 0.4, "de": 0.02}
+    assert {x.lang: x.threshold for x in repetition.thresholds(s).collect()} == {"en": 0.9, "de": 0.02}
+
+
+def test_each_group_has_its_own_threshold(spark):
+    rows = [(i, lang, m, i % 100 / scale) for m, lang, scale in (("m", "en", 200.0), ("n", "en", 1000.0), ("m", "de", 125.0)) for i in range(500)]
+    s = spark.createDataFrame(rows, "record_id bigint, lang string, model string, share double")
+    got = {(r.model, r.lang): r.n for r in repetition.repetitive(s).groupBy("model", "lang").agg(F.count("*").alias("n")).collect()}
+    want = {("m", "en"): 50, ("n", "en"): 50, ("m", "de"): 50}
+    assert got.keys() == want.keys() and all(abs(got[k] - want[k]) <= 10 for k in want)  # a tenth of each group, whatever its scale
+
+
+def test_groups_are_joined_alike_whether_broadcast_or_cut(spark):
+    rows = spark.createDataFrame([(i, "a" if i % 3 else "b", None if i % 7 == 0 else i) for i in range(200)] + [(900, "none", 1), (901, None, 1)], "i bigint, k string, v bigint")
+    groups = spark.createDataFrame([("a", 1.5), ("b", 2.5)], "k string, t double")
+    few, many = (sorted(map(tuple, common.with_group(rows, groups, ["k"], small).select("i", "k", "v", "t").collect()), key=str) for small in (10, 0))
+    assert few == many and len(few) == 202
 
 
 # --- 6 ---
@@ -173,7 +207,7 @@ def test_truncation(spark):
         rows.append((i, "n", f"d{i}", 1, (text() + text())[:500], None))
     rows += [(900, "m", None, None, None, None), (901, None, "e", 1, "", None), (902, "m", "p", 1, text() + " The treasurer returned", None), (903, "m", "p", 2, "the draft budget. The land register measured the index cards.", None)]
     df = spark.createDataFrame(rows, "response_id bigint, model string, source_path string, page_num int, natural_text string, ingested_at timestamp")
-    df = df.withColumn("seen", F.lit(0).cast("bigint")).withColumn("doc", truncation.page_key(F.col("source_path"), F.col("response_id")))
+    df = df.withColumn("doc", truncation.page_key(F.col("source_path"), F.col("page_num"), F.col("response_id")))
     common_words = spark.createDataFrame([("en", "the", 1), ("en", "of", 2)], "lang string, word string, pos int")
     passed = common.materialise(truncation.read_texts(df, common_words), "t")
     m = common.materialise(truncation.measure(passed, truncation.train(passed)), "t")
@@ -259,6 +293,28 @@ def test_mixing(spark):
     assert mixing.mix(d, targets.limit(0))[1] == []
 
 
+def test_rates_match_the_closed_form(spark):
+    docs = [(i, s, f"{s}{i % 9} {s}word " * (10 + i % 7)) for i, s in enumerate("a" * 60 + "b" * 30 + "c" * 5)]
+    want = [("a", 0.3, 2), ("b", 0.6, 4), ("c", 0.1, 2)]
+    targets = spark.createDataFrame(want, "source string, target_share double, max_repeats int")
+    members, order = mixing.memberships(spark.createDataFrame(docs, "doc_id bigint, source string, text string"), targets)
+    rows = members.collect()
+    assert all(abs(sum(r.posterior) - 1) < 1e-9 and r.posterior[r.domain] > 1 - 1e-3 for r in rows)
+    _, got, target, own = mixing.fit_rates(members, order)
+    total = sum(r.n_tokens for r in rows)
+    for (s, share, most), g, o in zip(want, got, own):  # nearly certain members: one rate a source
+        assert abs(g - o * min(most, share * total / o)) < 1e-3 * total, s
+
+
+def test_documents_without_a_source_follow_their_words(spark):
+    words = {"a": "quay harbour tide boat", "b": "oven flour bread crust"}
+    docs = [(i, s, " ".join(words[s].split()[(i + k) % 4] for k in range(30))) for i, s in enumerate("ab" * 40)] + [(900, None, "the tide and the boat at the quay"), (901, None, "bread from the oven"), (902, None, None)]
+    targets = spark.createDataFrame([("a", 0.5, 2), ("b", 0.5, 2)], "source string, target_share double, max_repeats int")
+    members, _ = mixing.memberships(spark.createDataFrame(docs, "doc_id bigint, source string, text string"), targets)
+    p = {r.doc_id: r.posterior for r in members.collect()}
+    assert p[900][0] > 0.9 and p[901][1] > 0.9 and abs(p[902][0] - 0.5) < 1e-6
+
+
 # --- 10 ---
 
 

@@ -36,8 +36,8 @@ def test_unseen_contexts_back_off(spark):
     keys = set(ends.keys.tolist())
     assert len([k for k in keys if k >> truncation.BITS == LONGEST]) >= len(words)  # each context has counts of its own
     assert not [w for w in strange if (LONGEST << truncation.BITS) | bucket(w) in keys]
-    longest = {w[-2:]: odds(ends, "zzzzzz" + w[-2:]) for w in strange}  # known by two letters only
-    assert all(odds(ends, "xyxyxy" + k) == v for k, v in longest.items())
+    known_by_two = sorted({w[-2:] for w in strange})
+    assert (ends.odds([" zzzzz" + k for k in known_by_two]) == ends.odds([" xyxyx" + k for k in known_by_two])).all()
 
 
 def test_commonest_contexts_are_kept(spark):
@@ -50,7 +50,7 @@ def test_commonest_contexts_are_kept(spark):
 def test_thresholds_see_all_inner_ends(spark):
     text = "Heading\n\nA sentence.\n\n• oak planks\n• lamp oil\n\nWater levels\n\na | b\nc | d"
     ends = model([("", w, how, n) for w, n in (("heading", 50), ("planks", 1), ("oil", 1), ("levels", 1)) for how in "we"] + [("", w, "w", 200) for w in ("planks", "oil", "levels")], spark)
-    r = spark.createDataFrame([(i, 0, "m", i, 1, text) for i in range(40)], "response_id bigint, seen bigint, model string, doc bigint, page_num int, natural_text string")
+    r = spark.createDataFrame([(i, "m", i, 1, text) for i in range(40)], "response_id bigint, model string, doc bigint, page_num int, natural_text string")
     common = spark.createDataFrame([("en", "a", 1)], "lang string, word string, pos int")
     passed = truncation.read_texts(r, common)
     assert inner(passed) == [" heading", "k planks", "lamp oil", "r levels", " | b"]
@@ -66,13 +66,13 @@ def test_a_full_stop_that_other_runs_pass_is_a_cut(spark):
     more = "The survey office then measured the boundary stones near the old quay and replaced the index cards of the paper mill."
     assert len(stops(start + more)) == 1 and stops(start + start + more) == [] and stops(start) == []
     texts = {1: [("a", start), ("b", start + more), ("c", start + more)], 2: [("a", start), ("b", start), ("c", start + more)], 3: [("a", more + " " + start), ("b", start + more), ("c", start + more)]}
-    rows = [(10 * p + i, 0, m, 7, p * 2, t) for p, ts in texts.items() for i, (m, t) in enumerate(ts)]
-    r = spark.createDataFrame(rows, "response_id bigint, seen bigint, model string, doc bigint, page_num int, natural_text string")
+    rows = [(10 * p + i, m, 7, p * 2, t) for p, ts in texts.items() for i, (m, t) in enumerate(ts)]
+    r = spark.createDataFrame(rows, "response_id bigint, model string, doc bigint, page_num int, natural_text string")
     common = spark.createDataFrame([("en", "the", 1)], "lang string, word string, pos int")
     passed = truncation.read_texts(r, common)
     rows = truncation.measure(passed, truncation.train(passed))
     m = spark.createDataFrame(rows.collect(), rows.schema)
-    assert {x.response_id: x.others for x in truncation.passed_by(m).collect()} == {10: 2, 20: 1, 21: 1}
     m = m.withColumn("odds", F.lit(1.0))
+    assert {x.response_id: x.others for x in truncation.truncated(m).where("others > 0").collect()} == {10: 2, 20: 1, 21: 1}
     assert {x.response_id for x in truncation.truncated(m).where("is_cut").collect()} == {10}
     assert {x.response_id for x in truncation.truncated(m.withColumn("odds", F.when(F.col("response_id") == 20, -9.0).otherwise(1.0)).withColumn("tail", F.col("response_id"))).where("is_cut").collect()} == {10, 20}
