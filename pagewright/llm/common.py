@@ -46,7 +46,7 @@ def with_group(rows: DataFrame, groups: DataFrame, keys: list[str], small: int =
     if groups.count() <= small:
         return rows.join(F.broadcast(groups), keys, "left")
     cut = rows.withColumn("_salt", F.pmod(F.xxhash64(*[c for c, kind in rows.dtypes if not kind.startswith("map")]), F.lit(SALT)))
-    many = groups.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALT - 1))).cast("bigint"))
+    many = groups.withColumn("_salt", F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(SALT - 1).cast("bigint"))))
     return cut.join(many, [*keys, "_salt"], "left").drop("_salt")
 
 

@@ -55,7 +55,7 @@ BEAM = 16.0
 SMOOTH = 0.5
 
 
-def _decode(data: bytes, page: str) -> str | None:
+def decode(data: bytes, page: str) -> str | None:
     out = []
     for b in data:
         try:
@@ -75,15 +75,15 @@ def units() -> tuple[dict[str, frozenset[str]], dict[str, frozenset[str]]]:
     for letter in TARGET:
         data = letter.encode()
         for page in PAGES:
-            wrong = _decode(data, page)
+            wrong = decode(data, page)
             if wrong and wrong != letter and not wrong.isascii():
                 many[wrong].add(letter)
                 for again in ("cp1252", "latin-1"):
-                    twice = _decode(wrong.encode(), again)
+                    twice = decode(wrong.encode(), again)
                     if twice:
                         many[twice].add(letter)
     for b in range(0x80, 0x100):
-        shown = {page: _decode(bytes([b]), page) for page in PAGES}
+        shown = {page: decode(bytes([b]), page) for page in PAGES}
         for wrong in shown.values():
             for letter in shown.values():
                 if wrong and letter and wrong != letter and letter in TARGET and letter != "\xa0":
@@ -91,15 +91,8 @@ def units() -> tuple[dict[str, frozenset[str]], dict[str, frozenset[str]]]:
     return {k: frozenset(v) for k, v in many.items() if len(k) > 1}, {k: frozenset(v) for k, v in one.items()}
 
 
-#: Longer tokens are read piece by piece.
-PIECE = 256
-
-
 def tokens(text: str) -> list[str]:
-    out = [w for w in text.replace("\n", " ").replace("\t", " ").split(" ") if w]
-    if any(len(w) > PIECE for w in out):
-        out = [w[i : i + PIECE] for w in out for i in range(0, len(w), PIECE)]
-    return out
+    return [w for w in text.replace("\n", " ").replace("\t", " ").split(" ") if w]
 
 
 #: Signs that stand inside a word, before one, or after one, only by accident. Short units of measure may end in one.
@@ -214,9 +207,6 @@ class Reader:
 
     def read(self, source: str, word: str) -> tuple[bool, str, bool]:
         """(garbled, the restored word, whether all letters could be restored), from the likeliest reading."""
-        if len(word) > PIECE:
-            parts = [self.read(source, word[i : i + PIECE]) for i in range(0, len(word), PIECE)]
-            return any(p[0] for p in parts), "".join(p[1] for p in parts), all(p[2] for p in parts)
         key = (source, word)
         if key in self.memo:
             return self.memo[key]
@@ -305,9 +295,10 @@ def corpus_counts(texts: DataFrame) -> DataFrame:
     return count_map(texts, "kind string, source string, s string", ["model", "text"], start)
 
 
-def learn(texts: DataFrame, rounds: int = 3, weight: float = 5.0) -> Reader:
+def learn(texts: DataFrame, rounds: int = 12, weight: float = 5.0, settled: float = 0.01) -> Reader:
     """Character bigrams and the ciphers of all sources.
 
+    Rounds go on until no more than a share ``settled`` of the expected counts has moved from one unit's letter to another's, ``rounds`` at most.
     The driver receives tables over pairs of characters and over (source, unit, letter), bounded by alphabets and code pages.
     """
     counts = materialise(corpus_counts(texts.where("text is not null")), "p1-counts")
@@ -324,7 +315,7 @@ def learn(texts: DataFrame, rounds: int = 3, weight: float = 5.0) -> Reader:
         return work
 
     words = materialise(map_rows(counts.where("kind = 'w'"), "source string, s string, n bigint", ["source", "s", "n"], pick), "p1-words")
-    theta = None
+    theta, before = None, {}
     for _ in range(rounds):
         reader = Reader(bigrams, theta)
 
@@ -353,6 +344,10 @@ def learn(texts: DataFrame, rounds: int = 3, weight: float = 5.0) -> Reader:
         for (s, u, x), v in expected.items():
             p = math.exp(theta["", u, x])
             theta[s, u, x] = math.log((v + weight * p) / (n[x] * share + v + weight))
+        moved = sum(abs(expected.get(k, 0.0) - before.get(k, 0.0)) for k in expected.keys() | before.keys())
+        if moved <= 2 * settled * sum(expected.values()):
+            break
+        before = expected
     return Reader(bigrams, theta)
 
 

@@ -40,7 +40,7 @@ LEAST_WORDS, SURE, KNOWN = 4, 0.7, 0.6
 _WORD = re.compile(r"[^\W\d_]+")
 _END = re.compile(r"(?<=[.!?…])[\"”»’)\]*_']*\s+(?=[\"“„«¿¡(\[*_'—-]*[^\W\d_a-zà-öø-ÿа-яёąćęłńóśźż])")
 _FULL = re.compile(r"[.!?][\"”»’“)\]*_'`~}]*$")
-_TAG = re.compile(r"<[^<>\n]{0,200}>|&nbsp;|\\[a-z]+\*?\{|\{\{[^{}]*\}\}")
+_TAG = re.compile(r"<[^<>\n]*>|&nbsp;|\\[a-z]+\*?\{|\{\{[^{}]*\}\}")
 _SPLIT = re.compile(r"[-\xad¬‐](?<=\w.)\n(?=\w)")
 
 

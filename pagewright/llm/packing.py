@@ -36,13 +36,16 @@ def best_fit(items: list[tuple[int, int, int]], capacity: int, slots: dict[int,
     bit: dict[int, int] = {}
     out = [0] * len(items)
     residuals = 0
+    holding: Counter = Counter()  # bins with a copy of each cluster
+    filled: Counter = Counter()  # bins without a free bit of each source
     at_residual: list[list[int]] = [[] for _ in range(capacity + 1)]
     left, clusters, sources = [], [], []
     for i in sorted(range(len(items)), key=lambda i: -items[i][0]):
         size, s, c = items[i]
         own = 1 << bit.setdefault(c, len(bit)) if c >= 0 else 0
         full = ((1 << slots[s]) - 1) << first[s]
-        above = residuals >> size
+        # Where every bin holds a copy, or none has room for the source, no search is needed.
+        above = 0 if holding[c] == len(left) and c >= 0 or filled[s] == len(left) else residuals >> size
         r, chosen = size, -1
         while above and chosen < 0:
             step = (above & -above).bit_length() - 1
@@ -65,8 +68,10 @@ def best_fit(items: list[tuple[int, int, int]], capacity: int, slots: dict[int,
             sources.append(0)
         left[chosen] -= size
         clusters[chosen] |= own
+        holding[c] += 1
         free = ~sources[chosen] & full
         sources[chosen] |= free & -free
+        filled[s] += sources[chosen] & full == full
         at_residual[left[chosen]].append(chosen)
         residuals |= 1 << left[chosen]
         out[i] = chosen

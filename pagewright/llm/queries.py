@@ -15,4 +15,4 @@ def queries():
 
 
 def oracle_sql():
-    return {"p4_found": ranking.FOUND_SQL, "p4_ranking": ranking.RANKING_SQL, "p10_stats": quality.STATS_SQL}
+    return {"p4_found": ranking.FOUND_SQL, "p4_ranking": ranking.RANKING_SQL, "p5_found": repetition.FOUND_SQL, "p10_stats": quality.STATS_SQL}

@@ -7,11 +7,13 @@ threshold, and a joined filter keeps the texts above it. Texts are processed who
 
 from __future__ import annotations
 
+import re
 from collections import Counter
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.text import SPACE
 from .common import all_texts, guess_language, map_rows, materialise, read, with_group, word_languages
 
 SPAN = 5
@@ -110,3 +112,15 @@ def p5_shares(spark, sf_dir):
     r = lambda c: F.round(c, 6).alias(c)
     return with_group(s, thresholds(s).drop("n_texts"), ["lang", "model"]).select(
         "tbl", "record_id", "model", "lang", "n_words", r("share"), r("line_share"), r("paragraph_share"), r("threshold"), (F.col("share") >= F.col("threshold")).alias("is_repetitive"))
+
+
+_SIGNS = re.sub(r"([\[\]\\^-])", r"\\\1", PUNCT).replace("'", "''")
+FOUND_SQL = f"""
+with t as (select 'page_responses' as tbl, response_id as record_id, natural_text as text from page_responses qualify row_number() over (partition by response_id order by ingested_at desc) = 1
+  union all select 'page_texts', text_id, any_value(text) from page_texts group by text_id),
+w as (select tbl, record_id, list_filter(list_transform(regexp_split_to_array(lower(text), '[{SPACE}]+'), lambda x: regexp_replace(x, '^[{_SIGNS}]+|[{_SIGNS}]+$', '', 'g')), lambda x: x <> '') as w from t where text is not null),
+u as (select tbl, record_id, len(w) as n, unnest(w) as x, generate_subscripts(w, 1) as i from w where len(w) >= {SPAN}),
+g as (select tbl, record_id, n, i, concat_ws(chr(1), {', '.join(f'lead(x, {k}) over o' for k in range(SPAN))}) as g from u window o as (partition by tbl, record_id order by i) qualify lead(x, {SPAN - 1}) over o is not null),
+r as (select tbl, record_id, n, i, row_number() over (partition by tbl, record_id, g order by i) as k from g),
+m as (select distinct tbl, record_id, n, i + d as p from r, (select unnest(range({SPAN})) as d) where k > 1)
+select tbl, record_id from m group by tbl, record_id, n having count(*) >= {CASE} * n"""

@@ -1,9 +1,10 @@
 """Problem 7: noise that scanning leaves in texts.
 
-Noisy channel: a seen word is a true word passed through character confusions (``CONFUSIONS``). Word and word-pair counts of
-the whole corpus give the likelihood of true words; the probability of each confusion is learned from the rare words that
-one confusion turns into a common word. For each line the candidate words form a trellis that Viterbi decodes. Words split
-over a line end are joined, running heads, running feet and page numbers taken out, and broken lines put together.
+Noisy channel: a seen word is a true word passed through character confusions. Which pieces of one or two characters are taken for which, and
+how often, is learned from rare words that differ from a common word in one such piece, over all pieces (``alignments``); a short list
+(``CONFUSIONS``) is the prior for those that a corpus is too small to show. Word and word-pair counts of the whole corpus give the likelihood
+of true words. For each line the candidate words form a trellis that Viterbi decodes. Words split over a line end are joined, running heads,
+running feet and page numbers taken out, and broken lines put together.
 
 The lexicon holds the words with at least ``share`` of all words, so it has no more than ``1 / share`` entries at any size of
 the corpus; the same holds for the pairs. That is the proven bound of what is broadcast.
@@ -15,12 +16,13 @@ import math
 import re
 from collections import Counter, defaultdict
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import all_texts, count_map, map_rows, materialise
+from .encoding import LOST, PAGES, decode
 
-#: What a recognizer makes (second) of a true character or pair (first).
+#: What a recognizer makes (second) of a true character or pair (first); a prior.
 CONFUSIONS = [
     ("e", "c"), ("a", "@"), ("i", "!"), ("o", "0"), ("t", "f"), ("s", "5"), ("l", "1"), ("l", "I"), ("i", "1"), ("i", "l"), ("g", "9"), ("b", "6"), ("z", "2"),
     ("B", "8"), ("S", "5"), ("O", "0"), ("I", "l"), ("I", "1"), ("Z", "2"), ("u", "ii"), ("d", "cl"), ("h", "li"), ("m", "rn"), ("w", "vv"), ("n", "ri"),
@@ -34,6 +36,8 @@ SHARE = 2e-6
 PAIR_SHARE = 1e-5
 #: Share of all lines that stand alone from which one is a common heading.
 TITLE_SHARE = 5e-4
+#: A learned confusion shows in so many different words, and in such a share of its true piece's occurrences.
+WORDS, RATE = 8, 5e-5
 #: Log-odds that a reading other than the word itself must win by.
 MARGIN = 1.0
 SPLIT = re.compile(r"[-\xad¬‐⸗](?<=[^\W\d_].)[ \t]*\n[ \t]*(?=[^\W\d_])")
@@ -115,7 +119,7 @@ class Channel:
         self.memo: dict[str, list[tuple[str, float]]] = {}
         self.clear: set[str] = set()  # tokens, as white space splits them, that can be nothing else
         self.by_seen: dict[str, list[str]] = defaultdict(list)
-        for true, seen in CONFUSIONS:
+        for true, seen in dict.fromkeys([*CONFUSIONS, *(odds or {})]):
             self.by_seen[seen].append(true)
 
     def chance(self, true: str, seen: str) -> float:
@@ -259,17 +263,66 @@ def corpus_counts(texts: DataFrame) -> DataFrame:
     return count_map(texts, "a string, b string", ["text"], start)
 
 
+def _pieces(words: DataFrame) -> DataFrame:
+    """``key, piece`` and the columns of ``words`` for each inner piece of one or two characters of ``a``; ``key`` is alike where all but the
+    piece is."""
+    n = F.length("a")
+    cut = lambda i, k: F.struct(F.xxhash64(F.substring("a", F.lit(1), i), F.substr(F.col("a"), i + k + 1)).alias("key"), F.substring("a", i + 1, k).alias("piece"))
+    both = F.flatten(F.transform(F.sequence(F.lit(1), n - 2), lambda i: F.transform(F.sequence(F.lit(1), F.least(F.lit(2), n - 1 - i)), lambda k: cut(i, k))))
+    return words.where(n >= 4).select("*", F.explode(both).alias("_p")).select("*", "_p.key", "_p.piece").drop("_p")
+
+
+def alignments(tokens: DataFrame, floor: float, longest: int) -> DataFrame:
+    """``true, seen, e, words``: how often a piece of a common word stands as another in rare tokens, and in how many words (in: ``a, n``).
+
+    Only pieces inside a word are compared: its beginning and end are inflected. A rare token's count is shared out among the common words it
+    may be. Tokens longer than a common word can become are left out, which changes nothing. Three letters at least stand around a piece, so a
+    key has few common words.
+    """
+    common = tokens.where((F.col("n") >= floor) & (F.length("a") >= 5) & F.col("a").rlike(r"^[\p{L}’'-]+$"))
+    true = _pieces(common.select("a", "n")).select("key", F.col("a").alias("word"), F.col("n").alias("m"), F.col("piece").alias("true"))
+    seen = _pieces(tokens.where(F.length("a") <= longest)).withColumnRenamed("piece", "seen")
+    ends = lambda f: f("true", F.lit(1)) != f("seen", F.lit(1))
+    pairs = seen.join(true, "key").where((F.col("m") > 50 * F.col("n")) & ends(F.left) & ends(F.right))
+    mass = F.sum("m").over(Window.partitionBy("a"))
+    e = pairs.select("true", "seen", "word", (F.col("n") * F.col("m") / mass).alias("e"))
+    return e.groupBy("true", "seen").agg(F.sum("e").alias("e"), F.countDistinct("word").alias("words"))
+
+
+def swapped(true: str, seen: str) -> bool:
+    """Whether one is the other read in a wrong code page, or lost: that is no misreading but a wrong decoding."""
+    if LOST in seen:
+        return True
+    for page in ("utf-8", *PAGES):
+        try:
+            data = true.encode(page)
+        except UnicodeError:
+            continue
+        if any(page != other and decode(data, other) == seen for other in PAGES):
+            return True
+    return False
+
+
 def learn(texts: DataFrame, share: float = SHARE, pair_share: float = PAIR_SHARE, least: int = 4) -> Channel:
     """Lexicon, pairs and confusion probabilities from all texts."""
     counts = materialise(corpus_counts(texts.where("text is not null")), "p7-counts")
     total = counts.where("b = ''").agg(F.sum("n")).first()[0] or 0
-    common = counts.where(F.col("n") >= F.greatest(F.lit(least), F.lit(share * total)))
+    floor = max(least, share * total)
+    common = counts.where(F.col("n") >= floor)
     words = {r.a: r.n for r in common.where("b = ''").select("a", "n").toLocalIterator() if is_word(r.a)}
     lines = counts.where("b = '\\n'")
     alone = lines.agg(F.sum("n")).first()[0] or 0
     titles = frozenset(r.a for r in lines.where(F.col("n") >= max(least, TITLE_SHARE * alone)).collect())
     pairs = {(r.a, r.b): r.n for r in common.where(~F.col("b").isin("", "\n") & (F.col("n") >= pair_share * total)).toLocalIterator()}
-    first = Channel(words, total=total)
+    times: Counter = Counter()
+    for w, n in words.items():
+        for k in (1, 2):
+            for i in range(len(w) - k + 1):
+                times[w[i : i + k]] += n
+    # Pairs of pieces of one or two characters: their number is bounded by the alphabets.
+    aligned = alignments(counts.where("b = ''").select("a", "n"), floor, max(map(len, words), default=0) + 1).where(F.col("words") >= WORDS).collect()
+    odds = {(r.true, r.seen): r.e / times[r.true] for r in aligned if times[r.true] and r.e >= RATE * times[r.true] and not swapped(r.true, r.seen)}
+    first = Channel(words, odds=odds, total=total)
     shared = texts.sparkSession.sparkContext.broadcast(first)
 
     def start():
@@ -285,13 +338,10 @@ def learn(texts: DataFrame, share: float = SHARE, pair_share: float = PAIR_SHARE
 
         return work
 
-    seen = count_map(counts.where("b = ''"), "true string, seen string", ["a", "n"], start)
-    times: Counter = Counter()
-    for w, n in words.items():
-        for true in {t for t, _ in CONFUSIONS if t in w}:
-            times[true] += n * w.count(true)
-    odds = {(r.true, r.seen): min(0.05, max(1e-6, r.n / 1000 / times[r.true])) for r in seen.collect() if times[r.true]}
-    return Channel(words, pairs, odds, total, titles)
+    # Anywhere in a word, for the confusions that are known by now.
+    for r in count_map(counts.where("b = ''"), "true string, seen string", ["a", "n"], start).collect():
+        odds[r.true, r.seen] = r.n / 1000 / max(1, times[r.true])
+    return Channel(words, pairs, {k: min(0.05, max(1e-6, p)) for k, p in odds.items()}, total, titles)
 
 
 def _flag(channel: Channel, text: str) -> bool:

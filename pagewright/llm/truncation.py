@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import StructType
 
-from .common import FLUSH, guess_language, materialise, read, settled, spread, with_group, word_languages
+from .common import FLUSH, materialise, read, settled, spread, with_group, word_languages
 from .scan import TITLE_SHARE, furniture, stands_alone, titled
 
 ORDERS = (2, 3, 4, 6, 8)
@@ -179,11 +179,10 @@ _START, _END, _CUT = 0, 1, 2
 class _Numbers(dict):
     """Words in lower case, numbered as they come."""
 
-    def __init__(self, known: Iterable[str] = ()):
+    def __init__(self, first: Iterable[str] = ()):
         super().__init__()
-        self.words: list[str] = ["", "", "", *known]
+        self.words: list[str] = ["", "", "", *first]
         self.update((w, i) for i, w in enumerate(self.words) if i > _CUT)
-        self.known = len(self.words)
 
     def __missing__(self, word: str) -> int:
         plain = _DIGITS.sub("0", word)
@@ -197,8 +196,10 @@ class _Numbers(dict):
 
 FEATURES = (
     "response_id bigint, model string, doc bigint, page int, lang string, length int, n_words int, head_low boolean, "
-    "ends array<struct<foot:string,context:string,mark:boolean,closed:boolean,tail:bigint,last:int>>, inner array<string>, stops array<int>"
+    "foot array<string>, context array<string>, mark array<boolean>, closed array<boolean>, tail array<bigint>, last array<int>, inner array<string>, stops array<int>"
 )
+#: The columns of the endings of a text: one entry for each of ``endings``.
+_ENDINGS = ("foot", "context", "mark", "closed", "tail", "last")
 COUNTS = "a string, b string, how string, n bigint"
 
 
@@ -210,8 +211,20 @@ def read_texts(responses: DataFrame, common: DataFrame) -> DataFrame:
     emits and empties its tables when they are large. Null and blank texts have no row.
     """
     known = word_languages(common)
+    langs = sorted({x for v in known.values() for x in v})
+    speaks = np.array([[x in v for x in langs] for v in known.values()], bool).reshape(len(known), len(langs))
     target = to_arrow_schema(StructType.fromDDL(f"{FEATURES}, {COUNTS}"))
     names = StructType.fromDDL(FEATURES).fieldNames()
+    lists = {f.name for f in target if pa.types.is_list(f.type)}
+
+    def languages(ids: np.ndarray, owner: np.ndarray, n: int) -> list[str]:
+        """Of each text the language that has most of its frequent words; '' without any. Ties go to the first code."""
+        few = (ids > _CUT) & (ids <= _CUT + len(known))
+        if not few.any():
+            return [""] * n
+        which, word = owner[few], ids[few] - _CUT - 1
+        score = np.stack([np.bincount(which, speaks[word, k], n) for k in range(len(langs))], 1)
+        return [langs[k] if some else "" for k, some in zip(score.argmax(1).tolist(), score.any(1).tolist())]
 
     def emit(numbers: _Numbers, flat: list[int], alone: Counter) -> pa.RecordBatch:
         x = np.array(flat, np.int64)
@@ -234,15 +247,16 @@ def read_texts(responses: DataFrame, common: DataFrame) -> DataFrame:
         numbers, flat, alone = _Numbers(known), [_CUT], Counter()
         for batch in batches:
             out = {k: [] for k in names}
+            offsets = {k: [0] for k in lists}
+            began, sizes, get, at = len(flat), [], numbers.__getitem__, numbers.words
             for rid, model, doc, page, text in zip(*[c.to_pylist() for c in batch.columns]):
-                if text is None or not text.strip():
+                if text is None or text.isspace() or not text:
                     continue
-                words, ends, new, began = [], [], False, len(flat)
-                get, at, most = numbers.__getitem__, numbers.words, numbers.known
+                words, ends, new, start = [], out["inner"], False, len(flat)
                 for para in text.split("\n\n"):
-                    if stands_alone(para):
+                    if len(para) <= 60 and stands_alone(para):
                         alone[para] += 1
-                    for unit in units_of(para):
+                    for unit in units_of(para) if "\n" in para else (para,):
                         ws = unit.lower().split()
                         if ws:
                             flat.append(_START)
@@ -255,19 +269,28 @@ def read_texts(responses: DataFrame, common: DataFrame) -> DataFrame:
                 flat[-1] = _CUT
                 if new:
                     ends.pop()
-                last = [
-                    {"foot": foot, "context": context(body)[-ORDERS[-1] :], "mark": mark, "closed": closed(body), "last": last_key(body),
-                     "tail": zlib.crc32(" ".join(_WORDS.findall(" ".join(body.rsplit(None, 3)[-3:]).lower())[-3:]).encode())}
-                    for foot, body, mark in endings(text)
-                ]
-                row = (rid, model or "", doc, page, guess_language([at[i] for i in flat[began:] if _CUT < i < most], known), len(text), len(words), _head(text)[:1].islower(), last, ends, stops(words))
-                for k, v in zip(names, row):
+                sizes.append(len(flat) - start)
+                for foot, body, mark in endings(text):
+                    last_three = " ".join(_WORDS.findall(" ".join(body.rsplit(None, 3)[-3:]).lower())[-3:])
+                    for k, v in zip(_ENDINGS, (foot, context(body)[-ORDERS[-1] :], mark, closed(body), zlib.crc32(last_three.encode()), last_key(body))):
+                        out[k].append(v)
+                out["stops"] += stops(words)
+                for k in lists:
+                    offsets[k].append(len(out[k]))
+                for k, v in (("response_id", rid), ("model", model or ""), ("doc", doc), ("page", page), ("length", len(text)), ("n_words", len(words)), ("head_low", _head(text)[:1].islower())):
                     out[k].append(v)
-                if len(flat) > 20 * FLUSH or len(numbers) > FLUSH:
-                    yield emit(numbers, flat, alone)
-                    numbers, flat, alone = _Numbers(known), [_CUT], Counter()
-            size = len(out["model"])
-            yield pa.RecordBatch.from_arrays([pa.array(out[f.name], f.type) if f.name in out else pa.nulls(size, f.type) for f in target], schema=target)
+            size = len(sizes)
+            out["lang"] = languages(np.array(flat[began:], np.int64), np.repeat(np.arange(size), sizes), size)
+            cols = []
+            for f in target:
+                if f.name in lists:
+                    cols.append(pa.ListArray.from_arrays(pa.array(offsets[f.name], pa.int32()), pa.array(out[f.name], f.type.value_type)))
+                else:
+                    cols.append(pa.array(out[f.name], f.type) if f.name in out else pa.nulls(size, f.type))
+            yield pa.RecordBatch.from_arrays(cols, schema=target)
+            if len(flat) > 20 * FLUSH or len(numbers) > FLUSH:
+                yield emit(numbers, flat, alone)
+                numbers, flat, alone = _Numbers(known), [_CUT], Counter()
         yield emit(numbers, flat, alone)
 
     columns = ["response_id", "model", "doc", "page_num", "natural_text"]
@@ -377,9 +400,15 @@ class Ends:
         total = counts[: np.searchsorted(keys, 1 << BITS)].sum(0).astype(float) + 1
         self.base = (total / total.sum()).tolist()
 
-    def final(self, ends: list[dict]) -> dict:
-        """Of the endings of a text the first whose last line is no running title."""
-        return next(e for e in ends if e["foot"] is None or not titled(e["foot"], self.titles))
+    def final(self, feet: pa.ListArray) -> np.ndarray:
+        """Where in the flat columns the ending of each text stands: the first whose last line is no running title."""
+        at = feet.offsets.to_numpy()
+        out, first = at[:-1].copy(), at[0]
+        flat = feet.flatten()
+        for i in np.flatnonzero(np.diff(at) > 1):
+            while (foot := flat[int(out[i] - first)].as_py()) is not None and titled(foot, self.titles):
+                out[i] += 1
+        return out - first
 
     def odds(self, contexts: list[str]) -> np.ndarray:
         """Log-odds that a unit ends after each context, and that a word does: a row of two a context."""
@@ -441,16 +470,17 @@ def measure(passed: DataFrame, ends: Ends) -> DataFrame:
     def run(batches):
         ends = shared.value
         for batch in batches:
-            last = [ends.final(x) for x in batch.column(len(same)).to_pylist()]
-            inner = batch.column(len(same) + 1)
-            size, n = batch.num_rows, len(inner.flatten())
-            got = ends.odds([x["context"] for x in last] + inner.flatten().to_pylist())
+            cols = dict(zip([*same, "inner", *_ENDINGS], batch.columns))
+            at = pa.array(ends.final(cols["foot"]))
+            last = {k: cols[k].flatten().take(at) for k in _ENDINGS if k != "foot"}
+            inner, size = cols["inner"], batch.num_rows
+            got = ends.odds(last["context"].to_pylist() + inner.flatten().to_pylist())
             yield pa.RecordBatch.from_arrays([
-                *[pa.array(batch.column(k), target[k].type) for k in range(len(same))], pa.array(got[:size, 0]), pa.array(got[:size, 1]),
-                pa.ListArray.from_arrays(pc.cast(pc.subtract(inner.offsets, inner.offsets[0]), pa.int32()), pa.array(got[size : size + n, 0].astype(np.float32))),
-                *[pa.array([x[f.name] for x in last], f.type) for f in list(target)[len(same) + 3 :]]], schema=target)
+                *[cols[k] for k in same], pa.array(got[:size, 0]), pa.array(got[:size, 1]),
+                pa.ListArray.from_arrays(pc.cast(pc.subtract(inner.offsets, inner.offsets[0]), pa.int32()), pa.array(got[size:, 0].astype(np.float32))),
+                *[last[k] for k in ("mark", "closed", "tail", "last")]], schema=target)
 
-    return passed.where("how is null").select(*same, "ends", "inner").mapInArrow(run, schema)
+    return passed.where("how is null").select(*same, "inner", *_ENDINGS).mapInArrow(run, schema)
 
 
 def thresholds(rows: DataFrame, quantile: float = QUANTILE) -> DataFrame:

@@ -145,7 +145,7 @@ def test_leximin_matches_brute_force(spark, leave_out):
 
 
 def test_global_percentiles(spark):
-    p = ranking.percentiles(spark.range(2000).selectExpr("cast(id as double) x"), {"x": True}, None).selectExpr("max(abs(p_x - x / 1999))").first()[0]
+    p = ranking.percentiles(spark.range(2000).selectExpr("cast(id as double) x"), {"x": True}).selectExpr("max(abs(p_x - x / 1999))").first()[0]
     assert p < 0.01
 
 
@@ -254,6 +254,32 @@ def test_scan_noise(spark):
     assert ch.repair("WATER LEVELS GOSK    4\nThe harb0ur comrnittee mea-\nsured the\nboundary stones.")[0] == "The harbour committee measured the boundary stones."
 
 
+def test_confusions_outside_the_list_are_learned(spark):
+    words = "river seven cover never given clever silver shovel gravel travel novel marvel".split()
+    base = ["The " + " and the ".join(words) + " were there."] * 100
+    bad = [f"He saw the {w.replace('v', 'y')} again." for w in words]
+    text = "He saw the shoyel again."
+    df = pages(spark, base + bad)
+    assert ("v", "y") not in scan.CONFUSIONS
+    ch = scan.learn(df)
+    assert ch.odds["v", "y"] > scan.RATE and ch.repair(text)[0] == "He saw the shovel again."
+    flags = {r.record_id: r.is_case for r in scan.scan_flags(df, ch).collect()}
+    assert not any(flags[i] for i in range(100)) and all(flags[100 + i] for i in range(len(bad)))
+    assert not any(scan.learn(pages(spark, base + bad[:5])).odds.get(k) for k in [("v", "y")])  # too few words to tell
+    assert scan.swapped("é", "Ã©") and scan.swapped("é", "�") and not scan.swapped("e", "c") and not scan.swapped("и", "н")
+
+
+def test_learned_odds_and_pairs_decide_a_row():
+    words = {"heat": 1000, "hoat": 1000, "the": 5000, "form": 30, "farm": 1000}
+    seen = "the hcat"
+    by = lambda **k: scan.Channel(words, total=100_000, **k)
+    assert by(odds={("e", "c"): 1e-2, ("o", "c"): 1e-5}).repair(seen)[0] == "the heat" and by(odds={("e", "c"): 1e-5, ("o", "c"): 1e-2}).repair(seen)[0] == "the hoat"
+    even = {("e", "c"): 1e-3, ("o", "c"): 1e-3}
+    assert by(odds=even, pairs={("the", "hoat"): 400}).repair(seen)[0] == "the hoat" and by(odds=even, pairs={("the", "heat"): 400}).repair(seen)[0] == "the heat"
+    slip = {("a", "o"): 2e-3}
+    assert not by(odds=slip).misread("the form") and by(odds=slip, pairs={("the", "farm"): 990, ("the", "form"): 0}).misread("the form") and not by(odds={("a", "o"): 1e-6}, pairs={("the", "farm"): 990}).misread("the form")
+
+
 # --- 8 ---
 
 
@@ -273,6 +299,11 @@ def test_packing(spark):
     assert all(len({cluster[r.doc_id] for r in b}) == len(b) for b in bins.values())
     assert {r.doc_id: r.n_pieces for r in out if r.n_pieces > 1} == {d: -(-n // 100) for d, _, n, _ in rows if n > 100}
     assert sum(of.values()) / (100 * len(bins)) > 0.75
+    import time
+
+    began = time.process_time()
+    where, n = packing.best_fit([(3, 0, 7)] * 8000, 1000, {0: 400})  # copies of one text: a bin each
+    assert n == 8000 and time.process_time() - began < 5
     one, n = packing.best_fit([(60, 0, -1), (50, 0, -1), (40, 0, -1), (50, 0, -1)], 100, {0: 9})
     assert n == 2
 
