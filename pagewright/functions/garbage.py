@@ -25,7 +25,7 @@ def token_is_garbage(token: str) -> bool:
         return True
     kinds = [category(c) for c in token]
     letters = sum(k[0] == "L" for k in kinds)
-    if letters and "Nd" in kinds:
+    if letters and any(map(str.isdigit, token)):
         return True
     if letters > 2 and not _VOWELS.intersection(token) and ("Ll" in kinds or "Lu" not in kinds):
         return True

@@ -5,6 +5,7 @@ Each gives ``struct<primary_language, is_rotation_valid, rotation_correction, is
 
 from __future__ import annotations
 
+import json
 import re
 from html import unescape
 from html.parser import HTMLParser
@@ -16,6 +17,7 @@ from pyspark.sql import types as T
 
 from .text import SPACE, strip
 
+#: The columns of an answer; patterns of code fences, picture boxes and enumerators; tags without an end.
 RESPONSE = "primary_language string, is_rotation_valid boolean, rotation_correction int, is_table boolean, is_diagram boolean, natural_text string, error string"
 _FENCE = rf"(?is)^[{SPACE}]*```(?:markdown|md)?[ \t]*\n(.*?)\n```[{SPACE}]*$"
 _BBOX = r'<img\s+src="images/bbox_\d+_\d+_\d+_\d+\.jpg"\s*/?>'
@@ -108,7 +110,8 @@ def front_matter(raw: Column) -> Column:
 
 
 _ENUMERATED = re.compile(r"\(?(?:\d{1,3}|[A-Za-z]|[ivxlcdm]{1,4})[.)]\s")
-_VOID = {"br", "img", "hr", "input", "meta", "link", "col"}
+#: Columns that one cell may span.
+WIDEST = 1000
 
 
 class _Layout(HTMLParser):
@@ -130,8 +133,8 @@ class _Layout(HTMLParser):
         a = dict(attrs)
         if tag == "div" and (a.get("data-label") or "").strip() in ("Section-Header", "Title"):
             self._open(tag, heading=True)
-        elif tag in ("div", "p", "li", "math", "td", "th", "table", "tr", "h1", "h2", "h3", "h4", "h5", "h6", "b", "strong", "i", "em", "code", "blockquote"):
-            self._open(tag, block=(a.get("display") or "").lower() == "block")
+        elif tag in ("div", "p", "li", "math", "td", "th", "table", "tr", "h1", "h2", "h3", "h4", "h5", "h6", "b", "strong", "i", "em", "code", "blockquote", "pre", "a"):
+            self._open(tag, block=(a.get("display") or "").lower() == "block", href=a.get("href"), title=a.get("title"), span=a.get("colspan") or "1")
         elif tag in ("ul", "ol"):
             self.lists.append([tag, 0])
             self._write("\n")
@@ -159,8 +162,17 @@ class _Layout(HTMLParser):
             level = 1 if f.get("heading") else int(tag[1])
             s = " ".join(re.sub(r"[*_]{1,2}(?=\S)|(?<=\S)[*_]{1,2}", "", s).split()) if f.get("heading") else s
             self._write(f"\n{'#' * level} {s}\n\n" if s else "")
-        elif tag in ("div", "p", "blockquote"):
+        elif tag in ("div", "p"):
             self._write(f"{s}\n\n" if s else "")
+        elif tag == "blockquote":
+            quoted = "\n".join(f"> {x}".rstrip() for x in s.split("\n"))
+            self._write(f"\n{quoted}\n\n" if s else "")
+        elif tag == "pre":
+            inner = text.strip("\n").removeprefix("`").removesuffix("`") if s.startswith("`") else text.strip("\n")
+            self._write(f"\n```\n{inner}\n```\n\n" if s else "")
+        elif tag == "a":
+            title = ' "{}"'.format(f["title"].replace('"', r"\"")) if f["title"] else ""
+            self._write("" if not s else s if not f["href"] else f"<{s}>" if s == f["href"] and not title else f"[{s}]({f['href']}{title})")
         elif tag == "li":
             if self.lists:
                 self.lists[-1][1] += 1
@@ -177,7 +189,8 @@ class _Layout(HTMLParser):
             if row is None:
                 self._write(f"{cell} ")
             else:
-                row.setdefault("cells", []).append(cell)
+                width = int(f["span"]) if f["span"].isdigit() else 1
+                row.setdefault("cells", []).extend([cell, *[""] * (min(max(width, 1), WIDEST) - 1)])
         elif tag == "tr":
             table = next((x for x in reversed(self.frames) if x["tag"] == "table"), None)
             if table is None:
@@ -193,7 +206,7 @@ class _Layout(HTMLParser):
             self._write("\n" + "\n".join(lines) + "\n\n" if lines else "")
 
     def handle_data(self, data):
-        self._write(data if self.frames and self.frames[-1]["tag"] in ("math", "code") else re.sub(r"\s+", " ", data))
+        self._write(data if self.frames and self.frames[-1]["tag"] in ("math", "code", "pre") else re.sub(r"\s+", " ", data))
 
     def finish(self) -> str:
         self.close()
@@ -224,7 +237,7 @@ def layout_html(raw: Column) -> Column:
     return _response(F.when(t != "", t), raw.rlike(r"""data-label\s*=\s*["']Table["']"""), raw.rlike(r"""data-label\s*=\s*["'](?:Figure|Image|Diagram)["']"""))
 
 
-#: Adapters by name: parser, longest image side, sampling settings (JSON), guided regex.
+#: Adapters by name: parser, longest image side, sampling settings (JSON), guided regex; the tokens of an answer.
 ADAPTERS = {
     "markdown": (markdown, 1288, "{}", None),
     "olmocr": (front_matter, 1288, "{}", r"---\nprimary_language: (?:[a-z]{2}|null)\nis_rotation_valid: (?:True|False|true|false)\nrotation_correction: (?:0|90|180|270)\nis_table: (?:True|False|true|false)\nis_diagram: (?:True|False|true|false)\n(?:---|---\n[\s\S]+)"),
@@ -239,6 +252,28 @@ ADAPTERS = {
 }
 
 
+ANSWER_TOKENS = 8000
+
+
+def render_size(name: str, explicit: int | None = None) -> int:
+    """The longest side of a page's picture: what is asked for, else what the adapter prefers."""
+    parser(name)
+    return ADAPTERS[name][1] if explicit is None else explicit
+
+
+def page_request(image: Column, prompt: Column, temperature: Column, name: str, served: str) -> Column:
+    """The request for a page as JSON: the prompt and the picture (base64 PNG), the bound of an answer, the attempt's temperature; the adapter's own
+    settings stand in place of the general ones."""
+    parser(name)
+    own = json.loads(ADAPTERS[name][2])
+    url = F.struct(F.concat(F.lit("data:image/png;base64,"), image).alias("url"))
+    content = F.array(F.to_json(F.struct(F.lit("text").alias("type"), prompt.alias("text"))), F.to_json(F.struct(F.lit("image_url").alias("type"), url.alias("image_url"))))
+    messages = F.concat(F.lit('[{"role":"user","content":['), F.array_join(content, ","), F.lit("]}]"))
+    general = {"model": F.lit(json.dumps(served)), "messages": messages, "max_tokens": F.lit(str(ANSWER_TOKENS)), "temperature": temperature.cast("string")}
+    fields = general | {k: F.lit(json.dumps(v)) for k, v in own.items()}
+    return F.concat(F.lit("{"), F.concat_ws(",", *[F.concat(F.lit(f"{json.dumps(k)}:"), v) for k, v in fields.items()]), F.lit("}"))
+
+
 def parser(name: str):
     """The column function of an adapter; an unknown name lists the choices."""
     if name not in ADAPTERS:

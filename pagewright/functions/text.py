@@ -6,6 +6,8 @@ ASCII alone.
 
 from __future__ import annotations
 
+from unicodedata import category
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -14,6 +16,15 @@ WORD = r"[\p{L}\p{N}_]+"
 STRIP = r"\[\](){}.,;:!?\"'"
 
 
+def _digits() -> str:
+    """The class of decimal digits and of the signs that Unicode counts as digits too, such as superscripts."""
+    more = [c for c in map(chr, range(0x20000)) if c.isdigit() and category(c) != "Nd"]
+    return r"\p{Nd}" + "".join(f"\\x{{{ord(c):X}}}" for c in more)
+
+
+DIGIT = _digits()
+
+
 def strip(text: Column) -> Column:
     """White space off both ends, Unicode's included."""
     return F.regexp_replace(text, rf"^[{SPACE}]+|[{SPACE}]+$", "")
@@ -38,7 +49,7 @@ def is_garbage(token: Column) -> Column:
     return (
         token.rlike(r"(?s)(.)\1{3,}|\p{Ll}\p{Lu}.*\p{Ll}\p{Lu}")
         | few_vowels
-        | (token.rlike(r"\p{Nd}") & token.rlike(r"\p{L}"))
+        | (token.rlike(f"[{DIGIT}]") & token.rlike(r"\p{L}"))
         | ((F.length(token) > 40) & (F.length(core) > 40))
     )
 

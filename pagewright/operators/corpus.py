@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+import csv
+import io
+
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -47,6 +51,34 @@ def remaining_work(index: DataFrame, done: DataFrame, locks: DataFrame | None =
     return out if locks is None else out.join(locks.where(F.col("age") <= seconds).select("hash"), "hash", "left_anti")
 
 
+def extended_index(index: DataFrame, paths: DataFrame, per_group: int) -> DataFrame:
+    """The work index (``hash, paths``) with groups of the paths it lacks; groups that are there stay as they are."""
+    new = work_groups(paths, per_group, index)
+    return index.select("hash", "paths").unionByName(new.join(index.select("hash"), "hash", "left_anti"))
+
+
+def shuffled(work: DataFrame, seed: int = 0) -> DataFrame:
+    """Groups in an order that looks random and is the same for a seed."""
+    return work.orderBy(F.xxhash64("hash", F.lit(seed)), "hash")
+
+
+def index_lines(index: DataFrame) -> DataFrame:
+    """``line``: a group as a CSV row, hash first; what holds a comma, a quote or a line end is quoted."""
+    quoted = lambda x: F.when(x.rlike('[,"\\r\\n]'), F.concat(F.lit('"'), F.replace(x, F.lit('"'), F.lit('""')), F.lit('"'))).otherwise(x)
+    return index.select(F.array_join(F.transform(F.concat(F.array("hash"), F.col("paths")), quoted), ",").alias("line"))
+
+
+def read_index(lines: DataFrame) -> DataFrame:
+    """``hash, paths`` of the rows of ``index_lines``; blank lines are left out, of equal hashes the greatest row counts."""
+
+    @F.pandas_udf("array<string>")
+    def cells(line: pd.Series) -> pd.Series:
+        return line.map(lambda x: next(csv.reader(io.StringIO(x, newline=""))))
+
+    c = lines.where(F.trim("line") != "").select(cells("line").alias("c"))
+    return c.select(F.col("c")[0].alias("hash"), F.slice("c", F.lit(2), F.size("c") - 1).alias("paths")).groupBy("hash").agg(F.max("paths").alias("paths"))
+
+
 def items_per_group(page_counts: DataFrame, pages_per_group: int, sample: int = 100, seed: int = 1) -> int:
     """How many inputs make a group of some pages, from the mean of up to ``sample`` readable ones; ten pages each if there are none."""
     picked = page_counts.orderBy(F.xxhash64("path", F.lit(seed))).limit(sample)

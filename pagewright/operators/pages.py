@@ -28,7 +28,7 @@ def evaluate_attempts(attempts: DataFrame, adapter: str = "markdown", disabled=(
     a = a.withColumn("kind", F.when(failed, F.lit("failed")).otherwise(quality.verdict(F.col("_t"), disabled)))
     a = a.withColumn("is_blank", quality.is_blank_page(F.col("kind"), F.col("ink")))
     fields = [F.col(f"_p.{c}").alias(c) for c in ("primary_language", "is_rotation_valid", "rotation_correction", "is_table", "is_diagram")]
-    return a.select(*[c for c in attempts.columns if c != "raw"], *fields, F.when(~F.col("is_blank"), F.col("_p.natural_text")).alias("natural_text"), "kind", "is_blank",
+    return a.select(*attempts.columns, *fields, F.when(~F.col("is_blank"), F.col("_p.natural_text")).alias("natural_text"), "kind", "is_blank",
                     ((F.col("kind") == "ok") | F.col("is_blank")).alias("is_valid"), ((F.col("kind") == "refusal")).alias("is_terminal"))
 
 
@@ -99,11 +99,11 @@ def document_meta(documents: DataFrame, model: Column) -> DataFrame:
 
 
 def require_unique(documents: DataFrame) -> DataFrame:
-    """The documents, or an error as soon as one run names a source file twice."""
-    w = Window.partitionBy("model", F.col("metadata.Source-File"))
-    n = F.count(F.lit(1)).over(w)
-    bad = F.raise_error(F.concat(F.lit("duplicate Source-File "), F.col("metadata.Source-File")))
-    return documents.withColumn("_n", n).withColumn("text", F.when(F.col("_n") > 1, bad).otherwise(F.col("text"))).drop("_n")
+    """The documents; an error if one run names a source file twice. Names are counted before, without the texts."""
+    twice = documents.groupBy("model", F.col("metadata.Source-File").alias("doc")).count().where("count > 1").orderBy("model", "doc").limit(1).collect()
+    if twice:
+        raise ValueError(f"duplicate Source-File {twice[0].doc!r} in run {twice[0].model!r}")
+    return documents
 
 
 def document_checksums(pages: DataFrame) -> DataFrame:
@@ -112,7 +112,13 @@ def document_checksums(pages: DataFrame) -> DataFrame:
     return pages.groupBy("model", "doc").agg(F.sha1(F.encode(F.array_join(part, ""), "UTF-8")).alias("text_sha1"))
 
 
-def outcome_counts(pages: DataFrame, keys: list[str], max_rate: float) -> DataFrame:
-    """``outcome, n`` over documents."""
+def outcome_counts(pages: DataFrame, keys: list[str], max_rate: float, expected: DataFrame | None = None, crashed: DataFrame | None = None) -> DataFrame:
+    """``outcome, n`` over documents. Of the ``expected`` ones (``keys``) those without pages are 'crashed' if they are in ``crashed``, else 'missing';
+    a crashed document with pages counts as crashed once."""
     d = pages.groupBy(*keys).agg(F.count("*").alias("p"), F.sum(F.col("is_fallback").cast("bigint")).alias("f"))
-    return d.groupBy(classify_document(F.col("p"), F.col("f"), max_rate).alias("outcome")).agg(F.count("*").alias("n"))
+    d = d.select(*keys, classify_document(F.col("p"), F.col("f"), max_rate).alias("outcome"))
+    if expected is not None:
+        d = d.join(expected.select(*keys).distinct(), keys, "full")
+    if crashed is not None:
+        d = d.join(crashed.select(*keys).distinct().withColumn("_c", F.lit(True)), keys, "full").withColumn("outcome", F.when(F.col("_c"), F.lit("crashed")).otherwise(F.col("outcome")))
+    return d.groupBy(F.coalesce("outcome", F.lit("missing")).alias("outcome")).agg(F.count("*").alias("n"))

@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions.text import perplexity
 
@@ -13,21 +15,33 @@ CHARS_PER_TOKEN, MAX_TOKENS = 3, 32_000
 def token_chunks(pages: DataFrame, keys: list[str], max_tokens: int = MAX_TOKENS) -> DataFrame:
     """``keys, page, chunk, start``: consecutive pages in chunks under a token bound, and where each page begins in its chunk.
 
-    Greedy from the first page, so a chunk depends on the one before: a fold over a document's page lengths, which leaves the texts where they
+    Greedy from the first page, so a chunk depends on the one before: one pass over a document's page lengths, which leaves the texts where they
     are. A page longer than the bound is a chunk of its own.
     """
     n = F.length("text").cast("bigint") + 1
     d = pages.groupBy(*keys).agg(F.array_sort(F.collect_list(F.struct("page", n.alias("n")))).alias("_p"))
-    zero = F.struct(F.lit(0).cast("bigint").alias("used"), F.lit(0).alias("chunk"), F.array().cast("array<struct<page:int,chunk:int,start:bigint>>").alias("out"))
+    out = d.select(*keys, F.explode(_greedy(F.transform("_p", lambda x: x["page"].cast("int")), F.transform("_p", lambda x: x["n"]), F.lit(max_tokens))).alias("o"))
+    return out.select(*keys, "o.page", "o.chunk", "o.start")
 
-    def step(acc: Column, x: Column) -> Column:
-        full = (acc["used"] > 0) & (F.floor((acc["used"] + x["n"]) / CHARS_PER_TOKEN) > max_tokens)
-        chunk, start = F.when(full, acc["chunk"] + 1).otherwise(acc["chunk"]), F.when(full, F.lit(0).cast("bigint")).otherwise(acc["used"])
-        row = F.struct(x["page"].cast("int").alias("page"), chunk.alias("chunk"), start.alias("start"))
-        return F.struct((start + x["n"]).alias("used"), chunk.alias("chunk"), F.concat(acc["out"], F.array(row)).alias("out"))
 
-    out = d.select(*keys, F.explode(F.aggregate("_p", zero, step)["out"]).alias("o"))
-    return out.select(*keys, "o.page", "o.chunk", "o.start")
+@F.pandas_udf(T.ArrayType(T.StructType([T.StructField("page", T.IntegerType()), T.StructField("chunk", T.IntegerType()), T.StructField("start", T.LongType())])))
+def _greedy(pages: pd.Series, lengths: pd.Series, most: pd.Series) -> pd.Series:
+    def chunks(numbers, sizes, bound):
+        used = chunk = 0
+        for page, n in zip(numbers, sizes):
+            if used and (used + n) // CHARS_PER_TOKEN > bound:
+                used, chunk = 0, chunk + 1
+            yield {"page": page, "chunk": chunk, "start": used}
+            used += n
+
+    return pd.Series([list(chunks(*x)) for x in zip(pages, lengths, most)])
+
+
+def chunk_texts(pages: DataFrame, chunks: DataFrame, keys: list[str]) -> DataFrame:
+    """``keys, chunk, text``: the prompts, pages joined by line ends. A chunk has a bounded length, save where one page is longer."""
+    at = [*keys, "chunk"]
+    rows = chunks.select(*keys, "page", "chunk").join(pages.select(*keys, "page", "text"), [*keys, "page"])
+    return rows.groupBy(*at).agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("page", "text"))), lambda x: x["text"]), "\n").alias("text"))
 
 
 def attribute_tokens(tokens: DataFrame, chunks: DataFrame, pages: DataFrame, keys: list[str]) -> DataFrame:

@@ -61,7 +61,8 @@ def suggestions(tokens: DataFrame, words: DataFrame) -> DataFrame:
 
     Token and word meet on a string that both become by deleting up to two letters; the token keeps its case, so capitals cost edits.
     """
-    t = tokens.select("token").distinct().withColumn("k", F.explode(_deletes("token")))
+    longest = words.agg(F.coalesce(F.max(F.length("word")), F.lit(0))).first()[0]  # a longer token is no word's neighbour
+    t = tokens.select("token").distinct().where(F.length("token") <= longest + MAX_EDITS).withColumn("k", F.explode(_deletes("token")))
     w = words.select("word", "count").withColumn("k", F.explode(_deletes("word")))
     pairs = t.join(w, "k").select("token", "word", "count").distinct().withColumn("d", _distance("token", "word")).where(F.col("d") <= MAX_EDITS)
     return pairs.groupBy("token").agg(F.min(F.struct("d", -F.col("count"), "word"))["word"].alias("word"))

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..schemas import LEDGER, METRICS, RUNS, names
@@ -86,46 +86,102 @@ def register(runs: DataFrame, model: str, input_path: str, scorer: str | None, p
     return upsert(runs, row, ["model"]), pplx.join(F.broadcast(stale), "model", "left_anti")  # one row at most
 
 
+def prune_runs(table: DataFrame, models: list[str], keep: DataFrame) -> DataFrame:
+    """``prune`` of several runs at once; ``keep`` has ``model, doc``."""
+    kept = keep.select("model", "doc").distinct()
+    out = table.join(kept.withColumn("_there", F.lit(True)), ["model", "doc"], "left").where(~F.col("model").isin(models) | F.col("_there")).drop("_there")
+    if "peer" in table.columns:
+        other = kept.select(F.col("model").alias("peer"), "doc", F.lit(True).alias("_there"))
+        out = out.join(other, ["peer", "doc"], "left").where(~F.col("peer").isin(models) | F.col("_there")).drop("_there")
+    return out.select(*table.columns)
+
+
 # --- tables on disk ------------------------------------------------------------------------------------------------
 
+#: Parts that a table is cut into by its documents.
+BUCKETS = 64
+
+
+def bucket(doc: str = "doc") -> Column:
+    return F.pmod(F.xxhash64(F.coalesce(F.col(doc), F.lit(""))), F.lit(BUCKETS)).cast("int")
+
 
 class MetricStore:
-    """Tables in version folders; a pointer file, written last, names the version in force, so rows and ledger change at once."""
+    """Tables in parts by document, and numbered versions. A version is one file that names the parts in force; it is written aside and gets
+    its number by a rename that fails if the number is taken. So rows and ledger change at once, a failure at any time leaves the last
+    version in force, and of two writers one is told. A commit rewrites the parts it touches and no others.
+    """
 
     def __init__(self, spark: SparkSession, path: str):
         self.spark, self.path = spark, path.rstrip("/")
         self.schemas = METRICS | {"runs": RUNS, "ledger": LEDGER}
-
-    def _pointer(self) -> dict[str, str]:
-        jvm = self.spark._jvm
-        p = jvm.org.apache.hadoop.fs.Path(f"{self.path}/CURRENT")
-        fs = p.getFileSystem(self.spark._jsc.hadoopConfiguration())
-        if not fs.exists(p):
+        self._jvm, self._conf = spark._jvm, spark._jsc.hadoopConfiguration()
+
+    def _file(self, name: str):
+        return self._jvm.org.apache.hadoop.fs.Path(f"{self.path}/versions/{name}")
+
+    def version(self) -> int:
+        """The number of the version in force; 0 for an empty store."""
+        folder = self._jvm.org.apache.hadoop.fs.Path(f"{self.path}/versions")
+        fs = folder.getFileSystem(self._conf)
+        if not fs.exists(folder):
+            return 0
+        return max((int(f.getPath().getName()) for f in fs.listStatus(folder) if f.getPath().getName().isdigit()), default=0)
+
+    def _parts(self, version: int) -> dict[tuple[str, int], str]:
+        """Where each part of each table is."""
+        if not version:
             return {}
-        rows = self.spark.read.text(f"{self.path}/CURRENT").collect()
-        return dict(r.value.split("\t", 1) for r in rows if r.value)
-
-    def read(self, table: str) -> DataFrame:
-        at = self._pointer().get(table)
-        return self.spark.read.schema(self.schemas[table]).parquet(at) if at else self.spark.createDataFrame([], self.schemas[table])
-
-    def commit(self, **tables: DataFrame) -> None:
-        """Writes new versions of the tables, then moves the pointer. What fails on the way leaves the old version in force."""
-        now = self._pointer()
+        at = self._file(f"{version:012d}")
+        stream = at.getFileSystem(self._conf).open(at)
+        try:
+            lines = self._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8").splitlines()
+        finally:
+            stream.close()
+        return {(table, int(part)): folder for table, part, folder in (x.split("\t") for x in lines)}
+
+    def _read(self, table: str, parts: dict[tuple[str, int], str], only: set[int] | None = None) -> DataFrame:
+        at = sorted({p for (t, b), p in parts.items() if t == table and (only is None or b in only)})
+        return self.spark.read.schema(self.schemas[table]).parquet(*at) if at else self.spark.createDataFrame([], self.schemas[table])
+
+    def read(self, table: str, only: set[int] | None = None) -> DataFrame:
+        """A table as it is now, or some of its parts."""
+        return self._read(table, self._parts(self.version()), only)
+
+    def _publish(self, version: int, parts: dict[tuple[str, int], str]) -> None:
+        aside, target = self._file(f"{version:012d}.{uuid.uuid4().hex}"), self._file(f"{version:012d}")
+        fs = aside.getFileSystem(self._conf)
+        out = fs.create(aside, True)
+        out.write(bytearray("".join(f"{t}\t{b}\t{at}\n" for (t, b), at in sorted(parts.items())).encode()))
+        out.close()
+        options = self.spark.sparkContext._gateway.new_array(self._jvm.org.apache.hadoop.fs.Options.Rename, 0)
+        try:
+            self._jvm.org.apache.hadoop.fs.FileContext.getFileContext(fs.getUri(), self._conf).rename(aside, target, options)
+        except Exception as e:
+            fs.delete(aside, False)
+            raise RuntimeError(f"version {version} of the store is taken: another writer was faster") from e
+
+    def commit(self, changed: dict[str, set[int]] | None = None, **tables: DataFrame) -> None:
+        """Writes new parts of the tables, then the version that names them. ``changed``: of a table the parts that its DataFrame stands for; of
+        others all parts."""
+        version = self.version()
+        parts = self._parts(version)
         for name, df in tables.items():
+            only = (changed or {}).get(name)
             to = f"{self.path}/{name}/{uuid.uuid4().hex}"
-            df.select(*names(self.schemas[name])).write.parquet(to)
-            now[name] = to
-        jvm, conf = self.spark._jvm, self.spark._jsc.hadoopConfiguration()
-        new = jvm.org.apache.hadoop.fs.Path(f"{self.path}/CURRENT.{uuid.uuid4().hex}")
-        fs = new.getFileSystem(conf)
-        out = fs.create(new, True)
-        out.write(bytearray("".join(f"{k}\t{v}\n" for k, v in sorted(now.items())).encode()))
-        out.close()
-        target = jvm.org.apache.hadoop.fs.Path(f"{self.path}/CURRENT")
-        if fs.exists(target):
-            fs.delete(target, False)
-        fs.rename(new, target)
+            rows = df.select(*names(self.schemas[name]))
+            rows.withColumn("_part", bucket() if "doc" in rows.columns else F.lit(0)).repartition("_part").write.partitionBy("_part").parquet(to)
+            folder = self._jvm.org.apache.hadoop.fs.Path(to)
+            new = {int(f.getPath().getName().split("=")[1]) for f in folder.getFileSystem(self._conf).listStatus(folder) if "=" in f.getPath().getName()}
+            parts = {(t, b): at for (t, b), at in parts.items() if t != name or only is not None and b not in only}
+            parts |= {(name, b): f"{to}/_part={b}" for b in new}
+        self._publish(version + 1, parts)
+
+    def change(self, touched: set[int], update, *tables: str) -> None:
+        """Replaces the touched parts of tables by what ``update`` makes of them: a function from DataFrames to DataFrames, by name."""
+        if touched:
+            new = update({t: self.read(t, touched) for t in tables})
+            self.commit({t: touched for t in new}, **new)
 
     def write_phase(self, phase: str, rows: DataFrame, done: DataFrame) -> None:
         """Rows of the documents in ``done`` (``model, doc, text_sha1``) and their records in one commit."""
@@ -133,4 +189,9 @@ class MetricStore:
             raise ValueError(f"unknown phase {phase!r}")
         table = PHASES[phase]
         marks = done.select("model", "doc", F.lit(phase).alias("phase"), "text_sha1")
-        self.commit(**{table: replace_documents(self.read(table), rows, done), "ledger": upsert(self.read("ledger"), marks, ["model", "doc", "phase"])})
+        self.change(touched(done), lambda old: {table: replace_documents(old[table], rows, done), "ledger": upsert(old["ledger"], marks, ["model", "doc", "phase"])}, table, "ledger")
+
+
+def touched(docs: DataFrame) -> set[int]:
+    """The parts that documents (``doc``) lie in: at most ``BUCKETS`` numbers."""
+    return {r[0] for r in docs.select(bucket()).distinct().collect()}

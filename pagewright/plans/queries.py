@@ -9,9 +9,8 @@ from pyspark.sql import functions as F
 
 from ..functions import loops, parsers, quality, text as tx
 from ..functions.garbage import garbage_fraction
-from ..functions.agreement import _f1, _similarity
 from ..operators import agreement, corpus, layout, leaderboard as lb, pages as pg, perplexity as pp, spelling, store as st, telemetry as tl
-from ..session import materialise, spread
+from ..session import materialise, settled, spread
 
 import pandas as pd
 
@@ -46,19 +45,14 @@ def table(spark, d, name, *columns) -> DataFrame:
 
 
 def page_texts(spark, d) -> DataFrame:
-    return spread(table(spark, d, "page_texts", "text_id", "model", "doc", "page", "text")).where("text is not null")
-
-
-def once(df: DataFrame, keys: list[str], value: str) -> DataFrame:
-    """Re-delivered rows repeat all keys: one value a key, computed before anything large is shuffled."""
-    return df.groupBy(*keys).agg(F.max(value).alias(value))
+    """Each page's text once; re-delivered rows are settled without the texts."""
+    return spread(settled(table(spark, d, "page_texts", "text_id", "model", "doc", "page", "text"), ["text_id"])).where("text is not null")
 
 
 def responses(spark, d, *columns) -> DataFrame:
     """The last delivery of each response."""
     cols = [c for c in columns if c not in ("response_id", "ingested_at")]
-    r = table(spark, d, "page_responses", "response_id", "ingested_at", *cols)
-    return r.groupBy("response_id").agg(F.max_by(F.struct(*cols), "ingested_at").alias("r")).select("response_id", *[F.col(f"r.{c}").alias(c) for c in cols])
+    return settled(table(spark, d, "page_responses", "response_id", "ingested_at", *cols), ["response_id"], "ingested_at").select("response_id", *cols)
 
 
 # --- text metrics and leaderboards -----------------------------------------------------------------------------------
@@ -66,7 +60,7 @@ def responses(spark, d, *columns) -> DataFrame:
 _GARBAGE = rf"""(
   list_bool_or(list_transform(range(1, length(t) - 2), lambda i: t[i] = t[i+1] and t[i] = t[i+2] and t[i] = t[i+3])) is true
   or length(regexp_replace(t, '^[{_STRIP}]+|[{_STRIP}]+$', '', 'g')) > 40
-  or (regexp_matches(regexp_replace(t, '^[{_STRIP}]+|[{_STRIP}]+$', '', 'g'), '\p{{L}}') and regexp_matches(regexp_replace(t, '^[{_STRIP}]+|[{_STRIP}]+$', '', 'g'), '\p{{Nd}}'))
+  or (regexp_matches(regexp_replace(t, '^[{_STRIP}]+|[{_STRIP}]+$', '', 'g'), '\p{{L}}') and regexp_matches(t, '[{tx.DIGIT}]'))
   or (length(regexp_replace(t, '[^\p{{L}}]', '', 'g')) > 2 and not (regexp_matches(t, '\p{{Lu}}') and not regexp_matches(t, '\p{{Ll}}')) and not regexp_matches(t, '[aeiouyAEIOUY]'))
   or len(regexp_extract_all(t, '\p{{Ll}}\p{{Lu}}')) >= 2)"""
 _GARBAGE_PAGES = f"""
@@ -87,8 +81,7 @@ def _board(name: str, source: str, value: str, higher: bool | None) -> str:
 
 
 def garbage_pages(spark, d) -> DataFrame:
-    s = page_texts(spark, d).select("text_id", "model", "doc", "page", garbage_fraction(F.col("text")).alias("score")).where("score is not null")
-    return once(s, ["text_id", "model", "doc", "page"], "score")
+    return page_texts(spark, d).select("text_id", "model", "doc", "page", garbage_fraction(F.col("text")).alias("score")).where("score is not null")
 
 
 @query(f"with {_GARBAGE_PAGES}, {_board('garbage', 's', 'score', False)} select model, mean as garbage, win as garbage_win from garbage")
@@ -138,6 +131,17 @@ _REJECT = "rj as (select model, doc, count(*) as total_pages, sum(is_fallback::i
 _ONCE = {t: f"(select distinct * from {t})" for t in ("correction_rate", "garbage_fraction", "peer_agreement", "pplx")}
 
 
+_BAG = f"""p as (select text_id, model, doc, page, regexp_extract_all(lower(text), '[\\p{{L}}\\p{{N}}_]+') as w from {PAGES}),
+u as (select text_id, t, count(*) as n from (select text_id, unnest(w) as t from p) group by all)"""
+_F1 = """, sh as (select x.a, x.b, sum(least(u.n, v.n)) as s from x join u on u.text_id = x.a join v on v.text_id = x.b and v.t = u.t group by all)
+"""
+
+
+_LAYER = f"""{_BAG}, v as (select * from u), lay as (select * from p where model = 'legacy-ocr'), tx as (select text_id, length(regexp_replace(text, '[^\\p{{L}}\\p{{N}}]', '', 'g')) as an from {PAGES}),
+x as (select a.text_id as a, b.text_id as b, a.model, a.doc, a.page, len(a.w) as na, len(b.w) as nb from p a join lay b on a.doc = b.doc and a.page = b.page join tx on tx.text_id = b.text_id where a.model <> 'legacy-ocr' and tx.an >= 25){_F1},
+tlp as (select model, doc, page, case when na = 0 and nb = 0 then 1.0 when na = 0 or nb = 0 then 0.0 else 2.0::double * coalesce(s, 0) / (na + nb) end::double as bow_f1 from x left join sh using (a, b))"""
+
+
 def metric_tables(spark, d) -> dict[str, DataFrame]:
     t = {n: table(spark, d, n).distinct() for n in ("correction_rate", "garbage_fraction", "peer_agreement", "pplx")}
     s = selected(spark, d)
@@ -146,17 +150,31 @@ def metric_tables(spark, d) -> dict[str, DataFrame]:
     return t
 
 
-@query(f"""with {_PAGE_ROWS}, {_REJECT},
+def textlayer(spark, d, ned: bool) -> DataFrame:
+    """Agreement with a text layer; one run's texts stand for it."""
+    p = _pages_once(spark, d)
+    layer = p.where("model = 'legacy-ocr'").select("doc", "page", F.col("text").alias("layer"))
+    mine = p.where("model <> 'legacy-ocr'")
+    metas = mine.select("model", "doc").distinct().withColumn("fallback_pages", F.lit(0))
+    return agreement.textlayer_agreement(mine, metas, layer, ned=ned)[0]
+
+
+@query(f"""with {_PAGE_ROWS.replace("r as (", "rs as (", 1).replace(" from r ", " from rs ").replace("join r on r.", "join rs r on r.")}, {_REJECT}, {_LAYER}, {_board('tf', 'tlp', 'bow_f1', True)},
 {_board('cr', _ONCE['correction_rate'], 'correction_rate', False)}, {_board('ur', _ONCE['correction_rate'], 'uncorrectable_rate', None)}, {_board('gf', _ONCE['garbage_fraction'], 'score', False)},
 {_board('pf', _ONCE['peer_agreement'], 'bow_f1', True)}, {_board('pn', _ONCE['peer_agreement'], 'one_minus_ned', None)}, {_board('rr', 'rj', 'rate', False)},
 px as (select model, round(avg(ppl_raw), 6) as ppl_raw, round(avg(ppl_corrected), 6) as ppl_corr from {_ONCE['pplx']} group by 1),
 m as (select model from runs union select model from correction_rate union select model from garbage_fraction union select model from peer_agreement union select model from rj)
-select m.model, cr.mean as corr_rate, cr.win as corr_rate_win, ur_m.mean as uncorr_rate, gf.mean as garbage, gf.win as garbage_win, pf.mean as peer_f1, pf.win as peer_f1_win, pn_m.mean as peer_ned,
+select m.model, cr.mean as corr_rate, cr.win as corr_rate_win, ur_m.mean as uncorr_rate, gf.mean as garbage, gf.win as garbage_win, pf.mean as peer_f1, pf.win as peer_f1_win, pn_m.mean as peer_ned, tf.mean as tl_f1, tf.win as tl_f1_win,
  rr.mean as reject_rate, rr.win as reject_rate_win, px.ppl_raw, px.ppl_corr
-from m left join cr using (model) left join ur_m using (model) left join gf using (model) left join pf using (model) left join pn_m using (model) left join rr using (model) left join px using (model)""")
+from m left join cr using (model) left join ur_m using (model) left join gf using (model) left join pf using (model) left join pn_m using (model) left join tf using (model) left join rr using (model) left join px using (model)""")
 def run_leaderboard(spark, d):
-    """The whole leaderboard over the stored metrics."""
-    return lb.leaderboard(metric_tables(spark, d)).drop("tl_f1", "tl_f1_win", "tl_ned")
+    """The leaderboard over the stored metrics and the words of the text layer; ``run_leaderboard_full`` has its edit distances too."""
+    return lb.leaderboard(metric_tables(spark, d) | {"textlayer_agreement": textlayer(spark, d, False)}).drop("tl_ned")
+
+
+@query()
+def run_leaderboard_full(spark, d):
+    return lb.leaderboard(metric_tables(spark, d) | {"textlayer_agreement": textlayer(spark, d, True)})
 
 
 @query("select model, doc, page, score from (select distinct * from garbage_fraction) order by score desc, model, doc, page limit 10")
@@ -171,8 +189,23 @@ def reject_rates(spark, d):
 
 # --- quality gate ------------------------------------------------------------------------------------------------------
 
-_OFF = ("repeated_character", "repeated_ngram", "repeated_tail")
+_TOK = r"regexp_extract_all(lower(natural_text), '[\p{L}\p{N}_]+|[^\p{L}\p{N}_\s\x{0085}\x{00A0}\x{2028}\x{2029}\x{202F}\x{3000}]')"
+
+
+_NGRAM_LOOPS = f"""with r as (select response_id, {_TOK} as w from {RESPONSES} where natural_text is not null),
+a as (select response_id, len(w) as n, unnest(range(1, len(w) + 1)) as i, w from r where len(w) >= 6),
+one as (select response_id, n, max(c) as top from (select response_id, n, w[i] as x, count(*) as c from a group by all) group by all),
+k as (select unnest([2, 3, 4, 5]) as k),
+g as (select response_id, n, k, max(c) as top from (select response_id, n, k, list_aggregate(w[i:i+k-1], 'string_agg', chr(1)) as x, count(*) as c from a, k where n >= 24 and n >= 8 * k and i <= n - k + 1 group by all) group by all)
+select response_id from one where top >= 6 and top >= 0.75 * n union select response_id from g where top >= 12 and top * k >= 0.35 * n"""
+_TAIL_LOOPS = f"""with r as (select response_id, {_trim('natural_text')} as t from {RESPONSES} where natural_text is not null),
+x as (select response_id, t, length(t) as n, unnest([0, 8, 24, 64, 160, 400]) as tr from r where length(t) >= 100),
+y as (select response_id, t, n, n - tr as e, unnest(range(1, 201)) as p from x where n - tr >= 100),
+z as (select *, greatest(100, 5 * p, ceil(round(0.35 * n, 9))::bigint) as need from y)
+select distinct response_id from z where need <= e and t[e] = t[e - p] and substr(t, e - need + 1, need - p) = substr(t, e - need + 1 + p, need - p)"""
+_FILL = f"[{_SP}_.–—·•*=~-]"
 _GATE = f"""
+ngram as ({_NGRAM_LOOPS}), tail as ({_TAIL_LOOPS}),
 e as (select response_id, is_valid, {_trim("coalesce(natural_text, '')")} as t from {RESPONSES}),
 l as (select *, lower(t) as low, string_split(t, chr(10)) as ln, length(t) - length(replace(t, chr(65533), '')) as lost from e),
 f as (select *, list_position(list_transform(ln[2:], lambda x: {_trim('x')}), '---') as fin from l),
@@ -181,61 +214,47 @@ kk as (select response_id, is_valid, case when t = '' then 'empty_output'
   when regexp_matches(t, '[\\x00-\\x08\\x0B\\x0C\\x0E-\\x1F]') then 'control_characters'
   when regexp_matches(low, '\\bas an ai\\b|\\bi am unable to help\\b|\\bi can''?t help\\b|\\bi cannot help\\b|\\bi cannot provide\\b|\\bi cannot comply\\b') or (length(t) <= 600 and regexp_matches(low, '\\bi''?m sorry\\b|\\bsorry,? but\\b')) then 'refusal'
   when starts_with(t, '---') and (coalesce(fin, 0) = 0 or len(list_filter(ln[2:fin], lambda x: length(x) - length(replace(x, '[', '')) <> length(x) - length(replace(x, ']', '')) or length(x) - length(replace(x, '{{', '')) <> length(x) - length(replace(x, '}}', '')))) > 0) then 'malformed_frontmatter'
+  when list_bool_or(list_transform(list_distinct(string_split(t, '')), lambda c: not regexp_matches(c, '{_FILL}') and contains(t, repeat(c, 24)))) then 'repeated_character'
+  when response_id in (from ngram) then 'repeated_ngram' when response_id in (from tail) then 'repeated_tail'
   when ends_with(low, '...') or ends_with(low, '[...]') or contains(low, 'truncated') then 'truncation_indicator'
   when length(t) < 5 or length(t) > 50000 then 'length_anomaly' else 'ok' end as kind from f)"""
 
 
-def gate_kinds(spark, d, off=_OFF) -> DataFrame:
-    r = responses(spark, d, "natural_text", "is_valid")
-    r = spread(r)
-    t = r.select("response_id", "is_valid", tx.strip(F.coalesce("natural_text", F.lit(""))).alias("t"))
-    return t.select("response_id", "is_valid", quality.verdict(F.col("t"), off).alias("kind"))
+def gate_kinds(spark, d) -> DataFrame:
+    t = spread(responses(spark, d, "natural_text", "is_valid")).select("response_id", "is_valid", tx.strip(F.coalesce("natural_text", F.lit(""))).alias("t"))
+    return t.select("response_id", "is_valid", quality.verdict(F.col("t")).alias("kind"))
+
 
+_RETRY = "case when kind = 'ok' then 'none' when kind = 'refusal' then 'terminal' else 'retryable' end as retry_class"
 
-@query(f"with {_GATE} select kind, case when kind = 'ok' then 'none' when kind = 'refusal' then 'terminal' else 'retryable' end as retry_class, count(*) as n from kk group by 1, 2")
+
+@query(f"with {_GATE} select kind, {_RETRY}, count(*) as n from kk group by 1, 2")
 def quality_gate_counts(spark, d):
-    """Verdicts by the checks that SQL can express."""
+    """Numbers of verdicts."""
     return gate_kinds(spark, d).groupBy("kind", quality.retry_class(F.col("kind")).alias("retry_class")).agg(F.count("*").alias("n"))
 
 
-@query()
+@query(f"with {_GATE} select response_id, kind, {_RETRY} from kk")
 def quality_gate_full(spark, d):
     """Verdict of every response by all checks."""
-    return gate_kinds(spark, d, ()).select("response_id", "kind", quality.retry_class(F.col("kind")).alias("retry_class"))
+    return gate_kinds(spark, d).select("response_id", "kind", quality.retry_class(F.col("kind")).alias("retry_class"))
 
 
 @query(f"""with {_GATE}, c as (select kind, count(*) as n from kk where not coalesce(is_valid, false) group by 1), t as (select * from c order by n desc, kind limit 3)
 select kind, n from t union all select '+more', greatest((select count(*) from c) - 3, 0) where (select count(*) from c) > 3""")
 def top_rejects(spark, d):
+    """The commonest rejects."""
     return corpus.top_rejects(gate_kinds(spark, d).where(~F.coalesce("is_valid", F.lit(False))))
 
 
-@query()
-def top_rejects_full(spark, d):
-    """The commonest rejects by all checks."""
-    return corpus.top_rejects(gate_kinds(spark, d, ()).where(~F.coalesce("is_valid", F.lit(False))))
-
-
-_TOK = r"regexp_extract_all(lower(natural_text), '[\p{L}\p{N}_]+|[^\p{L}\p{N}_\s\x{0085}\x{00A0}\x{2028}\x{2029}\x{202F}\x{3000}]')"
-
-
-@query(f"""with r as (select response_id, {_TOK} as w from {RESPONSES} where natural_text is not null),
-a as (select response_id, len(w) as n, unnest(range(1, len(w) + 1)) as i, w from r where len(w) >= 6),
-one as (select response_id, n, max(c) as top from (select response_id, n, w[i] as x, count(*) as c from a group by all) group by all),
-k as (select unnest([2, 3, 4, 5]) as k),
-g as (select response_id, n, k, max(c) as top from (select response_id, n, k, list_aggregate(w[i:i+k-1], 'string_agg', chr(1)) as x, count(*) as c from a, k where n >= 24 and n >= 8 * k and i <= n - k + 1 group by all) group by all)
-select response_id from one where top >= 6 and top >= 0.75 * n union select response_id from g where top >= 12 and top * k >= 0.35 * n""")
+@query(_NGRAM_LOOPS)
 def ngram_loops(spark, d):
     """Responses in which one phrase is repeated through a third of the text."""
     r = spread(responses(spark, d, "natural_text").where("natural_text is not null"))
     return r.where(quality._ngram_loop("natural_text")).select("response_id")
 
 
-@query(f"""with r as (select response_id, {_trim('natural_text')} as t from {RESPONSES} where natural_text is not null),
-x as (select response_id, t, length(t) as n, unnest([0, 8, 24, 64, 160, 400]) as tr from r where length(t) >= 100),
-y as (select response_id, t, n, n - tr as e, unnest(range(1, 201)) as p from x where n - tr >= 100),
-z as (select *, greatest(100, 5 * p, ceil(round(0.35 * n, 9))::bigint) as need from y)
-select distinct response_id from z where need <= e and t[e] = t[e - p] and substr(t, e - need + 1, need - p) = substr(t, e - need + 1 + p, need - p)""")
+@query(_TAIL_LOOPS)
 def tail_loops(spark, d):
     """Responses whose last third repeats one unit."""
     r = spread(responses(spark, d, "natural_text").where("natural_text is not null"))
@@ -326,7 +345,7 @@ _SUMS = f"cs as (select model, doc, sha1(string_agg(page::varchar || chr(10) ||
 
 
 def _pages_once(spark, d) -> DataFrame:
-    return page_texts(spark, d).groupBy("text_id", "model", "doc", "page").agg(F.max("text").alias("text")).drop("text_id")
+    return page_texts(spark, d).drop("text_id")
 
 
 @query(f"select model, doc, sha1(string_agg(page::varchar || chr(0) || text || chr(0), '' order by page, text)) as text_sha1 from {PAGES} group by 1, 2")
@@ -392,12 +411,6 @@ def adopted_documents(spark, d):
 
 # --- agreement -----------------------------------------------------------------------------------------------------------
 
-_BAG = f"""p as (select text_id, model, doc, page, regexp_extract_all(lower(text), '[\\p{{L}}\\p{{N}}_]+') as w from {PAGES}),
-u as (select text_id, t, count(*) as n from (select text_id, unnest(w) as t from p) group by all)"""
-_F1 = """, sh as (select x.a, x.b, sum(least(u.n, v.n)) as s from x join u on u.text_id = x.a join v on v.text_id = x.b and v.t = u.t group by all)
-"""
-
-
 @query(f"""with {_BAG}, v as (select * from u), x as (select a.text_id as a, b.text_id as b, a.model, b.model as peer, a.doc, a.page, len(a.w) as na, len(b.w) as nb from p a join p b on a.doc = b.doc and a.page = b.page and a.model < b.model){_F1},
 r as (select x.*, round(case when na = 0 and nb = 0 then 1.0 when na = 0 or nb = 0 then 0.0 else 2.0::double * coalesce(s, 0) / (na + nb) end, 6)::double as bow_f1 from x left join sh using (a, b))
 select model, peer, doc, page, bow_f1 from r union all select peer, model, doc, page, bow_f1 from r""")
@@ -406,36 +419,22 @@ def peer_bow_f1(spark, d):
     return agreement.peer_agreement(_pages_once(spark, d), ned=False).select("model", "peer", "doc", "page", F.round("bow_f1", 6).alias("bow_f1"))
 
 
-_ASCII = r"trim(regexp_replace(regexp_replace(regexp_replace(regexp_replace(text, '\[([^\]]*)\]\([^)]*\)', '\1', 'g'), '[#*_>`~]', '', 'g'), '[^\x20-\x7E\n\t]', '', 'g'), '[\s]+', ' ', 'g'))"
-
-
-@query(f"""with p as (select model, doc, page, {_ASCII} as s from {PAGES}), x as (select a.model, b.model as peer, a.doc, a.page, a.s as p, b.s as q from p a join p b on a.doc = b.doc and a.page = b.page and a.model < b.model)
-select model, peer, doc, page, round(case when greatest(length(p), length(q)) = 0 then 1.0 else 1.0::double - levenshtein(p, q)::double / greatest(length(p), length(q)) end, 6)::double as one_minus_ned from x""")
-def peer_ned_ascii(spark, d):
-    """Edit-distance agreement, on the texts reduced to ASCII so that both engines count the same units."""
-    t = F.regexp_replace(F.regexp_replace(F.col("text"), r"\[([^\]]*)\]\([^)]*\)", "$1"), r"[#*_>`~]", "")
-    s = F.trim(F.regexp_replace(F.regexp_replace(t, r"[^\x20-\x7E\n\t]", ""), r"\s+", " "))
-    p = _pages_once(spark, d).select("model", "doc", "page", s.alias("s"))
-    x = p.alias("a").join(p.alias("b"), (F.col("a.doc") == F.col("b.doc")) & (F.col("a.page") == F.col("b.page")) & (F.col("a.model") < F.col("b.model")))
-    return x.select("a.model", F.col("b.model").alias("peer"), "a.doc", "a.page", F.round(_similarity("a.s", "b.s"), 6).alias("one_minus_ned"))
-
-
 @query()
-def peer_agreement_full(spark, d):
+def peer_agreement(spark, d):
     """Both agreements of all pairs of runs, on the whole texts in any script."""
     return agreement.peer_agreement(_pages_once(spark, d)).select("model", "peer", "doc", "page", F.round("bow_f1", 6).alias("bow_f1"), F.round("one_minus_ned", 6).alias("one_minus_ned"))
 
 
-@query(f"""with {_BAG}, v as (select * from u), lay as (select * from p where model = 'legacy-ocr'), tx as (select text_id, length(regexp_replace(text, '[^\\p{{L}}\\p{{N}}]', '', 'g')) as an from {PAGES}),
-x as (select a.text_id as a, b.text_id as b, a.model, a.doc, a.page, len(a.w) as na, len(b.w) as nb from p a join lay b on a.doc = b.doc and a.page = b.page join tx on tx.text_id = b.text_id where a.model <> 'legacy-ocr' and tx.an >= 25){_F1}
-select model, doc, page, round(case when na = 0 and nb = 0 then 1.0 when na = 0 or nb = 0 then 0.0 else 2.0::double * coalesce(s, 0) / (na + nb) end, 6)::double as bow_f1 from x left join sh using (a, b)""")
+@query(f"with {_LAYER} select model, doc, page, round(bow_f1, 6)::double as bow_f1 from tlp")
 def textlayer_bow_f1(spark, d):
     """Agreement with a text layer; one run's texts stand for it."""
-    p = _pages_once(spark, d)
-    layer = p.where("model = 'legacy-ocr'").select("doc", "page", F.col("text").alias("layer"))
-    mine = p.where("model <> 'legacy-ocr'")
-    metas = mine.select("model", "doc").distinct().withColumn("fallback_pages", F.lit(0))
-    return agreement.textlayer_agreement(mine, metas, layer, ned=False)[0].select("model", "doc", "page", F.round("bow_f1", 6).alias("bow_f1"))
+    return textlayer(spark, d, False).select("model", "doc", "page", F.round("bow_f1", 6).alias("bow_f1"))
+
+
+@query()
+def textlayer_agreement(spark, d):
+    """Both agreements with the text layer, on the whole texts."""
+    return textlayer(spark, d, True).select("model", "doc", "page", F.round("bow_f1", 6).alias("bow_f1"), F.round("one_minus_ned", 6).alias("one_minus_ned"))
 
 
 # --- spelling ------------------------------------------------------------------------------------------------------------
@@ -533,35 +532,30 @@ def page_perplexities(spark, d):
     return p.select("model", "doc", "page", of("raw"), of("corrected"))
 
 
-@query()
+@query(f"""with recursive p as (select model, doc, page, length(text) + 1 as n, row_number() over (partition by model, doc order by page) as i from {PAGES}),
+c as (select model, doc, page, i, n as used, 0 as chunk, 0::bigint as start from p where i = 1
+ union all select p.model, p.doc, p.page, p.i, case when (c.used + p.n) // 3 > 1000 then p.n else c.used + p.n end, case when (c.used + p.n) // 3 > 1000 then c.chunk + 1 else c.chunk end,
+  case when (c.used + p.n) // 3 > 1000 then 0 else c.used end from c join p on p.model = c.model and p.doc = c.doc and p.i = c.i + 1)
+select model, doc, page, chunk, start from c""")
 def token_chunks(spark, d):
     return pp.token_chunks(_pages_once(spark, d), ["model", "doc"], 1000)
 
 
-@query(f"""with w as (select model, doc, page, text, length(text) as n from {PAGES}) select model, doc, page, count(*) as n_tokens, round(sum(-0.1::double * (1 + k % 7)), 6) as sum_logprob
-from (select model, doc, page, unnest(range(0, n)) as k from w) where page = 1 and k > 0 and k % 4 = 0 group by all having count(*) > 0""")
-def attributed_tokens(spark, d):
-    """Token scores put back to pages: synthetic tokens of four characters over the first pages."""
-    p = _pages_once(spark, d).where("page = 1")
-    chunks = pp.token_chunks(p, ["model", "doc"])
-    t = p.select("model", "doc", F.lit(0).alias("chunk"), F.posexplode(F.sequence(F.lit(0), F.length("text") - 1, F.lit(4))).alias("pos", "k"), F.length("text").alias("n")).where("n > 0")
-    size = F.least(F.lit(4), F.col("n") - F.col("k"))
-    t = t.select("model", "doc", "chunk", "pos", F.when(F.col("k") > 0, F.expr("repeat('x', int(least(4, n - k)))")).alias("decoded"), F.when(F.col("k") > 0, F.lit(-0.1) * (1 + F.col("k") % 7)).alias("logprob"))
-    a = pp.attribute_tokens(t, chunks, p, ["model", "doc"])
-    return a.where("n_tokens > 0").select("model", "doc", "page", "n_tokens", F.round("sum_logprob", 6).alias("sum_logprob"))
+def made_up_tokens(chunks: DataFrame, length, keys: list[str]) -> DataFrame:
+    """Tokens of four characters over each chunk (``length``), the first without a score, as a scorer gives them."""
+    t = chunks.withColumn("n", length).where("n > 0").select(*keys, "chunk", "n", F.posexplode(F.sequence(F.lit(0).cast("bigint"), F.col("n") - 1, F.lit(4).cast("bigint"))).alias("pos", "k"))
+    return t.select(*keys, "chunk", "pos", F.when(F.col("k") > 0, F.expr("repeat('x', int(least(4, n - k)))")).alias("decoded"), F.when(F.col("k") > 0, F.lit(-0.1) * (1 + F.col("k") % 7)).alias("logprob"))
 
 
 @query()
-def attributed_tokens_full(spark, d):
-    """The same over all pages, in the chunks of ``token_chunks``: a token of four characters may reach into the next page, and each chunk has a
-    first token without a score."""
+def attributed_tokens(spark, d):
+    """Token scores put back to all pages, in the chunks of ``token_chunks``: a token of four characters may reach into the next page, and each
+    chunk has a first token without a score."""
     keys = ["model", "doc"]
     p = _pages_once(spark, d)
     chunks = materialise(pp.token_chunks(p, keys, 1000), "chunks")
-    lengths = chunks.join(p, [*keys, "page"]).groupBy(*keys, "chunk").agg((F.sum(F.length("text").cast("bigint") + 1) - 1).alias("n")).where("n > 0")
-    t = lengths.select("*", F.posexplode(F.sequence(F.lit(0).cast("bigint"), F.col("n") - 1, F.lit(4).cast("bigint"))).alias("pos", "k"))
-    t = t.select(*keys, "chunk", "pos", F.when(F.col("k") > 0, F.expr("repeat('x', int(least(4, n - k)))")).alias("decoded"), F.when(F.col("k") > 0, F.lit(-0.1) * (1 + F.col("k") % 7)).alias("logprob"))
-    return pp.attribute_tokens(t, chunks, p, keys).select(*keys, "page", "n_tokens", F.round("sum_logprob", 6).alias("sum_logprob"))
+    lengths = chunks.join(p.select(*keys, "page", F.length("text").cast("bigint").alias("l")), [*keys, "page"]).groupBy(*keys, "chunk").agg((F.sum(F.col("l") + 1) - 1).alias("l"))
+    return pp.attribute_tokens(made_up_tokens(lengths, F.col("l"), keys), chunks, p, keys).select(*keys, "page", "n_tokens", F.round("sum_logprob", 6).alias("sum_logprob"))
 
 
 # --- telemetry --------------------------------------------------------------------------------------------------------------------
@@ -602,19 +596,27 @@ def worker_states(spark, d):
 
 # --- layout -----------------------------------------------------------------------------------------------------------------------
 
-def _boxes(spark, d, pages: int = 4) -> DataFrame:
+#: Boxes of a made-up page.
+PER_PAGE = 200
+
+
+def _boxes(spark, d) -> DataFrame:
     p = table(spark, d, "part")
     x, y = (F.col("p_partkey") * 37 % 900).cast("double"), (F.col("p_partkey") * 91 % 900).cast("double")
-    return p.select((F.col("p_partkey") % pages).alias("page"), F.col("p_partkey").alias("id"), F.concat(F.lit("i"), F.col("p_partkey").cast("string")).alias("name"), x.alias("x0"), y.alias("y0"), (x + F.col("p_size")).alias("x1"), (y + F.col("p_size")).alias("y1"))
+    return p.select(F.floor(F.col("p_partkey") / PER_PAGE).alias("page"), F.col("p_partkey").alias("id"), F.concat(F.lit("i"), F.col("p_partkey").cast("string")).alias("name"), x.alias("x0"), y.alias("y0"), (x + F.col("p_size")).alias("x1"), (y + F.col("p_size")).alias("y1"))
 
 
-@query("""with b as (select p_partkey % 4 as page, p_partkey as id, (p_partkey * 37 % 900)::double as x0, (p_partkey * 91 % 900)::double as y0, p_size as z from part)
+@query("""with b as (select p_partkey // 200 as page, p_partkey as id, (p_partkey * 37 % 900)::double as x0, (p_partkey * 91 % 900)::double as y0, p_size as z from part)
 select l.page, l.id as a, r.id as b from b l join b r on l.page = r.page and l.id < r.id and greatest(0, greatest(l.x0, r.x0) - least(l.x0 + l.z, r.x0 + r.z)) <= 0.5 and greatest(0, greatest(l.y0, r.y0) - least(l.y0 + l.z, r.y0 + r.z)) <= 0.5""")
 def overlapping_boxes(spark, d):
     return layout.overlapping(_boxes(spark, d), ["page"])
 
 
-@query()
+@query("""with recursive b as (select p_partkey // 200 as page, p_partkey as id, (p_partkey * 37 % 900)::double as x0, (p_partkey * 91 % 900)::double as y0, p_size::double as z from part),
+e as (select l.page, l.id as a, r.id as b from b l join b r on l.page = r.page where greatest(l.x0, r.x0) - least(l.x0 + l.z, r.x0 + r.z) <= 0.5 and greatest(l.y0, r.y0) - least(l.y0 + l.z, r.y0 + r.z) <= 0.5),
+r as (select page, a, b from e union select r.page, r.a, e.b from r join e on r.page = e.page and r.b = e.a),
+g as (select page, b as id, min(a) as g from r group by 1, 2)
+select b.page, string_agg('i' || id::varchar, '+' order by id) as name, min(x0) as x0, min(y0) as y0, max(x0 + z) as x1, max(y0 + z) as y1 from g join b using (page, id) group by b.page, g.g""")
 def merged_boxes(spark, d):
     return layout.merged_boxes(_boxes(spark, d), ["page"])
 
@@ -622,10 +624,10 @@ def merged_boxes(spark, d):
 @query()
 def page_reports(spark, d):
     """Page reports of boxes and of the documents' texts."""
-    b = _boxes(spark, d, 400).groupBy("page").agg(F.array_sort(F.collect_list(F.struct("name", "x0", "y0", "x1", "y1"))).alias("images"))
+    b = _boxes(spark, d).groupBy("page").agg(F.array_sort(F.collect_list(F.struct("name", "x0", "y0", "x1", "y1"))).alias("images"))
     t = spread(table(spark, d, "documents", "doc_id", "text"))
     lines = F.transform(F.split("text", "\n"), lambda x, i: F.struct(x.alias("text"), F.lit(10.0).alias("x"), (i * 12).cast("double").alias("y")))
-    r = t.select("doc_id", F.lit(600.0).alias("width"), F.lit(800.0).alias("height"), lines.alias("texts"), (F.col("doc_id") % 400).alias("page")).join(b, "page", "left")
+    r = t.select("doc_id", F.lit(600.0).alias("width"), F.lit(800.0).alias("height"), lines.alias("texts"), F.floor(F.col("doc_id") / 5).alias("page")).join(b, "page", "left")
     return layout.page_reports(r, 2000).select("doc_id", "report")
 
 

@@ -18,9 +18,11 @@ def shared_dir(spark: SparkSession) -> str:
 
 
 def materialise(df: DataFrame, name: str) -> DataFrame:
-    """Write ``df`` to the shared folder and read it back: cuts lineage, survives lost executors."""
+    """Write ``df`` to the shared folder and read it back: cuts lineage, survives lost executors. It goes when the session's JVM ends."""
     path = f"{shared_dir(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
+    at = df.sparkSession._jvm.org.apache.hadoop.fs.Path(path)
+    at.getFileSystem(df.sparkSession._jsc.hadoopConfiguration()).deleteOnExit(at)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import glob
-import io
 import os
 import tarfile
 import warnings
@@ -23,33 +21,78 @@ def is_tarball(path: str) -> bool:
     return path.lower().endswith((".tar.gz", ".tgz"))
 
 
-def sniff_file(path: str) -> str | None:
-    with open(path, "rb") as f:
-        head = f.read(8)
+class Files:
+    """Listing and reading through the file systems that Spark knows, by the path's scheme: local, HDFS, object stores."""
+
+    def __init__(self, spark: SparkSession):
+        self.jvm, self.conf = spark._jvm, spark._jsc.hadoopConfiguration()
+
+    def _at(self, path: str):
+        p = self.jvm.org.apache.hadoop.fs.Path(path if "://" in path else f"file://{os.path.abspath(path)}")
+        return p, p.getFileSystem(self.conf)
+
+    @staticmethod
+    def _name(path: str, found: str) -> str:
+        """As the caller names files: without a scheme where none was given."""
+        return found if "://" in path else found.removeprefix("file:")
+
+    def find(self, pattern: str) -> list[str]:
+        """Paths that a path or glob names, in order."""
+        p, fs = self._at(pattern)
+        return sorted(self._name(pattern, str(s.getPath())) for s in fs.globStatus(p) or [])
+
+    def exists(self, path: str) -> bool:
+        p, fs = self._at(path)
+        return fs.exists(p)
+
+    def is_file(self, path: str) -> bool:
+        p, fs = self._at(path)
+        return fs.exists(p) and fs.getFileStatus(p).isFile()
+
+    def head(self, path: str, n: int) -> bytes:
+        p, fs = self._at(path)
+        stream = fs.open(p)
+        try:
+            out = [stream.read() for _ in range(n)]
+        finally:
+            stream.close()
+        return bytes(x for x in out if x >= 0)
+
+    def lines(self, path: str) -> list[str]:
+        p, fs = self._at(path)
+        stream = fs.open(p)
+        try:
+            return self.jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8").splitlines()
+        finally:
+            stream.close()
+
+
+def sniff_head(head: bytes) -> str | None:
+    """'pdf', 'png' or 'jpeg' by a file's first bytes."""
     return "pdf" if head[:4] == b"%PDF" else "png" if head == b"\x89PNG\r\n\x1a\n" else "jpeg" if head[:2] == b"\xff\xd8" else None
 
 
-def expand_inputs(arguments: list[str]) -> tuple[set[str], set[str]]:
-    """(papers and pictures, tarballs) that arguments name: paths, globs, or ``.txt`` lists of paths, whose lines are taken as they are.
+def expand_inputs(spark: SparkSession, arguments: list[str]) -> tuple[set[str], set[str]]:
+    """(papers and pictures, tarballs) that arguments name: paths or globs of any file system, or ``.txt`` lists of paths, whose lines are taken as they
+    are.
 
     A path that is not there or of another kind is an error; a paper whose first bytes are of no known kind is left out with a warning.
     """
-    papers, tars = set(), set()
+    papers, tars, files = set(), set(), Files(spark)
     for argument in arguments:
-        for path in glob.glob(argument) if any(c in argument for c in "*?[") else [argument]:
+        for path in files.find(argument) if any(c in argument for c in "*?[") else [argument]:
             low = path.lower()
-            if not os.path.exists(path):
+            if not files.exists(path):
                 raise ValueError(f"input not found: {path}")
             if is_tarball(path):
                 tars.add(path)
             elif low.endswith(PAPERS):
-                if sniff_file(path):
+                if sniff_head(files.head(path, 8)):
                     papers.add(path)
                 else:
                     warnings.warn(f"not a PDF or picture, left out: {path}", stacklevel=2)
             elif low.endswith(".txt"):
-                with open(path, encoding="utf-8") as f:
-                    names = [x.strip() for x in f if x.strip()]
+                names = [x.strip() for x in files.lines(path) if x.strip()]
                 tars |= {x for x in names if is_tarball(x)}
                 papers |= {x for x in names if not is_tarball(x)}
             else:
@@ -58,18 +101,29 @@ def expand_inputs(arguments: list[str]) -> tuple[set[str], set[str]]:
 
 
 def tarball_members(spark: SparkSession, paths: list[str]) -> DataFrame:
-    """``source, name, content``: the PDF members of tarballs, read on the executors; ``source`` is ``tar::member``."""
-    files = spark.read.format("binaryFile").load(paths).select("path", "content")
+    """``source, name, content``: the PDF members of tarballs, read on the executors; ``source`` is ``tar::member``.
+
+    A task streams its tarball from the path, a member at a time, so that an archive may have any size: a local or mounted path by itself, another
+    file system's through pyarrow.
+    """
+    listed = spark.createDataFrame([(p,) for p in sorted(paths)], "path string").repartition(max(1, len(paths)), "path")
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
-            for path, content in zip(pdf["path"], pdf["content"]):
-                with tarfile.open(fileobj=io.BytesIO(content), mode="r:gz") as tar:
+            for path in pdf["path"]:
+                if "://" in path and not path.startswith("file://"):
+                    from pyarrow import fs
+
+                    system, inner = fs.FileSystem.from_uri(path)
+                    stream = system.open_input_stream(inner, compression=None)
+                else:
+                    stream = open(path.removeprefix("file://"), "rb")
+                with stream, tarfile.open(fileobj=stream, mode="r|gz") as tar:
                     for m in tar:
                         if m.isfile() and m.name.lower().endswith(".pdf"):
-                            yield pd.DataFrame([[f"{path.removeprefix('file:')}::{m.name}", os.path.basename(m.name), tar.extractfile(m).read()]], columns=["source", "name", "content"])
+                            yield pd.DataFrame([[f"{path.removeprefix('file://')}::{m.name}", os.path.basename(m.name), tar.extractfile(m).read()]], columns=["source", "name", "content"])
 
-    return files.mapInPandas(run, "source string, name string, content binary")
+    return listed.mapInPandas(run, "source string, name string, content binary")
 
 
 def parse_run_specs(specs: list[str]) -> list[tuple[str, str]]:
@@ -86,13 +140,14 @@ def parse_run_specs(specs: list[str]) -> list[tuple[str, str]]:
     return out
 
 
-def run_files(path: str) -> list[str]:
-    """A run's JSON lines: the file itself, a workspace's ``results``, or a folder's own, by name."""
-    if os.path.isfile(path):
+def run_files(spark: SparkSession, path: str) -> list[str]:
+    """A run's JSON lines: the file itself, a workspace's ``results``, or a folder's own, by name; on any file system."""
+    files = Files(spark)
+    if files.is_file(path):
         return [path]
-    if not os.path.isdir(path):
+    if not files.exists(path):
         raise FileNotFoundError(path)
-    return sorted(glob.glob(os.path.join(path, "results", "*.jsonl"))) or sorted(glob.glob(os.path.join(path, "*.jsonl")))
+    return files.find(f"{path.rstrip('/')}/results/*.jsonl") or files.find(f"{path.rstrip('/')}/*.jsonl")
 
 
 def read_documents(spark: SparkSession, paths: list[str], strict: bool = True) -> DataFrame:
@@ -111,7 +166,7 @@ def load_runs(spark: SparkSession, specs: list[str]) -> DataFrame:
 
     out = None
     for label, path in parse_run_specs(specs):
-        d = read_documents(spark, run_files(path)).withColumn("model", F.lit(label))
+        d = read_documents(spark, run_files(spark, path)).withColumn("model", F.lit(label))
         out = d if out is None else out.unionByName(d)
     return require_unique(out)
 

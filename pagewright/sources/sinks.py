@@ -19,17 +19,21 @@ def write_documents(documents: DataFrame, path: str, group: str | None = None, m
 
 
 def write_markdown(documents: DataFrame, workspace: str) -> int:
-    """Each document's text in its Markdown file under ``workspace``, a folder that all executors can write to; the number of files."""
+    """Each document's text in its Markdown file under ``workspace``; the number of files. A path without a scheme is a folder that all executors
+    share; another file system is written through pyarrow. A file appears whole."""
     d = documents.select(markdown_path(F.col("metadata.Source-File")).alias("path"), "text").where("path is not null and text is not null")
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        from pyarrow import fs
+
+        system, root = fs.FileSystem.from_uri(workspace if "://" in workspace else f"file://{os.path.abspath(workspace)}")
         for pdf in batches:
             for path, text in zip(pdf["path"], pdf["text"]):
-                to = os.path.join(workspace, path)
-                os.makedirs(os.path.dirname(to), exist_ok=True)
-                with open(f"{to}.part", "w", encoding="utf-8") as f:
-                    f.write(text)
-                os.replace(f"{to}.part", to)
+                to = f"{root.rstrip('/')}/{path}"
+                system.create_dir(os.path.dirname(to), recursive=True)
+                with system.open_output_stream(f"{to}.part") as f:
+                    f.write(text.encode())
+                system.move(f"{to}.part", to)
             yield pd.DataFrame({"n": [len(pdf)]})
 
     return d.mapInPandas(run, "n bigint").agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
-from ..operators.telemetry import CANDIDATES, RATES, WINDOW, CounterState, snapshots
+from ..operators.telemetry import CANDIDATES, RATES, WINDOW, frame_rates, snapshots
 
 
 def scrape_stream(spark, path: str) -> DataFrame:
@@ -24,29 +24,42 @@ def scrape_stream(spark, path: str) -> DataFrame:
 
 
 def rate_stream(snaps: DataFrame, window: float = WINDOW, key: str = "server") -> DataFrame:
-    """Rates after each snapshot of a stream of ``server, ts`` (seconds) and metrics; the window and the greatest values are the state."""
+    """Rates after each snapshot of a stream of ``server, ts`` (seconds) and metrics. The state is the samples that later ones need;
+    samples of one time come in one micro-batch, and none comes after a later one was handled."""
     names = [x.split()[0] for x in RATES.split(", ")]
-    have = [f for f in CANDIDATES if f in snaps.columns]
+    have = ["ts", *[f for f in CANDIDATES if f in snaps.columns]]
 
     def fold(k: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        s = CounterState(window)
-        if state.exists:
-            d = json.loads(state.get[0])
-            s = CounterState(window, [tuple(x) for x in d["samples"]], tuple(d["first"]) if d["first"] else None, d["high"])
-        out = []
-        for row in pd.concat(list(batches)).sort_values("ts", kind="stable").to_dict("records"):
-            s.add(float(row["ts"]), {f: None if row.get(f) is None or row[f] != row[f] else float(row[f]) for f in have})
-            r = s.rates()
-            out.append([k[0], float(row["ts"]), *[r[n] for n in names]])
-        state.update((json.dumps({"samples": list(s.samples), "first": s.first, "high": s.high}),))
-        yield pd.DataFrame(out, columns=[key, "ts", *names])
+        kept = pd.DataFrame(json.loads(state.get[0]), columns=have, dtype=float) if state.exists else pd.DataFrame(columns=have, dtype=float)
+        new = pd.concat([b[have].astype(float) for b in batches]).groupby("ts", as_index=False).max()
+        frame = pd.concat([kept, new], ignore_index=True)
+        rates, need = frame_rates(frame, window)
+        state.update((frame[need].to_json(orient="records"),))
+        out = rates.iloc[len(kept) :]
+        out.insert(0, key, k[0])
+        yield out[[key, "ts", *names]]
 
     return snaps.groupBy(key).applyInPandasWithState(fold, f"{key} string, ts double, {RATES}", "state string", "append", GroupStateTimeout.NoTimeout)
 
 
-def windowed_counters(samples: DataFrame, late: str = "10 minutes", width: str = "5 minutes") -> DataFrame:
-    """``window, key, total`` of ``ts, key, value``: tumbling sums, late rows up to the watermark."""
-    return samples.withWatermark("ts", late).groupBy(F.window("ts", width), "key").agg(F.sum("value").alias("total"))
+def windowed_counters(samples: DataFrame, late: str = "10 minutes", width: str = "5 minutes", slide: str | None = "1 minute") -> DataFrame:
+    """``window, key, total`` of ``ts, key, value``: sums over windows that slide (or do not, without ``slide``), late rows up to the watermark."""
+    at = F.window("ts", width, slide) if slide else F.window("ts", width)
+    return samples.withWatermark("ts", late).groupBy(at, "key").agg(F.sum("value").alias("total"))
+
+
+def outages(scrapes: DataFrame, key: str = "server") -> DataFrame:
+    """``key, ts`` of the first unavailable scrape of each outage of a stream of ``key, ts`` (seconds), ``available``: one warning an outage."""
+
+    def fold(k: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+        new = pd.concat(list(batches)).sort_values("ts", kind="stable")
+        up = new["available"].fillna(False).astype(bool).to_numpy()
+        before = [state.get[0] if state.exists else True, *up[:-1]]
+        state.update((bool(up[-1]),))
+        out = new[[b and not u for b, u in zip(before, up)]]
+        yield pd.DataFrame({key: [k[0]] * len(out), "ts": out["ts"].astype(float)})
+
+    return scrapes.select(key, "ts", "available").groupBy(key).applyInPandasWithState(fold, f"{key} string, ts double", "up boolean", "append", GroupStateTimeout.NoTimeout)
 
 
 def drain(stream: DataFrame, write, checkpoint: str) -> None:

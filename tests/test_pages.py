@@ -1,7 +1,6 @@
 import hashlib
 
 import pytest
-from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
 from pagewright.operators import pages as pg
@@ -45,8 +44,8 @@ def test_attempts(spark):
 
 def test_duplicates_and_checksums(spark):
     d = spark.createDataFrame([("m", "a")] * 2, "model string, f string").select("model", F.lit("t").alias("text"), F.struct(F.col("f").alias("Source-File")).alias("metadata"))
-    with pytest.raises(PySparkException, match="duplicate"):
-        pg.require_unique(d).collect()
+    with pytest.raises(ValueError, match="duplicate"):
+        pg.require_unique(d)
     p = spark.createDataFrame([("m", "a", 2, "b"), ("m", "a", 1, "é")], "model string, doc string, page int, text string")
     assert pg.document_checksums(p).first().text_sha1 == hashlib.sha1("1\0é\0002\0b\0".encode()).hexdigest()
     assert pg.assemble(spark.createDataFrame([], FIELDS), ["doc"], "v").count() == 0

@@ -1,3 +1,5 @@
+import json
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -38,6 +40,23 @@ def test_layout(spark):
     assert p.layout_to_markdown("<div>" * 5000 + "deep") == "deep"
 
 
+def test_layout_keeps_links_quotes_code_and_spans():
+    to = p.layout_to_markdown
+    assert to('<p>See <a href="u/v" title="t">the map</a> and <a href="http://x">http://x</a> and <a>none</a>.</p>') == 'See [the map](u/v "t") and <http://x> and none.'
+    assert to("<blockquote><p>one</p><p>two</p></blockquote><p>after</p>") == "> one\n>\n> two\n\nafter"
+    assert to("<p>x</p><pre>a  b\n  c</pre>") == "x\n\n```\na  b\n  c\n```" and to("<pre><code>y = 1\n</code></pre>") == "```\ny = 1\n```"
+    assert to('<table><tr><th colspan="2">A</th><th>B</th></tr><tr><td>1</td><td>2</td><td>3</td></tr></table>') == "| A |  | B |\n| --- | --- | --- |\n| 1 | 2 | 3 |"
+
+
+def test_requests(spark):
+    assert p.render_size("surya2") == 1540 and p.render_size("surya2", 900) == 900
+    c = p.page_request(F.lit("QUJD"), F.lit('Read "this"\n'), F.lit(0.1), "qianfan-ocr", "served")
+    r = json.loads(spark.range(1).select(c.alias("r")).first().r)
+    assert r["messages"] == [{"role": "user", "content": [{"type": "text", "text": 'Read "this"\n'}, {"type": "image_url", "image_url": {"url": "data:image/png;base64,QUJD"}}]}]
+    assert (r["model"], r["temperature"], r["max_tokens"], r["top_p"]) == ("served", 0.1, 12000, 1.0)
+    assert json.loads(spark.range(1).select(p.page_request(F.lit("x"), F.lit("y"), F.lit(0.2), "markdown", "m").alias("r")).first().r)["max_tokens"] == 8000
+
+
 def test_registry(spark):
     assert p.adapters(spark).count() == 10
     with pytest.raises(ValueError, match="choose from"):

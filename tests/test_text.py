@@ -16,10 +16,10 @@ def values(spark, texts, column, schema="t string"):
 
 
 def test_garbage_tokens(spark):
-    tokens = ["brwn", "PDF", "cat", "aaaa", "----", "a1b", "été", "x" * 41, "(" + "ab" * 20 + ")", "aBcDe", "fooBar", "12", "b2", "rhythm", "", "ÀÉ", "bcd.", "BcDf"]
+    tokens = ["brwn", "PDF", "cat", "aaaa", "----", "a1b", "été", "x" * 41, "(" + "ab" * 20 + ")", "aBcDe", "fooBar", "12", "b2", "rhythm", "", "ÀÉ", "bcd.", "BcDf", "m²", "x²y", "①a", "½a"]
     got = values(spark, tokens, tx.is_garbage(F.col("t")))
     assert got == [token_is_garbage(t) for t in tokens]
-    assert got == [True, False, False, True, True, True, True, True, False, True, False, False, True, False, False, False, True, True]
+    assert got == [True, False, False, True, True, True, True, True, False, True, False, False, True, False, False, False, True, True, True, True, True, False]
 
 
 def test_garbage_fraction_nulls_and_blanks(spark):

@@ -32,7 +32,7 @@ def test_tokens_are_put_back_to_all_pages(spark, tmp_path):
             for k in range(4, len(owner), 4):
                 want[*key, owner[k]][0] += 1
                 want[*key, owner[k]][1] -= 0.1 * (1 + k % 7)
-    got = {(r.model, r.doc, r.page): (r.n_tokens, r.sum_logprob) for r in q.QUERIES["attributed_tokens_full"](spark, path).collect()}
+    got = {(r.model, r.doc, r.page): (r.n_tokens, r.sum_logprob) for r in q.QUERIES["attributed_tokens"](spark, path).collect()}
     assert n_chunks > 3 and {k: (n, round(s, 5)) for k, (n, s) in want.items()} == {k: (n, round(s, 5)) for k, (n, s) in got.items()}
 
 
@@ -47,7 +47,7 @@ def test_peers_are_compared_on_whole_texts(spark, tmp_path):
 
     texts = {"a": "Школьный совет округа", "b": "Школьная смета округа", "c": "Muller résumé Łódź", "d": "Müller resume Łodz", "e": "", "f": "12"}
     path = page_table(spark, tmp_path, [(i, m, "d", 1, t) for i, (m, t) in enumerate(texts.items())] * 2 + [(90, "a", "d", 2, "x"), (91, "b", "d", 2, None)])
-    got = {(r.model, r.peer): r.one_minus_ned for r in q.QUERIES["peer_agreement_full"](spark, path).collect()}
+    got = {(r.model, r.peer): r.one_minus_ned for r in q.QUERIES["peer_agreement"](spark, path).collect()}
     want = {(m, n): round(1 - distance(a, b) / max(len(a), len(b)), 6) for m, a in texts.items() for n, b in texts.items() if m != n}
     assert got == want and 0 < got["a", "b"] < 1 and got["c", "d"] < 1
 
@@ -57,5 +57,5 @@ def test_top_rejects_know_loops(spark, tmp_path):
     texts = ["a phrase again " * 60] * 3 + ["x" * 60 + " end of it"] * 2 + ["", "ends here...", good]
     rows = [(i, "m", t, False, i) for i, t in enumerate(texts)] + [(50, "m", "a phrase again " * 60, True, 1)]
     spark.createDataFrame(rows, "response_id bigint, model string, natural_text string, is_valid boolean, ingested_at bigint").coalesce(1).write.parquet(str(tmp_path / "page_responses.parquet"))
-    got = [(r.kind, r.n) for r in q.QUERIES["top_rejects_full"](spark, str(tmp_path)).collect()]
+    got = [(r.kind, r.n) for r in q.QUERIES["top_rejects"](spark, str(tmp_path)).collect()]
     assert got == [("repeated_ngram", 3), ("repeated_character", 2), ("empty_output", 1), ("+more", 2)]
