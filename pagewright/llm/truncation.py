@@ -45,6 +45,8 @@ _LISTY = re.compile(r"\s*(?:[•*+|!<\\-]|\(?\w{1,3}[.)]\s)|.*(?:\t|   |\|| = )"
 _TAIL = re.compile(
     r"(?:</?[A-Za-z][^<>\n]*>|<ref>[^<>]*</ref>|<!--[^<>]*-->|\{\{[^{}]*\}\}|\[\^[^\]]*\]|\\(?:label|ref|footnote|cite)\{[^{}]*\}|\\end\{\w+\}|!\[[^\]]*\]\([^()]*\)|\$[^$\n]*\\[^$\n]*\$|\\\([^\n]*?\\\))\s*\Z"
 )
+#: Ends of lists and tables: what they close is whole.
+_WHOLE = re.compile(r"</(?:table|ul|ol)>|\\end\{(?:tabular|itemize|enumerate)\}")
 _MARKS = ("…", "...", "]")
 _MARK = re.compile(r"\[\s*(?:…|\.\.\.)\s*\]\Z|…\Z|\.\.\.\Z")
 _CLOSERS = frozenset(">}])$")
@@ -72,12 +74,13 @@ def _without_feet(body: str) -> str:
     return body
 
 
-def _without_signs(body: str) -> tuple[str, bool]:
-    """(a text without closing markup and cut marks at its end, whether there was a cut mark)."""
-    mark = False
+def _without_signs(body: str) -> tuple[str, bool, bool]:
+    """(a text without closing markup and cut marks at its end, whether there was a cut mark, whether it ends with a whole list or table)."""
+    mark = whole = False
     while True:
         last = body[-1:]
         if last in _CLOSERS and (m := _TAIL.search(body)) and m.group(0).strip():
+            whole = whole or not mark and bool(_WHOLE.match(m.group(0)))
             body = body[: m.start()].rstrip()
         elif body.endswith(_MARKS) and (m := _MARK.search(body)):
             body, mark = body[: m.start()].rstrip(), True
@@ -86,11 +89,11 @@ def _without_signs(body: str) -> tuple[str, bool]:
         elif last == "}" and (less := body.rstrip("}")):
             body = less
         else:
-            return body, mark
+            return body, mark, whole
 
 
-def endings(text: str) -> list[tuple[str | None, str, bool]]:
-    """(last line, the text up to its own last character, whether a cut mark followed): first of the whole text, then, as long as the last line
+def endings(text: str) -> list[tuple[str | None, str, bool, bool]]:
+    """(last line, the text up to its own last character, whether a cut mark followed, whether a list or table was closed): first of the whole text, then, as long as the last line
     may be a running title without a number, of the text without it. The last of the list has no such line."""
     body, out = text.rstrip(), []
     while True:
@@ -196,10 +199,10 @@ class _Numbers(dict):
 
 FEATURES = (
     "response_id bigint, model string, doc bigint, page int, lang string, length int, n_words int, head_low boolean, "
-    "foot array<string>, context array<string>, mark array<boolean>, closed array<boolean>, tail array<bigint>, last array<int>, inner array<string>, stops array<int>"
+    "foot array<string>, context array<string>, mark array<boolean>, whole array<boolean>, closed array<boolean>, tail array<bigint>, last array<int>, inner array<string>, stops array<int>"
 )
 #: The columns of the endings of a text: one entry for each of ``endings``.
-_ENDINGS = ("foot", "context", "mark", "closed", "tail", "last")
+_ENDINGS = ("foot", "context", "mark", "whole", "closed", "tail", "last")
 COUNTS = "a string, b string, how string, n bigint"
 
 
@@ -270,9 +273,9 @@ def read_texts(responses: DataFrame, common: DataFrame) -> DataFrame:
                 if new:
                     ends.pop()
                 sizes.append(len(flat) - start)
-                for foot, body, mark in endings(text):
+                for foot, body, mark, whole in endings(text):
                     last_three = " ".join(_WORDS.findall(" ".join(body.rsplit(None, 3)[-3:]).lower())[-3:])
-                    for k, v in zip(_ENDINGS, (foot, context(body)[-ORDERS[-1] :], mark, closed(body), zlib.crc32(last_three.encode()), last_key(body))):
+                    for k, v in zip(_ENDINGS, (foot, context(body)[-ORDERS[-1] :], mark, whole, closed(body), zlib.crc32(last_three.encode()), last_key(body))):
                         out[k].append(v)
                 out["stops"] += stops(words)
                 for k in lists:
@@ -464,7 +467,7 @@ def measure(passed: DataFrame, ends: Ends) -> DataFrame:
     question is), and what the exact checks compare."""
     shared = passed.sparkSession.sparkContext.broadcast(ends)
     same = ["response_id", "model", "doc", "page", "lang", "length", "n_words", "head_low", "stops"]
-    schema = "response_id bigint, model string, doc bigint, page int, lang string, length int, n_words int, head_low boolean, stops array<int>, odds double, word_odds double, inner array<float>, mark boolean, closed boolean, tail bigint, last int"
+    schema = "response_id bigint, model string, doc bigint, page int, lang string, length int, n_words int, head_low boolean, stops array<int>, odds double, word_odds double, inner array<float>, mark boolean, whole boolean, closed boolean, tail bigint, last int"
     target = to_arrow_schema(StructType.fromDDL(schema))
 
     def run(batches):
@@ -478,7 +481,7 @@ def measure(passed: DataFrame, ends: Ends) -> DataFrame:
             yield pa.RecordBatch.from_arrays([
                 *[cols[k] for k in same], pa.array(got[:size, 0]), pa.array(got[:size, 1]),
                 pa.ListArray.from_arrays(pc.cast(pc.subtract(inner.offsets, inner.offsets[0]), pa.int32()), pa.array(got[size:, 0].astype(np.float32))),
-                *[last[k] for k in ("mark", "closed", "tail", "last")]], schema=target)
+                *[last[k] for k in ("mark", "whole", "closed", "tail", "last")]], schema=target)
 
     return passed.where("how is null").select(*same, "inner", *_ENDINGS).mapInArrow(run, schema)
 
@@ -515,7 +518,8 @@ def truncated(rows: DataFrame) -> DataFrame:
     x = x.withColumn("others", F.when(F.col("last").isNotNull(), F.size(F.array_distinct(F.transform(beyond, lambda o: o["model"])))).otherwise(0)).drop("beside", "stops", "inner")
     nexts = rows.select("doc", (F.col("page") - 1).alias("page"), F.col("head_low").cast("int").alias("low")).groupBy(*page).agg((F.avg("low") >= 0.5).alias("goes_on"))
     x = with_group(with_group(x.join(nexts, page, "left"), thresholds(rows), ["lang", "model"]), field_limits(rows), ["model", "length"])
-    low = F.col("odds") < F.coalesce("threshold", F.lit(HIGHEST))
+    # Unlikely as an end: after a full stop only where another run goes on; a whole list or table is an end.
+    low = (F.col("odds") < F.coalesce("threshold", F.lit(HIGHEST))) & ~F.col("whole") & (~F.col("closed") | (F.col("others") >= 1))
     inside_word = F.col("word_odds") < -2.0
     passed = (F.col("others") >= 2) & (F.col("others") > F.col("runs"))
     shared_end = F.col("runs") >= 2

@@ -60,6 +60,15 @@ def test_thresholds_see_all_inner_ends(spark):
     assert odds(ends, "Heading")[0] > truncation.HIGHEST and low < truncation.HIGHEST and abs(got - max(low, truncation.LOWEST)) < 1e-4
 
 
+def test_endings():
+    whole = lambda t: [(x[1][-4:], x[2], x[3]) for x in truncation.endings(t)][-1]
+    assert whole("a b\n<table><tr><td>x</td></tr></table>")[2] and whole("a\n<ul><li>oak</li></ul>")[2]
+    assert whole("\\begin{tabular}{l}\noak & 4 \\\\\n\\end{tabular}\n\\end{document}")[2] and not whole("<p>the old qu</p>")[2]
+    assert whole("the old quay [...]") == ("quay", True, False) and whole("it ended.\n\n- 7 -")[0] == "ded."
+    titled = truncation.endings("the old quay was\n\nWater levels Gosk")
+    assert [x[0] for x in titled] == ["Water levels Gosk", None] and titled[1][1].endswith("was")
+
+
 def test_a_full_stop_that_other_runs_pass_is_a_cut(spark):
     stops = lambda t: truncation.stops(t.lower().split())
     start = "The treasurer returned the draft budget without any further comment. "
