@@ -12,48 +12,46 @@ from ..session import materialise
 PLACES = 6
 
 
-def document_means(metric: DataFrame, value: Column, name: str = "mean") -> DataFrame:
-    """``model, doc, <name>``: mean over a run's rows of a document, rounded so that ties do not hang on summation order."""
-    return metric.groupBy("model", "doc").agg(F.round(F.avg(value), PLACES).alias(name)).where(F.col(name).isNotNull())
+#: Label, value, whether higher is better (None: no win rate) of a metric's columns.
+Spec = tuple[str, Column, bool | None]
 
 
-def run_means(means: DataFrame, name: str = "mean") -> DataFrame:
-    """``model, <name>``: every document weighs the same."""
-    return means.groupBy("model").agg(F.round(F.avg(name), PLACES).alias(name))
+def document_means(metric: DataFrame, specs: list[Spec], places: int | None = PLACES) -> DataFrame:
+    """``label, model, doc, mean``: means over a run's rows of a document, of all values in one aggregate. They are rounded, so that ties do not hang on
+    summation order; ``places`` None leaves them exact."""
+    near = lambda c: c if places is None else F.round(c, places)
+    g = metric.groupBy("model", "doc").agg(*[near(F.avg(value)).alias(label) for label, value, _ in specs])
+    each = F.explode(F.array(*[F.struct(F.lit(label).alias("label"), F.col(label).alias("mean")) for label, _, _ in specs])).alias("_m")
+    return g.select("model", "doc", each).select("_m.label", "model", "doc", "_m.mean").where("mean is not null")
 
 
-def common_documents(means: DataFrame) -> DataFrame:
-    """``doc`` of documents that every run of this metric has."""
-    runs = means.agg(F.countDistinct("model").alias("_runs"))
-    per = means.groupBy("doc").agg(F.countDistinct("model").alias("_n"))
-    return per.join(F.broadcast(runs), per["_n"] == runs["_runs"]).select("doc")  # one row
+def compare(metrics: list[tuple[DataFrame, list[Spec]]], places: int | None = PLACES) -> DataFrame:
+    """``model`` and ``<label>[, <label>_win]`` of each spec: means in which every document weighs the same, and the share of the documents that all runs of
+    the metric have in which a run is best, all that tie included; null below two runs or without such documents.
 
-
-def win_rates(means: DataFrame, higher: bool, name: str = "mean") -> DataFrame:
-    """``model, win``: share of common documents a run is best in, all that tie included; null below two runs or without common
-    documents."""
-    runs = means.groupBy("model").agg(F.lit(1).alias("_x"))
-    best = F.max(name) if higher else F.min(name)
-    top = means.groupBy("doc").agg(best.alias("_best"))
-    shared = means.join(common_documents(means), "doc", "left_semi").join(top, "doc")
-    wins = shared.groupBy("model").agg(F.avg((F.col(name) == F.col("_best")).cast("double")).alias("win"))
-    n = F.broadcast(runs.agg(F.count("*").alias("_runs")))  # one row
-    both = runs.join(wins, "model", "left").join(n, F.lit(1) <= n["_runs"])
-    return both.select("model", F.when(F.col("_runs") >= 2, F.round("win", PLACES)).alias("win"))
-
-
-def metric_columns(metric: DataFrame, value: Column, label: str, higher: bool | None) -> DataFrame:
-    """``model, <label>[, <label>_win]``; without ``higher`` there is no win rate.
-
-    The means of documents are written once: what they are made of, perhaps texts, is not gone through again for each comparison.
+    The means of documents are written once for all metrics: what they are made of, perhaps texts, is not gone through again for each comparison.
     """
-    means = document_means(metric, value)
-    if higher is not None:
-        means = materialise(means, "document-means")
-    out = run_means(means).withColumnRenamed("mean", label)
-    if higher is not None:
-        out = out.join(win_rates(means, higher).withColumnRenamed("win", f"{label}_win"), "model", "left")
-    return out
+    means = materialise(reduce(DataFrame.unionByName, [document_means(m, specs, places) for m, specs in metrics]), "document-means")
+    specs = [s for _, ss in metrics for s in ss]
+    near = lambda c: c if places is None else F.round(c, places)
+    per = means.groupBy("label", "model").agg(near(F.avg("mean")).alias("mean"))
+    runs = per.groupBy("label").agg(F.count("*").alias("runs"))  # a row a label
+    docs = means.groupBy("label", "doc").agg(F.count("*").alias("n"), F.max("mean").alias("high"), F.min("mean").alias("low")).join(F.broadcast(runs), "label").where("n = runs")
+    best = F.when(F.col("label").isin([label for label, _, higher in specs if higher]), F.col("high")).otherwise(F.col("low"))
+    wins = means.join(docs, ["label", "doc"]).groupBy("label", "model").agg(near(F.avg((F.col("mean") == best).cast("double"))).alias("win"))
+    rows = per.join(F.broadcast(runs), "label").join(wins, ["label", "model"], "left")
+    of = lambda label, c: F.max(F.when(F.col("label") == label, c))
+    columns = []
+    for label, _, higher in specs:
+        columns.append(of(label, F.col("mean")).alias(label))
+        if higher is not None:
+            columns.append(of(label, F.when(F.col("runs") >= 2, F.col("win"))).alias(f"{label}_win"))
+    return rows.groupBy("model").agg(*columns)
+
+
+def metric_columns(metric: DataFrame, value: Column, label: str, higher: bool | None, places: int | None = PLACES) -> DataFrame:
+    """``compare`` of one value."""
+    return compare([(metric, [(label, value, higher)])], places)
 
 
 #: Label, table, value, whether higher is better (None: no win rate).
@@ -70,18 +68,18 @@ def model_universe(tables: dict[str, DataFrame]) -> DataFrame:
     return reduce(DataFrame.unionByName, [t.select("model") for k, t in tables.items() if k != "pplx"]).where("model is not null").distinct()
 
 
-def leaderboard(tables: dict[str, DataFrame]) -> DataFrame:
+def leaderboard(tables: dict[str, DataFrame], places: int | None = PLACES) -> DataFrame:
     """One row a run. Perplexities are means over pages, all other metrics over documents; absent tables give null columns."""
     out = model_universe(tables)
-    for label, table, value, higher in SPECS:
-        if table in tables:
-            out = out.join(metric_columns(tables[table], F.expr(value), label, higher), "model", "left")
-        else:
-            out = out.withColumn(label, F.lit(None).cast("double"))
-            if higher is not None:
-                out = out.withColumn(f"{label}_win", F.lit(None).cast("double"))
+    there = [(tables[t], [(label, F.expr(value), higher) for label, table, value, higher in SPECS if table == t]) for t in dict.fromkeys(s[1] for s in SPECS) if t in tables]
+    if there:
+        out = out.join(compare(there, places), "model", "left")
+    none = F.lit(None).cast("double")
+    names = [c for label, _, _, higher in SPECS for c in [label, *[f"{label}_win"] * (higher is not None)]]
+    out = out.select("model", *[F.col(c) if c in out.columns else none.alias(c) for c in names])
     if "pplx" in tables:
-        mean = lambda c: F.round(F.avg(F.when(~F.isnan(c), F.col(c))), PLACES)
+        near = lambda c: c if places is None else F.round(c, places)
+        mean = lambda c: near(F.avg(F.when(~F.isnan(c), F.col(c))))
         out = out.join(tables["pplx"].groupBy("model").agg(mean("ppl_raw").alias("ppl_raw"), mean("ppl_corrected").alias("ppl_corr")), "model", "left")
     return out
 

@@ -1,6 +1,8 @@
 import hashlib
+import io
 import random
 import re
+import tarfile
 from datetime import datetime
 
 import pandas as pd
@@ -217,3 +219,17 @@ def test_inputs(spark, tmp_path):
         inputs.read_documents(spark, inputs.run_files(spark, str(tmp_path))).collect()
     (tmp_path / "w.txt").write_text("One two\ntwo")
     assert {r.word for r in inputs.read_words(spark, [str(tmp_path / "w.txt")]).collect()} == {"one", "two"}
+
+
+def test_tarballs_are_streamed(spark, tmp_path):
+    with tarfile.open(tmp_path / "a.tar.gz", "w:gz") as tar:
+        for name, data in (("in/x.pdf", b"%PDF-1 x" * 1000), ("in/y.txt", b"no"), ("z.PDF", b"%PDF-2")):
+            info = tarfile.TarInfo(name)
+            info.size = len(data)
+            tar.addfile(info, io.BytesIO(data))
+    path = str(tmp_path / "a.tar.gz")
+    for given in (path, f"file://{path}"):
+        got = {r.source: (r.name, len(r.content)) for r in inputs.tarball_members(spark, [given]).collect()}
+        assert got == {f"{path}::in/x.pdf": ("x.pdf", 8000), f"{path}::z.PDF": ("z.PDF", 6)}
+    assert inputs.tarball_members(spark, []).count() == 0
+    assert inputs.Files(spark).find(f"file://{tmp_path}/*.gz") == [f"file:{path}"]

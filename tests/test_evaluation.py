@@ -21,6 +21,9 @@ def test_win_rates(spark):
     assert one.x == 0.45 and one.x_win is None
     tie = {r.x_win for r in lb.metric_columns(metric(spark, [("a", "d", 1, .5), ("b", "d", 1, .5)]), F.col("score"), "x", True).collect()}
     assert tie == {1.0}
+    near = metric(spark, [("a", "d", 1, .5), ("b", "d", 1, .5 + 1e-9)])
+    exact = {r.model: r.x_win for r in lb.metric_columns(near, F.col("score"), "x", True, None).collect()}
+    assert exact == {"a": 0.0, "b": 1.0} and {r.x_win for r in lb.metric_columns(near, F.col("score"), "x", True).collect()} == {1.0}
 
 
 def test_leaderboard_text(spark):
