@@ -261,7 +261,9 @@ def tail_loops(spark, d):
     return r.where(quality._tail_loop(tx.strip(F.col("natural_text")))).select("response_id")
 
 
-@query()
+@query(f"""with t as (select doc_id, text, regexp_replace(text, '[{_SP}]+', ' ', 'g') as s from documents), r as (select *, string_split(reverse(s), '') as r from t)
+select doc_id, case when text is not null then array_to_string(list_transform(range(1, 11), lambda n: case when n > length(s) then 0
+ else 1 + coalesce(nullif(list_position(list_transform(range(1, length(s) - n + 1), lambda i: r[i] = r[i+n]), false), 0) - 1, length(s) - n) // n end), ',') end as repeats from r""")
 def trailing_repeats(spark, d):
     @F.pandas_udf("array<int>")
     def repeats(t: pd.Series) -> pd.Series:
@@ -571,13 +573,26 @@ def counter_totals(spark, d):
     return tl.totals_and_rates(table(spark, d, "events").select(F.col("event_type").alias("key"), "value"), 300.0)
 
 
-@query()
+@query("""with recursive e as (select event_type as server, epoch_us(ts::timestamp) / 1e6 as ts, event_id, event_id // 997 as part, abs(value) as v from events),
+c as (select server, ts, sum(v) over (partition by server, part order by event_id rows unbounded preceding) as gen,
+ case when event_id % 5 > 0 then (count(*) over (partition by server, part order by event_id rows unbounded preceding))::double end as prompt from e),
+n as (select server, ts, max(gen) as gen, max(prompt) as prompt, row_number() over (partition by server order by ts) as i from c group by server, ts),
+r as (select server, ts, i, gen, prompt, gen as last_gen, prompt as last_prompt, 1 as part from n where i = 1
+ union all select n.server, n.ts, n.i, n.gen, n.prompt, case when x.fell then n.gen else coalesce(n.gen, r.last_gen) end, case when x.fell then n.prompt else coalesce(n.prompt, r.last_prompt) end, r.part + x.fell::int
+ from r join n on n.server = r.server and n.i = r.i + 1, lateral (select coalesce(n.gen < r.last_gen, false) or coalesce(n.prompt < r.last_prompt, false) as fell) x),
+w as (select *, min(i) over (partition by server, part order by ts range between 60 preceding and current row) as a, min(i) over (partition by server, part) as f from r),
+o as (select server, ts, gen, prompt, case when a = i then greatest(f, i - 1) else a end as a, f from w)
+select o.server, o.ts, case when o.ts > a.ts then round((o.gen - a.gen) / (o.ts - a.ts), 4) end as gen_tps, case when o.ts > f.ts then round((o.gen - f.gen) / (o.ts - f.ts), 4) end as gen_tps_avg,
+ case when o.ts > a.ts then round((o.prompt - a.prompt) / (o.ts - a.ts), 4) end as prompt_tps, case when o.ts > f.ts then round((o.prompt - f.prompt) / (o.ts - f.ts), 4) end as prompt_tps_avg,
+ null::double as kv_hit, null::double as kv_hit_avg, null::double as running, null::double as waiting, null::double as kv_usage
+from o join r a on a.server = o.server and a.i = o.a join r f on f.server = o.server and f.i = o.f""")
 def counter_rates_with_reset(spark, d):
     """Rates of counters that are made of the events and restart now and then."""
     e = table(spark, d, "events", F.col("event_type").alias("server"), F.col("ts").cast("timestamp").cast("double").alias("ts"), "event_id", F.abs("value").alias("v"))
     w = Window.partitionBy("server", F.floor(F.col("event_id") / 997)).orderBy("event_id")
     s = e.select("server", "ts", "event_id", F.sum("v").over(w).alias("generation_tokens"), F.when(F.col("event_id") % 5 > 0, F.count("*").over(w).cast("double")).alias("prompt_tokens"))
-    return tl.counter_rates(s.groupBy("server", "ts").agg(F.max("generation_tokens").alias("generation_tokens"), F.max("prompt_tokens").alias("prompt_tokens")))
+    r = tl.counter_rates(s.groupBy("server", "ts").agg(F.max("generation_tokens").alias("generation_tokens"), F.max("prompt_tokens").alias("prompt_tokens")))
+    return r.select("server", "ts", *[F.round(c, 4).alias(c) for c in r.columns[2:]])
 
 
 @query("select event_id, 'vllm:' || event_type as name, (user_id % 2)::varchar as engine, round(value, 4) as value from events")
