@@ -34,8 +34,8 @@ NAMES = {
 #: Code pages in which a garbled sentence may have been read, and those it was written in.
 SWAPS = [("cp1252", "utf-8"), ("latin-1", "utf-8"), ("mac-roman", "utf-8"), ("cp437", "utf-8"), ("cp850", "utf-8"), ("cp1250", "utf-8"), ("cp1251", "utf-8"), ("cp866", "utf-8"), ("koi8-r", "utf-8"),
          ("latin-1", "cp1251"), ("cp1252", "cp1251"), ("cp1251", "koi8-r"), ("koi8-r", "cp1251"), ("cp1251", "cp866"), ("cp866", "cp1251"), ("cp866", "koi8-r"), ("latin-1", "koi8-r"), ("mac-roman", "cp1251")]
-#: A sentence counts from so many words, confidence and share of known n-grams.
-LEAST_WORDS, SURE, KNOWN = 4, 0.7, 0.6
+#: A sentence counts from so many words, so many of two letters or more (the letters of a formula are no words), confidence and share of known n-grams.
+LEAST_WORDS, LEAST_LONG, SURE, KNOWN = 4, 3, 0.7, 0.6
 
 _WORD = re.compile(r"[^\W\d_]+")
 _END = re.compile(r"(?<=[.!?…])[\"”»’)\]*_']*\s+(?=[\"“„«¿¡(\[*_'—-]*[^\W\d_a-zà-öø-ÿа-яёąćęłńóśźż])")
@@ -74,6 +74,11 @@ def words_of(sentence: str) -> list[str]:
     return list(dict.fromkeys(w.lower() for w in _WORD.findall(sentence)))
 
 
+def whole(words: list[str]) -> bool:
+    """Whether words are enough for a sentence."""
+    return len(words) >= LEAST_WORDS and sum(len(w) > 1 for w in words) >= LEAST_LONG
+
+
 class Machines:
     """Weights (features x machines) and which features the training met."""
 
@@ -235,7 +240,7 @@ def train(documents: DataFrame, per_language: int = PER_LANGUAGE, per_document:
     samples, used = [], dict.fromkeys(LANGS, 0)
     for lang, _, text in rows:
         if used[lang] < per_language:
-            ss = [ws for ws in map(words_of, sentences(text)) if len(ws) >= LEAST_WORDS]
+            ss = [ws for ws in map(words_of, sentences(text)) if whole(ws)]
             used[lang] += bool(ss)
             step = max(1, len(ss) // per_document)
             samples += [(lang, ws) for ws in ss[::step][:per_document]]
@@ -265,7 +270,7 @@ def languages(responses: DataFrame, machines: Machines) -> DataFrame:
                     if not lang or known < KNOWN:
                         continue
                     mass[lang] = mass.get(lang, 0.0) + sure * len(s)
-                    full = sure >= SURE and len(words_of(s)) >= LEAST_WORDS
+                    full = sure >= SURE and whole(words_of(s))
                     if runs and runs[-1]["lang"] == lang:
                         r = runs[-1]
                         r["confidence"] = max(r["confidence"], sure)

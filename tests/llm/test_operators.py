@@ -111,6 +111,7 @@ def test_languages():
     got = language.fit(samples).start().languages([t.strip() for t in seeds.values()] + ["", "12 34."])
     assert [g[0] for g in got[:7]] == list(seeds) and all(g[1] > 0.7 for g in got[:7]) and got[7][0] == ""
     assert common.label_language("en_GB", language.NAMES) == "en" and common.label_language("Portuguese", language.NAMES) == "pt" and common.label_language("und", language.NAMES) is None
+    assert not language.whole(language.words_of("Ratio a/b < c/d, see [14].")) and language.whole(language.words_of("He saw a boat."))
     assert language.sentences("Heading\n\nOne line\nbroken. Second one!\n\nx\ty 5.") == ["One line broken.", "Second one!"]
 
 
