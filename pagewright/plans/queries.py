@@ -307,6 +307,16 @@ def outcome_counts(spark, d):
     return pg.outcome_counts(selected(spark, d), ["model", "doc"], 0.25)
 
 
+@query(f"""with {_PAGE_ROWS}, x as (select model, doc, count(*) as p, sum(is_fallback::int) as f from q group by all), e as (select distinct model, doc from page_texts),
+boom as (select distinct model, doc from page_texts where length(doc) % 11 = 0)
+select case when boom.doc is not null then 'crashed' when p is null then 'missing' when f::double / p > 0.25 then 'discarded' when f > 0 then 'partial' else 'ok' end as outcome, count(*) as n
+from x full join e using (model, doc) left join boom using (model, doc) group by 1""")
+def all_outcomes(spark, d):
+    """Outcomes of documents, crashed and missing ones too; which crashed is made up."""
+    e = table(spark, d, "page_texts", "model", "doc")
+    return pg.outcome_counts(selected(spark, d), ["model", "doc"], 0.25, e, e.where(F.length("doc") % 11 == 0))
+
+
 @query(f"""with {_PAGE_ROWS}, x as (select count(*) as p, sum(is_fallback::int) as f, sum(input_tokens) as i, sum(output_tokens) as o from q group by model, doc)
 select count(*) as docs, sum(p)::bigint as pages, sum(f)::bigint as fallback_pages, sum(i)::bigint as input_tokens, sum(o)::bigint as output_tokens, sum((o > 32768)::int)::bigint as long_docs, sum(case when o > 32768 then o else 0 end)::bigint as long_tokens,
  round(sum(p)::double / count(*), 6) as pages_per_doc, round(sum(o)::double / count(*), 6) as tokens_per_doc, round(sum(o)::double / sum(p), 6) as tokens_per_page from x""")
@@ -493,6 +503,33 @@ def markdown_paths(spark, d):
     return s.select("source", tx.markdown_path(F.col("source")).alias("path"))
 
 
+_GROUPS = """p as (select distinct source_path as path from page_responses where source_path is not null), g as (select path, (row_number() over (order by path) - 1) // 100 as g from p),
+w as (select sha1(string_agg(path, '' order by path)) as hash, list(path order by path) as paths from g group by g.g)"""
+
+
+def _work(spark, d) -> DataFrame:
+    return corpus.work_groups(table(spark, d, "page_responses").select(F.col("source_path").alias("path")), 100)
+
+
+@query(f"""with {_GROUPS} select array_to_string(list_transform(list_concat([hash], paths), lambda x: case when regexp_matches(x, '[,"\\r\\n]') then '"' || replace(x, '"', '""') || '"' else x end), ',') as line from w""")
+def work_index(spark, d):
+    """The work index as CSV rows, written and read once before."""
+    return corpus.index_lines(corpus.read_index(corpus.index_lines(_work(spark, d))))
+
+
+@query(f"with {_GROUPS} select hash, len(paths)::bigint as n from w where hash >= '8'")
+def remaining_work(spark, d):
+    """Groups that are not done, half of them being so."""
+    w = _work(spark, d)
+    return corpus.shuffled(corpus.remaining_work(w, w.where("hash < '8'")), 3).select("hash", F.size("paths").cast("bigint").alias("n"))
+
+
+@query("select model, regexp_replace(input_path, '[^\\p{L}\\p{N}_]+', '_', 'g') as name, rtrim(input_path, '/') || '/metrics' as url from runs")
+def run_names(spark, d):
+    """Names of runs that are safe for files, and the address of the metrics beside an API's."""
+    return table(spark, d, "runs").select("model", tx.sanitize_name(F.col("input_path")).alias("name"), tx.metrics_url(F.concat("input_path", F.lit("/v1/"))).alias("url"))
+
+
 # --- answers of models -------------------------------------------------------------------------------------------------------
 
 _PLAIN = f"nullif({_trim('natural_text')}, '')"
@@ -517,6 +554,32 @@ def fenced_answers(spark, d):
     return r.select("response_id", parsers.with_html_tables(raw).alias("p")).select("response_id", "p.natural_text", "p.is_table")
 
 
+_TEMPERATURE = "case attempt when 0 then '0.1' when 1 then '0.1' when 2 then '0.2' when 3 then '0.3' when 4 then '0.5' when 5 then '0.8' when 6 then '0.9' else '1.0' end"
+
+
+@query(f"""select response_id, '{{"model":"served","messages":[{{"role":"user","content":[{{"type":"text","text":"Read page ' || page_num || '"}},{{"type":"image_url","image_url":{{"url":"data:image/png;base64,' || to_base64(source_path::blob) || '"}}}}]}}],"max_tokens":12000,"temperature":'
+ || {_TEMPERATURE} || ',"top_p":1.0}}' as request from {RESPONSES}""")
+def page_requests(spark, d):
+    """The request of each attempt, with the attempt's temperature; a page's name stands for its picture."""
+    r = responses(spark, d, "source_path", "page_num", "attempt")
+    image, prompt = F.base64(F.encode("source_path", "UTF-8")), F.concat(F.lit("Read page "), F.col("page_num").cast("string"))
+    return r.select("response_id", parsers.page_request(image, prompt, pg.temperature(F.col("attempt")), "qianfan-ocr", "served").alias("request"))
+
+
+@query(f"select response_id, {_trim('natural_text')} as raw_text from {RESPONSES} where natural_text is not null")
+def raw_texts(spark, d):
+    """What stands between the text marks of a prompt."""
+    r = responses(spark, d, "natural_text").where("natural_text is not null")
+    prompt = F.concat(F.lit("Below is the text.\nRAW_TEXT_START\n"), F.col("natural_text"), F.lit("\nRAW_TEXT_END"))
+    return r.select("response_id", tx.raw_text_of_prompt(prompt).alias("raw_text"))
+
+
+@query(f"with {_GATE} select response_id, kind, kind in ('empty_output', 'repeated_ngram', 'repeated_character', 'repeated_tail') and (response_id % 3) / 200.0 < 0.01 as is_blank from kk")
+def blank_pages(spark, d):
+    """Rejections that a nearly blank render explains, with a made-up share of ink."""
+    return gate_kinds(spark, d).select("response_id", "kind", quality.is_blank_page(F.col("kind"), F.col("response_id") % 3 / 200.0).alias("is_blank"))
+
+
 @query()
 def layout_markdown(spark, d):
     """HTML answers as Markdown."""
@@ -603,6 +666,20 @@ def exposition(spark, d):
     return e.select("event_id", F.explode(tl.parse_exposition(text)).alias("s")).select("event_id", "s.name", F.col("s.labels")["engine"].alias("engine"), F.round("s.value", 4).alias("value"))
 
 
+@query("""select event_id, (user_id % 7 + event_id % 5)::double as running, null::double as waiting, round((0.25 + (event_id % 4) / 8.0) / 2, 6) as kv_usage, (event_id * 2)::double as generation_tokens,
+ user_id::double as prompt_tokens, user_id::double as cache_queries, case when event_id % 2 = 0 then 3.0 end::double as cache_hits from events""")
+def server_snapshots(spark, d):
+    """Metrics of scrapes: summed over engines, usage averaged, the older name where the newer is not there."""
+    e = table(spark, d, "events", "event_id", "user_id")
+    line = lambda name, engine, v: F.concat(F.lit(f'{name}{{engine="{engine}"}} '), v.cast("string"), F.lit("\n"))
+    id_, user = F.col("event_id"), F.col("user_id")
+    text = F.concat(line("vllm:num_requests_running", 0, user % 7), line("vllm:num_requests_running", 1, id_ % 5), line("vllm:gpu_cache_usage_perc", 0, F.lit(0.25)), line("vllm:gpu_cache_usage_perc", 1, id_ % 4 / 8.0),
+                    line("vllm:generation_tokens_total", 0, id_), line("vllm:generation_tokens_total", 1, id_), line("vllm:prompt_tokens_total", 0, user), F.lit("# no metric\nvllm:num_requests_waiting NaN\n"),
+                    F.when(id_ % 2 == 0, line("vllm:prompt_tokens_cached_total", 0, F.lit(3))).otherwise(F.lit("")))
+    names = ["running", "waiting", "kv_usage", "generation_tokens", "prompt_tokens", "cache_queries", "cache_hits"]
+    return tl.snapshots(e.select("event_id", text.alias("text"))).select("event_id", *[F.round(c, 6).alias(c) for c in names])
+
+
 @query("select (user_id % 8)::bigint as worker, count(*) filter (event_type = 'click') as click, count(*) filter (event_type = 'view') as view from events group by 1")
 def worker_states(spark, d):
     e = table(spark, d, "events").select((F.col("user_id") % 8).alias("worker"), F.col("event_type").alias("state"))
@@ -621,6 +698,15 @@ def _boxes(spark, d) -> DataFrame:
     return p.select(F.floor(F.col("p_partkey") / PER_PAGE).alias("page"), F.col("p_partkey").alias("id"), F.concat(F.lit("i"), F.col("p_partkey").cast("string")).alias("name"), x.alias("x0"), y.alias("y0"), (x + F.col("p_size")).alias("x1"), (y + F.col("p_size")).alias("y1"))
 
 
+@query("""with b as (select p_partkey as id, (p_partkey * 37 % 900)::double as x0, (p_partkey * 91 % 900)::double as y0 from part)
+select id, 2 * (x0 + 5) + 1 as x, 3 * (y0 + 6) + 2 as y from b""")
+def placed_boxes(spark, d):
+    """Corners of boxes under two affine maps, one after the other: moved by (5, 6), then scaled by 2 and 3 and moved by (1, 2)."""
+    m = lambda *v: F.array(*[F.lit(float(x)) for x in v])
+    both = layout.compose(m(1, 0, 0, 1, 5, 6), m(2, 0, 0, 3, 1, 2))
+    return _boxes(spark, d).select("id", layout.transform(both, F.col("x0"), F.col("y0")).alias("p")).select("id", "p.x", "p.y")
+
+
 @query("""with b as (select p_partkey // 200 as page, p_partkey as id, (p_partkey * 37 % 900)::double as x0, (p_partkey * 91 % 900)::double as y0, p_size as z from part)
 select l.page, l.id as a, r.id as b from b l join b r on l.page = r.page and l.id < r.id and greatest(0, greatest(l.x0, r.x0) - least(l.x0 + l.z, r.x0 + r.z)) <= 0.5 and greatest(0, greatest(l.y0, r.y0) - least(l.y0 + l.z, r.y0 + r.z)) <= 0.5""")
 def overlapping_boxes(spark, d):
