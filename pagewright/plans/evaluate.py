@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import warnings
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -39,13 +40,15 @@ def evaluate(spark: SparkSession, store: st.MetricStore, specs: list[str], words
     runs_given = parse_run_specs(specs)  # the runs on the command line
     models = [m for m, _ in runs_given]
     if resume:
+        sides = []
         for t in FOLLOWING:
             old = store.read(t)
-            gone = old.where(F.col("model").isin(models)).select(*DOC)
-            if "peer" in old.columns:
-                gone = gone.unionByName(old.where(F.col("peer").isin(models)).select(F.col("peer").alias("model"), "doc"))
-            gone = gone.distinct().join(metas.select(*DOC), DOC, "left_anti")
-            store.change(st.touched(gone), lambda parts, t=t: {t: st.prune_runs(parts[t], models, metas)}, t)
+            for side in ("model", "peer"):
+                if side in old.columns:
+                    sides.append(old.where(F.col(side).isin(models)).select(F.lit(t).alias("table"), F.col(side).alias("model"), "doc"))
+        gone = reduce(DataFrame.unionByName, sides).join(metas.select(*DOC), DOC, "left_anti")
+        for t, found in gone.groupBy("table").agg(F.collect_set(st.bucket()).alias("parts")).collect():  # a row a table, a few numbers each
+            store.change(set(found), lambda parts, t=t: {t: st.prune_runs(parts[t], models, metas)}, t)
     else:
         cleared = {t: store.read(t) for t in (*FOLLOWING, "pplx")}
         for m in models:
