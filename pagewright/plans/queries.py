@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from ..functions import loops, parsers, quality, text as tx
 from ..functions.garbage import garbage_fraction
 from ..operators import agreement, corpus, layout, leaderboard as lb, pages as pg, perplexity as pp, spelling, store as st, telemetry as tl
-from ..session import materialise, settled, spread
+from ..session import materialise, settled, settled_texts, spread
 
 import pandas as pd
 
@@ -46,13 +46,14 @@ def table(spark, d, name, *columns) -> DataFrame:
 
 def page_texts(spark, d) -> DataFrame:
     """Each page's text once; re-delivered rows are settled without the texts."""
-    return spread(settled(table(spark, d, "page_texts", "text_id", "model", "doc", "page", "text"), ["text_id"])).where("text is not null")
+    return settled_texts(table(spark, d, "page_texts", "text_id", "model", "doc", "page", "text"), ["text_id"]).where("text is not null")
 
 
 def responses(spark, d, *columns) -> DataFrame:
     """The last delivery of each response."""
     cols = [c for c in columns if c not in ("response_id", "ingested_at")]
-    return settled(table(spark, d, "page_responses", "response_id", "ingested_at", *cols), ["response_id"], "ingested_at").select("response_id", *cols)
+    settle = settled_texts if "natural_text" in cols else settled
+    return settle(table(spark, d, "page_responses", "response_id", "ingested_at", *cols), ["response_id"], "ingested_at").select("response_id", *cols)
 
 
 # --- text metrics and leaderboards -----------------------------------------------------------------------------------
@@ -221,7 +222,7 @@ kk as (select response_id, is_valid, case when t = '' then 'empty_output'
 
 
 def gate_kinds(spark, d) -> DataFrame:
-    t = spread(responses(spark, d, "natural_text", "is_valid")).select("response_id", "is_valid", tx.strip(F.coalesce("natural_text", F.lit(""))).alias("t"))
+    t = responses(spark, d, "natural_text", "is_valid").select("response_id", "is_valid", tx.strip(F.coalesce("natural_text", F.lit(""))).alias("t"))
     return t.select("response_id", "is_valid", quality.verdict(F.col("t")).alias("kind"))
 
 
@@ -250,14 +251,14 @@ def top_rejects(spark, d):
 @query(_NGRAM_LOOPS)
 def ngram_loops(spark, d):
     """Responses in which one phrase is repeated through a third of the text."""
-    r = spread(responses(spark, d, "natural_text").where("natural_text is not null"))
+    r = responses(spark, d, "natural_text").where("natural_text is not null")
     return r.where(quality._ngram_loop("natural_text")).select("response_id")
 
 
 @query(_TAIL_LOOPS)
 def tail_loops(spark, d):
     """Responses whose last third repeats one unit."""
-    r = spread(responses(spark, d, "natural_text").where("natural_text is not null"))
+    r = responses(spark, d, "natural_text").where("natural_text is not null")
     return r.where(quality._tail_loop(tx.strip(F.col("natural_text")))).select("response_id")
 
 
@@ -583,7 +584,7 @@ def blank_pages(spark, d):
 @query()
 def layout_markdown(spark, d):
     """HTML answers as Markdown."""
-    r = spread(responses(spark, d, "natural_text").where(F.lower("natural_text").rlike("<(div|p|table|h[1-6])[ >]")))
+    r = responses(spark, d, "natural_text").where(F.lower("natural_text").rlike("<(div|p|table|h[1-6])[ >]"))
     return r.select("response_id", parsers.layout_html(F.col("natural_text")).alias("p")).select("response_id", "p.natural_text", "p.is_table", "p.is_diagram")
 
 

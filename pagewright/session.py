@@ -49,7 +49,13 @@ def settled(table: DataFrame, keys: list[str], order: str | None = None, small:
     return both.where(F.col("_wins").isNull() | (F.col("_wins") == F.col("_place"))).select(*table.columns)
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """Repartition a table of fewer files than cores before heavy text work; a table of many files stays as it is scanned."""
+def spread(df: DataFrame, source: DataFrame | None = None) -> DataFrame:
+    """Repartition a table of fewer files than cores before heavy text work; a table of many files stays as it is scanned. ``source`` is the table
+    whose files count, where ``df`` is made of others too."""
     cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores * 2) if 0 < len(df.inputFiles()) < cores else df
+    return df.repartition(cores * 2) if 0 < len((source or df).inputFiles()) < cores else df
+
+
+def settled_texts(table: DataFrame, keys: list[str], order: str | None = None) -> DataFrame:
+    """``settled`` and ``spread``."""
+    return spread(settled(table, keys, order), table)
