@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import StructType
 
-from ..session import materialise, settled, shared_dir, spread  # noqa: F401
+from ..session import materialise, settled_texts, shared_dir, spread  # noqa: F401
 
 LANGS = ("en", "de", "fr", "es", "pt", "pl", "ru")
 
@@ -26,9 +26,8 @@ def read(spark: SparkSession, sf_dir: str, table: str, *columns: str) -> DataFra
 
 def all_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``tbl, record_id, model, text`` of both page tables, each record once: of re-delivered ones the latest."""
-    r = settled(read(spark, sf_dir, "page_responses", "response_id", "model", "natural_text", "ingested_at"), ["response_id"], "ingested_at")
-    r = spread(r).select(F.lit("page_responses").alias("tbl"), F.col("response_id").alias("record_id"), "model", F.col("natural_text").alias("text"))
-    t = spread(settled(read(spark, sf_dir, "page_texts", "text_id", "model", "text"), ["text_id"])).select(F.lit("page_texts").alias("tbl"), F.col("text_id").alias("record_id"), "model", "text")
+    r = settled_texts(read(spark, sf_dir, "page_responses", "response_id", "model", "natural_text", "ingested_at"), ["response_id"], "ingested_at").select(F.lit("page_responses").alias("tbl"), F.col("response_id").alias("record_id"), "model", F.col("natural_text").alias("text"))
+    t = settled_texts(read(spark, sf_dir, "page_texts", "text_id", "model", "text"), ["text_id"]).select(F.lit("page_texts").alias("tbl"), F.col("text_id").alias("record_id"), "model", "text")
     return r.unionByName(t)
 
 

@@ -17,7 +17,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import LANGS, label_language, map_rows, read, settled, spread
+from .common import LANGS, label_language, map_rows, read, settled_texts
 
 #: Documents of each language in the training sample, and sentences of each.
 PER_LANGUAGE, SENTENCES = 300, 6
@@ -292,8 +292,8 @@ def languages(responses: DataFrame, machines: Machines) -> DataFrame:
 
 
 def _languages(spark, sf_dir):
-    r = settled(read(spark, sf_dir, "page_responses", "response_id", "ingested_at", "primary_language", "natural_text"), ["response_id"], "ingested_at")
-    return languages(spread(r), train(read(spark, sf_dir, "documents", "doc_id", "lang", "text")))
+    r = settled_texts(read(spark, sf_dir, "page_responses", "response_id", "ingested_at", "primary_language", "natural_text"), ["response_id"], "ingested_at")
+    return languages(r, train(read(spark, sf_dir, "documents", "doc_id", "lang", "text")))
 
 
 def p3_found(spark, sf_dir):

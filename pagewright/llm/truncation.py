@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import StructType
 
-from .common import FLUSH, materialise, read, settled, spread, with_group, word_languages
+from .common import FLUSH, materialise, read, settled_texts, with_group, word_languages
 from .scan import TITLE_SHARE, furniture, stands_alone, titled
 
 ORDERS = (2, 3, 4, 6, 8)
@@ -536,8 +536,8 @@ def page_key(path, page, response):
 
 
 def _measured(spark, sf_dir):
-    r = settled(read(spark, sf_dir, "page_responses", "response_id", "model", "source_path", "page_num", "natural_text", "ingested_at"), ["response_id"], "ingested_at")
-    r = spread(r).withColumn("doc", page_key(F.col("source_path"), F.col("page_num"), F.col("response_id"))).withColumn("page_num", F.coalesce("page_num", F.lit(-1)))
+    r = settled_texts(read(spark, sf_dir, "page_responses", "response_id", "model", "source_path", "page_num", "natural_text", "ingested_at"), ["response_id"], "ingested_at")
+    r = r.withColumn("doc", page_key(F.col("source_path"), F.col("page_num"), F.col("response_id"))).withColumn("page_num", F.coalesce("page_num", F.lit(-1)))
     passed = materialise(read_texts(r, read(spark, sf_dir, "common_words")), "p6-texts")
     return materialise(measure(passed, train(passed)), "p6-rows")
 
