@@ -1,4 +1,5 @@
 import hashlib
+import time
 
 import pytest
 from pyspark.sql import functions as F
@@ -24,6 +25,38 @@ def test_assembly_round_trip(spark):
     assert m["a"].total_pages == 3 and m["a"].fallback_pages == 0
 
 
+def documents(spark, rows):
+    d = spark.createDataFrame(rows, "doc string, text string, spans array<array<bigint>>")
+    return d.select("text", F.struct(F.col("doc").alias("Source-File")).alias("metadata"), F.struct(F.col("spans").alias("pdf_page_numbers")).alias("attributes"))
+
+
+def test_pages_of_any_spans(spark):
+    rows = []
+    for n in (0, 1, 4095, 4096, 4097, 65537, 140000):
+        ends = [0, 1, 3000, 4095, 4096, 4097, 9000, 65536, n - 1, n, n + 9]
+        spans = [(a, z) for a in ends for z in ends if a >= 0]
+        rows.append((f"d{n}", "".join("ab é😀\nж"[i * i % 7] for i in range(n)), [[a, z, i] for i, (a, z) in enumerate(spans)]))
+    rows += [("none", None, [[0, 3, 1]]), ("open", "abc", [[None, 3, 1], [0, None, 2], [1, 3, None]]), ("no spans", "abc", None)]
+    got = {(r.doc, r.page): r.text for r in pg.explode_pages(documents(spark, rows), F.lit("m")).collect()}
+    want = {(doc, p): text and text[a:z] for doc, text, spans in rows for a, z, p in spans or [] if None not in (a, z) and z > a}
+    assert got == want
+
+
+def test_a_long_document_costs_no_more_than_its_pages(spark, tmp_path):
+    def seconds(docs, pages):
+        path = str(tmp_path / f"{docs}")
+        text, spans = F.repeat(F.lit("één page and more of it. "), pages * 10), F.transform(F.sequence(F.lit(0), F.lit(pages - 1)), lambda i: F.array(i * 250, i * 250 + 250, i).cast("array<bigint>"))
+        spark.range(0, docs, 1, 1).select(text.alias("text"), F.struct(F.col("id").cast("string").alias("Source-File")).alias("metadata"), F.struct(spans.alias("pdf_page_numbers")).alias("attributes")).write.parquet(path)
+        d, times = spark.read.parquet(path), []
+        for _ in range(2):
+            began = time.time()
+            assert pg.explode_pages(d, F.lit("m")).agg(F.count("*"), F.sum(F.length("text"))).first()[:] == (docs * pages, docs * pages * 250)
+            times.append(time.time() - began)
+        return min(times)
+
+    assert seconds(1, 5000) < 4 * seconds(500, 10) + 1
+
+
 def test_outcomes(spark):
     rows = [(10, 0, 0.004), (1000, 1, 0.004), (12, 9, 0.004), (1000, 4, 0.004), (0, 0, 0.004), (10, 10, 1.0)]
     got = [spark.range(1).select(pg.classify_document(F.lit(a), F.lit(b), c)).first()[0] for a, b, c in rows]
